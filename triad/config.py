@@ -145,9 +145,6 @@ class Params:
     # Company dimension of every result: "bukrs" (company code via the
     # VKORG->BUKRS map) or "vkorg" (sales organisation).
     company_by: str = "bukrs"
-    # Untested summary: an empty valid-order set filters everything (True) or
-    # switches the filter off (False, the process' behaviour).
-    empty_valid_orders_filters_all: bool = True
     rows_per_file: int = ROWS_PER_FILE
 
     def with_(self, **kw) -> "Params":

@@ -25,10 +25,12 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
-                  app: str = "triad", extra: dict | None = None) -> SparkSession:
+                  app: str = "triad", extra: dict | None = None,
+                  driver_memory: str = "16g") -> SparkSession:
     """Local/test session; on a cluster use the cluster's own builder."""
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
+    conf["spark.driver.memory"] = driver_memory
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
