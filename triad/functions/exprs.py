@@ -118,3 +118,17 @@ def round2(c) -> Column:
 
 def lt_tol(c, t: Decimal) -> Column:
     return F.abs(_c(c)) < dec(t)
+
+
+def posnr_norm(c) -> Column:
+    """Line number normalised once on both sides of a lookup: numeric
+    text -> 6-digit zero-padded, anything else trimmed as is."""
+    t = F.trim(_c(c))
+    n = t.try_cast("bigint")
+    return F.when(n.isNull(), t).otherwise(F.lpad(n.cast("string"), 6, "0"))
+
+
+def material_cleanup(c) -> Column:
+    """Drop a trailing '.0' and zero-width characters from material
+    numbers read back from external files."""
+    return F.regexp_replace(F.regexp_replace(_c(c), "\u200b", ""), "\\.0+$", "")

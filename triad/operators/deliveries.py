@@ -25,8 +25,9 @@ def known_orders(vbak: DataFrame) -> DataFrame:
     return vbak.select(F.col("VBELN").alias("_k")).where(F.col("_k").isNotNull()).distinct()
 
 
-def order_set_filter(d: DataFrame, known: DataFrame) -> DataFrame:
-    """C4: keep lines whose VBELV *or* VGBEL is a known order number.
+def order_set_filter(d: DataFrame, known: DataFrame, cols: tuple[str, str] = ("VBELV", "VGBEL")) -> DataFrame:
+    """C4 (and C6 with ``cols=("VBELV", "AUBEL")``): keep lines whose first
+    *or* second reference column is a known order number.
 
     Two equi left joins with hit flags instead of one OR-join (which would
     plan as a nested loop).  Rows with a blank reference skip the join for
@@ -35,16 +36,17 @@ def order_set_filter(d: DataFrame, known: DataFrame) -> DataFrame:
     """
     k1 = known.select(F.col("_k").alias("_k1"), F.lit(True).alias("_hit1"))
     k2 = known.select(F.col("_k").alias("_k2"), F.lit(True).alias("_hit2"))
-    d = d.withColumn("_r1", F.when(~X.blank_ref("VBELV"), F.col("VBELV")))
-    d = d.withColumn("_r2", F.when(~X.blank_ref("VGBEL"), F.col("VGBEL")))
+    c1, c2 = cols
+    d = d.withColumn("_r1", F.when(~X.blank_ref(c1), F.col(c1)))
+    d = d.withColumn("_r2", F.when(~X.blank_ref(c2), F.col(c2)))
     d = d.join(k1, d["_r1"] == k1["_k1"], "left").drop("_k1")
     d = d.join(k2, d["_r2"] == k2["_k2"], "left").drop("_k2")
     # A blank-looking value can still be a (junk) order number in VBAK.
     blank_hits = known.where(X.blank_ref("_k")).select(F.col("_k").alias("_kb"))
     d = (d.join(F.broadcast(blank_hits.withColumn("_hitb1", F.lit(True))),
-                F.col("VBELV") == F.col("_kb"), "left").drop("_kb"))
+                F.col(c1) == F.col("_kb"), "left").drop("_kb"))
     d = (d.join(F.broadcast(blank_hits.withColumn("_hitb2", F.lit(True))),
-                F.col("VGBEL") == F.col("_kb"), "left").drop("_kb"))
+                F.col(c2) == F.col("_kb"), "left").drop("_kb"))
     hit = (F.coalesce(F.col("_hit1"), F.lit(False)) | F.coalesce(F.col("_hit2"), F.lit(False))
            | F.coalesce(F.col("_hitb1"), F.lit(False)) | F.coalesce(F.col("_hitb2"), F.lit(False)))
     return d.where(hit).drop("_r1", "_r2", "_hit1", "_hit2", "_hitb1", "_hitb2")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..config import Params
 from ..functions import exprs as X
+from .deliveries import order_set_filter
 from .common import KEY, doc_list, drop_excluded, first_non_null, header_join, non_null_keys
 
 
@@ -29,11 +30,7 @@ def invoice_lines(vbrk: DataFrame, vbrp: DataFrame, excl: DataFrame, p: Params,
     """
     d = _period_lines(vbrk, vbrp, p)
     if p.invoice_order_filter and known is not None:  # C6, off in the process
-        k = known.select(F.col("_k").alias("_kv"))
-        hit_v = d.join(k, d["VBELV"] == k["_kv"], "left_semi")
-        hit_a = d.join(k, d["AUBEL"] == k["_kv"], "left_semi")
-        d = hit_v.unionByName(hit_a.join(hit_v.select("MANDT", "VBELN", "POSNR", "_ord"),
-                                         ["MANDT", "VBELN", "POSNR", "_ord"], "left_anti"))
+        d = order_set_filter(d, known, ("VBELV", "AUBEL"))
     use_ref = X.blank_ref("AUBEL") | X.blank_ref("AUPOS")
     d = (d.withColumn("ORD_VBELN", F.when(use_ref, F.col("VBELV")).otherwise(F.col("AUBEL")))
           .withColumn("ORD_POSNR", F.when(use_ref, F.col("POSNV")).otherwise(F.col("AUPOS"))))

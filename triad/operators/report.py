@@ -42,8 +42,8 @@ def group_scenarios(stats: DataFrame) -> DataFrame:
     """All companies added per scenario (company = 'ALL')."""
     return (stats.groupBy("scenario")
             .agg(F.sum("rows").cast("bigint").alias("rows"),
-                 F.sum("inv_amt").cast("decimal(38,2)").cast("double").alias("inv_amt"),
-                 F.sum("order_inv_diff").cast("decimal(38,2)").cast("double").alias("order_inv_diff"),
+                 F.sum(F.col("inv_amt").cast("decimal(38,2)")).cast("double").alias("inv_amt"),
+                 F.sum(F.col("order_inv_diff").cast("decimal(38,2)")).cast("double").alias("order_inv_diff"),
                  F.bool_or("reported").alias("reported"))
             .select(F.lit(GROUP).alias("company"), "scenario", "rows", "inv_amt", "order_inv_diff", "reported"))
 
@@ -185,9 +185,10 @@ def sensitivity(rates: DataFrame, p: Params) -> DataFrame:
     hi = F.col("_raw_pct_amt") >= p.tier_high
     kept = rates.where(hi)
     out = _finish(kept.agg(*_summary(kept)).withColumn("scope", F.lit(f">={p.tier_high:g}%")), "scope")
-    removed = rates.agg(F.array_sort(F.collect_list(F.when(~hi, F.col("company")))).alias("removed_companies"))
+    removed = rates.agg(F.array_join(F.array_sort(F.collect_list(F.when(~hi, F.col("company")))), ", ")
+                        .alias("removed_companies"))
     # both sides are single-row aggregates; a union + max folds them into one row
-    a = out.select(*out.columns, F.lit(None).cast("array<string>").alias("removed_companies"))
+    a = out.select(*out.columns, F.lit(None).cast("string").alias("removed_companies"))
     b = removed.select(*[F.lit(None).cast(out.schema[c].dataType).alias(c) for c in out.columns],
                        "removed_companies")
     u = a.unionByName(b)

@@ -71,7 +71,7 @@ select '100' MANDT, inv VBELN, pos POSNR, dlv VBELV, pos POSNV, case when pk%23=
 # Row order used for "keep first" in each fixture table (file order stand-in).
 FIXTURE_ORDER = {
     "VBAK": ["VBELN"],
-    "VBAP": ["VBELN", "POSNR", "MATNR"],
+    "VBAP": ["VBELN", "POSNR", "MATNR", "ARKTX", "KWMENG", "NETWR"],
     "LIKP": ["VBELN"],
     "LIPS": ["s", "pk", "q", "x"],
     "VBRK": ["VBELN"],
