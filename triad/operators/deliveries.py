@@ -4,6 +4,7 @@ delivery pivot (D3, D5) and the delivery lists (B23, B24)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..config import Params
@@ -29,27 +30,20 @@ def order_set_filter(d: DataFrame, known: DataFrame, cols: tuple[str, str] = ("V
     """C4 (and C6 with ``cols=("VBELV", "AUBEL")``): keep lines whose first
     *or* second reference column is a known order number.
 
-    Two equi left joins with hit flags instead of one OR-join (which would
-    plan as a nested loop).  Rows with a blank reference skip the join for
-    that column, so a flood of blank references cannot pile up in one
-    shuffle partition; they can only hit through the other column.
+    Two equi left joins against the same distinct order-number relation
+    (one exchange, reused) with hit flags, instead of one OR-join, which
+    would plan as a nested loop.  A flood of blank references ('' or
+    '000000') is a hot key on the preserved side of a left join, which AQE's
+    skew-join handling splits; nothing is dropped or sampled.
     """
-    k1 = known.select(F.col("_k").alias("_k1"), F.lit(True).alias("_hit1"))
-    k2 = known.select(F.col("_k").alias("_k2"), F.lit(True).alias("_hit2"))
     c1, c2 = cols
-    d = d.withColumn("_r1", F.when(~X.blank_ref(c1), F.col(c1)))
-    d = d.withColumn("_r2", F.when(~X.blank_ref(c2), F.col(c2)))
-    d = d.join(k1, d["_r1"] == k1["_k1"], "left").drop("_k1")
-    d = d.join(k2, d["_r2"] == k2["_k2"], "left").drop("_k2")
-    # A blank-looking value can still be a (junk) order number in VBAK.
-    blank_hits = known.where(X.blank_ref("_k")).select(F.col("_k").alias("_kb"))
-    d = (d.join(F.broadcast(blank_hits.withColumn("_hitb1", F.lit(True))),
-                F.col(c1) == F.col("_kb"), "left").drop("_kb"))
-    d = (d.join(F.broadcast(blank_hits.withColumn("_hitb2", F.lit(True))),
-                F.col(c2) == F.col("_kb"), "left").drop("_kb"))
-    hit = (F.coalesce(F.col("_hit1"), F.lit(False)) | F.coalesce(F.col("_hit2"), F.lit(False))
-           | F.coalesce(F.col("_hitb1"), F.lit(False)) | F.coalesce(F.col("_hitb2"), F.lit(False)))
-    return d.where(hit).drop("_r1", "_r2", "_hit1", "_hit2", "_hitb1", "_hitb2")
+    k = known.select(F.col("_k"), F.lit(True).alias("_hit"))
+    k1 = k.select(F.col("_k").alias("_k1"), F.col("_hit").alias("_hit1"))
+    k2 = k.select(F.col("_k").alias("_k2"), F.col("_hit").alias("_hit2"))
+    d = d.join(k1, d[c1] == k1["_k1"], "left").drop("_k1")
+    d = d.join(k2, d[c2] == k2["_k2"], "left").drop("_k2")
+    hit = F.coalesce(F.col("_hit1"), F.lit(False)) | F.coalesce(F.col("_hit2"), F.lit(False))
+    return d.where(hit).drop("_hit1", "_hit2")
 
 
 def batch_child_dedup(d: DataFrame) -> DataFrame:
@@ -57,17 +51,24 @@ def batch_child_dedup(d: DataFrame) -> DataFrame:
     referenced by UEPOS or UECHA) is present; runs after the zero filter, so
     a zero-quantity parent does not remove its children.
 
-    Only child rows go through the two anti-joins; parent rows pass as is.
+    No self-join: the lines are hash-partitioned once on the delivery
+    number; for each pointer column a window over (delivery, position) —
+    where a parent sits under its own POSNR and a child under the position
+    it points to — tells whether a parent shares the child's partition.
+    Both windows are satisfied by the one exchange (their keys contain the
+    delivery number), so C8 costs one shuffle and two in-partition sorts.
     """
+    d = d.repartition("VBELN")
     is_parent = X.blank_parent_ref("UEPOS") & X.blank_parent_ref("UECHA")
-    parents = d.where(is_parent).select(F.col("VBELN").alias("_pv"), F.col("POSNR").alias("_pp")).distinct()
-    kids = d.where(~is_parent)
-    for ref in ("UEPOS", "UECHA"):
-        kids = kids.join(
-            parents,
-            (kids["VBELN"] == parents["_pv"]) & (kids[ref] == parents["_pp"]) & ~X.blank_parent_ref(kids[ref]),
-            "left_anti")
-    return d.where(is_parent).unionByName(kids)
+    d = d.withColumn("_parent", is_parent)
+    drop = F.lit(False)
+    for i, ref in enumerate(("UEPOS", "UECHA")):
+        k = F.when(F.col("_parent"), F.col("POSNR")).when(~X.blank_parent_ref(ref), F.col(ref))
+        d = d.withColumn(f"_k{i}", k)
+        w = Window.partitionBy("VBELN", f"_k{i}")
+        d = d.withColumn(f"_hp{i}", F.max(F.col("_parent").cast("int")).over(w))
+        drop = drop | (F.col(f"_k{i}").isNotNull() & (F.col(f"_hp{i}") == 1))
+    return d.where(F.col("_parent") | ~drop).drop("_parent", "_k0", "_k1", "_hp0", "_hp1")
 
 
 def delivery_lines(likp: DataFrame, lips: DataFrame, known: DataFrame | None, p: Params,

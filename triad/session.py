@@ -19,6 +19,9 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     # Runtime bloom filters prune the big side of the semi/anti joins.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # Company codes are text (leading zeros matter): never infer partition
+    # column types when stage datasets are read back.
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # Multi-byte code pages (GBK extracts) need the legacy charset switch.
     "spark.sql.legacy.javaCharsets": "true",
 }
