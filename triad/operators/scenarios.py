@@ -50,11 +50,14 @@ def with_scenario(main: DataFrame, p: Params) -> DataFrame:
     d = d_raw | fix
     # (q, d) -> row of the truth table, amount class -> column; an index
     # into one literal array keeps every flag referenced once, so the
-    # classifier stays small wherever the optimizer inlines it.
+    # classifier stays small wherever the optimizer inlines it.  The index
+    # is never null: Spark treats element_at on a literal array as
+    # non-nullable and would drop a coalesce around it, so the "exactly at
+    # tolerance" class is a fourth column holding scenario 0.
     qd = F.when(q, 0).otherwise(2) + F.when(d, 0).otherwise(1)
-    amt = F.when(amt_eq, 0).when(amt_lt, 1).when(amt_gt, 2)
-    table = F.array(*[F.lit(v) for v in (10, 8, 9, 3, 1, 2, 11, 12, 13, 6, 4, 5)])
-    scen = F.coalesce(F.element_at(table, qd * 3 + amt + 1), F.lit(0))
+    amt = F.when(amt_eq, 0).when(amt_lt, 1).when(amt_gt, 2).otherwise(3)
+    table = F.array(*[F.lit(v) for v in (10, 8, 9, 0, 3, 1, 2, 0, 11, 12, 13, 0, 6, 4, 5, 0)])
+    scen = F.element_at(table, qd * 4 + amt + 1)
     return (main.withColumn("dlv_qty_raw", F.col("dlv_qty"))
                 .withColumn("unit_fix", fix)
                 .withColumn("dlv_qty", F.when(fix, F.col("ord_qty")).otherwise(F.col("dlv_qty")))
