@@ -14,6 +14,7 @@ are read by the executors.
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import EXTRACT_SEP, TABLE_FILE_GLOBS
+from ..session import stage_dir
 from .schema import column_default, column_type, table_columns
 
 CORRUPT = "_corrupt"
@@ -110,7 +112,7 @@ class ExtractRead:
 
 
 def read_extract(spark: SparkSession, paths: list[str], table: str,
-                 encoding: str = "UTF-8", sep: str = EXTRACT_SEP) -> ExtractRead:
+                 encoding: str = "UTF-8", sep: str = EXTRACT_SEP, stage: str | None = "auto") -> ExtractRead:
     """Read the part files of one table.
 
     * header names are trimmed and upper-cased; only names that look like
@@ -118,7 +120,13 @@ def read_extract(spark: SparkSession, paths: list[str], table: str,
     * rows with more fields than the header are dropped and returned in
       ``dropped`` so the caller can count them; short rows are padded with
       nulls (A5);
-    * ``_src_file`` / ``_src_ord`` record file order for "keep first" rules.
+    * ``_src_file`` / ``_src_ord`` record file order for "keep first" rules;
+    * ``stage``: the parse is written once as Parquet (under the shared
+      checkpoint folder when "auto", or at the given path) and both outputs
+      are read from it.  The text is then parsed exactly once, later reads
+      get column pruning and pushdown, and the malformed-row count does not
+      query the raw file through its corrupt-record column alone (which
+      Spark rejects).  ``None`` keeps everything lazy on the text.
     """
     if not paths:
         raise FileNotFoundError(f"no part files for {table}")
@@ -149,6 +157,11 @@ def read_extract(spark: SparkSession, paths: list[str], table: str,
             F.col("_metadata.file_block_start").alias("_src_block"),
             F.monotonically_increasing_id().alias("_src_row"),
         )
+        if stage is not None:
+            path = (stage_dir(spark, f"extract/{table}-{uuid.uuid4().hex}") if stage == "auto"
+                    else stage.rstrip("/")) + f"/group={len(frames)}"
+            df.write.mode("overwrite").parquet(path)
+            df = spark.read.parquet(path)
         n = len(names)
         too_long = F.col(CORRUPT).isNotNull() & (F.size(F.split(F.col(CORRUPT), re.escape(sep))) > n)
         bad.append(df.where(too_long).select(F.lit(table).alias("table"), "_src_file", F.col(CORRUPT).alias("line")))
@@ -165,15 +178,22 @@ def read_extract(spark: SparkSession, paths: list[str], table: str,
     return ExtractRead(conform(raw, table), dropped)
 
 
-def read_table(spark: SparkSession, root: str, table: str, encoding: str = "UTF-8") -> ExtractRead:
+def read_table(spark: SparkSession, root: str, table: str, encoding: str = "UTF-8",
+               stage: str | None = "auto") -> ExtractRead:
     """All parts of ``table`` under the folder ``root``."""
-    return read_extract(spark, list_parts(spark, root, table), table, encoding)
+    return read_extract(spark, list_parts(spark, root, table), table, encoding, stage=stage)
 
 
 def write_extract(df: DataFrame, path: str, sep: str = EXTRACT_SEP, encoding: str = "UTF-8") -> None:
     """Write a DataFrame as a ``#|#`` text extract (used for round trips)."""
-    cols = [c for c in df.columns if not c.startswith("_")]
-    (df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in cols])
+    def text(f: T.StructField) -> Column:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.DateType):
+            c = F.date_format(c, "yyyyMMdd")  # the extracts' own date format
+        return F.coalesce(c.cast("string"), F.lit("")).alias(f.name)
+
+    fields = [f for f in df.schema.fields if not f.name.startswith("_")]
+    (df.select(*[text(f) for f in fields])
        .write.mode("overwrite")
        .option("header", True).option("sep", sep).option("quote", "\u0000").option("escape", "\u0000")
        .option("encoding", encoding).option("emptyValue", "")
