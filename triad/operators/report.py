@@ -259,3 +259,53 @@ def missing_invoice_amount(untested_rows: DataFrame) -> DataFrame:
     return (u.groupBy("company")
              .agg(F.count(F.lit(1)).alias("rows"),
                   F.sum("ord_amt_lc").cast("decimal(38,2)").cast("double").alias("order_amt")))
+
+
+# ---------------------------------------------------------------------------
+# Report numbers as text, and back
+# ---------------------------------------------------------------------------
+# Numbers stay numeric in every dataset; these are display projections only.
+# Values are rounded half-even first, so the formatting itself never rounds.
+
+def amount_text(c, digits: int = 2) -> Column:
+    """0 -> '-', thousands separators, negative in brackets, null -> ''."""
+    r = F.bround(F.col(c).cast("decimal(38,6)") if isinstance(c, str) else c.cast("decimal(38,6)"), digits)
+    body = F.format_number(F.abs(r), digits)
+    return (F.when(r.isNull(), F.lit("")).when(r == 0, F.lit("-"))
+             .when(r < 0, F.concat(F.lit("("), body, F.lit(")"))).otherwise(body))
+
+
+def pct_text(c) -> Column:
+    """Percentage with one decimal and a '%' sign; null -> ''."""
+    r = F.bround((F.col(c) if isinstance(c, str) else c).cast("decimal(38,6)"), 1)
+    return F.when(r.isNull(), F.lit("")).otherwise(F.concat(F.format_number(r, 1), F.lit("%")))
+
+
+def parse_report_number(c) -> Column:
+    """Text of :func:`amount_text` / :func:`pct_text` back to a decimal."""
+    t = F.trim(F.col(c) if isinstance(c, str) else c)
+    v = F.regexp_replace(t, r"[(),%\s]", "").try_cast("decimal(38,6)")
+    return (F.when(t.isin("-", ""), F.lit(0).cast("decimal(38,6)"))
+             .when(t.startswith("(") & t.endswith(")"), -v).otherwise(v))
+
+
+def display_table(table: DataFrame) -> DataFrame:
+    """The scenario table (D13) as report text, with the invoice amount also
+    parsed back from its text (a check that the two agree)."""
+    return table.select(
+        "company", "line", "line_order",
+        amount_text("rows", 0).alias("rows_text"),
+        pct_text("pct_rows").alias("pct_rows_text"),
+        amount_text("inv_amt").alias("inv_amt_text"),
+        pct_text("pct_amt").alias("pct_amt_text"),
+        amount_text("order_inv_diff").alias("diff_text"),
+        parse_report_number(amount_text("inv_amt")).cast("double").alias("inv_amt_back"),
+    )
+
+
+def ordered_report(table: DataFrame) -> DataFrame:
+    """a report table in display order (companies ascending, lines in
+    their fixed order) with its 1-based ``position``.  For report-sized
+    results only (one row per company and line): the numbering is global."""
+    w = Window.orderBy("company", "line_order")
+    return table.withColumn("position", F.row_number().over(w)).orderBy("position")

@@ -16,7 +16,7 @@ line numbers, then one CASE — no per-key driver loop.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Params
@@ -32,11 +32,20 @@ def zero_order_keys(detail_rows: DataFrame, p: Params) -> DataFrame:
     return z.select("VKORG", "VBELN", "POSNR").distinct()
 
 
+def sample_hash(seed: int = 42) -> Column:
+    """A seeded multiplicative hash of the key, in plain integer arithmetic
+    (the same value in any SQL engine), used to pick a reproducible sample."""
+    v = F.coalesce(F.col("VBELN").try_cast("bigint"), F.lit(0)) % 2147483647
+    n = F.coalesce(F.col("POSNR").try_cast("bigint"), F.lit(0)) % 2147483647
+    return (v * 48271 + n * 16807 + F.lit(seed)) % 2147483647
+
+
 def sample_keys(keys: DataFrame, n: int = 500, seed: int = 42) -> DataFrame:
-    """F5 (optional): a deterministic sample of at most ``n`` keys, ordered
-    by a seeded hash — the sampling operator is the feature here."""
-    h = F.xxhash64(F.lit(seed), "VKORG", "VBELN", "POSNR")
-    return keys.orderBy(h).limit(n)
+    """F5 (optional): a deterministic sample of at most ``n`` keys, the
+    smallest by :func:`sample_hash` (ties by key) — the sampling operator is
+    the feature here.  Spark plans it as a per-partition top-n and a merge of
+    the partial tops, never a full sort."""
+    return keys.orderBy(sample_hash(seed), "VKORG", "VBELN", "POSNR").limit(n)
 
 
 def verify_lookup(detail_rows: DataFrame, t: dict[str, DataFrame], p: Params,

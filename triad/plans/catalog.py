@@ -9,6 +9,7 @@ decimals -> double, small ints -> bigint, dates -> ISO text.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import oracle as O
-from ..config import fixture_params
+from ..config import SCENARIO_LABELS, fixture_params
 from ..functions import exprs as X
 from ..operators import common as C
 from ..operators import company as CO
@@ -28,6 +29,9 @@ from ..operators import orders as OR
 from ..operators import report as R
 from ..operators import scenarios as S
 from ..operators import verify as V
+from ..session import stage_dir
+from ..sources import extract as EX
+from ..sources.extract import write_extract
 from ..sources.fixtures import fixture_tables
 from . import pipeline as PL
 
@@ -819,6 +823,108 @@ def d23(c: Ctx):
     return V.verify_summary(V.verify_lookup(c.an.detail, c.t, c.p))
 
 
+# ---------------------------------------------------------------------------
+# labels, what-if, report text, cleanup, sample, order, extract (B32, B35,
+# B36, B38, F5, F6, A16, A1)
+# ---------------------------------------------------------------------------
+
+def _table_cte(src: str, name: str) -> str:
+    """The D13 oracle statement turned into one more CTE ``name``."""
+    frag = _table_sql(src)
+    i = frag.index("\nSELECT b.company")
+    return frag[:i] + f", {name} AS (" + frag[i:] + ")\n"
+
+
+def _labels_values() -> str:
+    rows = [(0, "", "amount difference exactly at tolerance")] + [tuple(r) for r in SCENARIO_LABELS]
+    return ", ".join(f"({i}, '{a}', '{b}')" for i, a, b in rows)
+
+
+@q("b32_scenario_desc", f"""
+, lb(scenario, label, label_en) AS (VALUES {_labels_values()})
+SELECT s.company, s.scenario, l.label, l.label_en, s.rows FROM st s LEFT JOIN lb l ON s.scenario = l.scenario""")
+def b32(c: Ctx):
+    labels = S.scenario_labels(c.spark)
+    return c.an.stats.join(F.broadcast(labels), "scenario", "left").select(
+        "company", "scenario", "label", "label_en", "rows")
+
+
+@q("b35_scale_scenario_diff", _table_cte("sb", "tbl") + """
+SELECT company, line, order_inv_diff,
+  CASE WHEN line = '5' THEN 0.1 ELSE 1.0 END::DOUBLE factor,
+  CASE WHEN line = '5' THEN order_inv_diff * 0.1::DOUBLE
+       WHEN line IN ('subtotal', 'total') THEN order_inv_diff + sum(coalesce(
+         CASE WHEN line = '5' THEN order_inv_diff * (0.1::DOUBLE - 1.0::DOUBLE) END, 0.0)) OVER (PARTITION BY company)
+       ELSE order_inv_diff END diff_adjusted
+FROM tbl""")
+def b35(c: Ctx):
+    t = R.scenario_table(c.an.stats, "reported")
+    return S.scale_scenario_diff(t, 5, 0.1).select("company", "line", "order_inv_diff", "factor", "diff_adjusted")
+
+
+def _amt_text_sql(x: str, digits: int) -> str:
+    fmt = "{:,.%df}" % digits
+    return (f"(CASE WHEN {x} IS NULL THEN '' WHEN {x} = 0 THEN '-' "
+            f"WHEN {x} < 0 THEN '(' || format('{fmt}', (-{x})::DOUBLE) || ')' "
+            f"ELSE format('{fmt}', ({x})::DOUBLE) END)")
+
+
+def _pct_text_sql(x: str) -> str:
+    return f"(CASE WHEN {x} IS NULL THEN '' ELSE format('{{:,.1f}}', ({x})::DOUBLE) || '%' END)"
+
+
+@q("b36_report_numbers", _table_cte("sb", "tbl") + f"""
+, fx AS (SELECT company, line, line_order,
+   round_even(rows::DECIMAL(38,6), 0) r0, round_even(pct_rows::DECIMAL(38,6), 1) pr,
+   round_even(inv_amt::DECIMAL(38,6), 2) ia, round_even(pct_amt::DECIMAL(38,6), 1) pa,
+   round_even(order_inv_diff::DECIMAL(38,6), 2) od FROM tbl)
+SELECT company, line, line_order, {_amt_text_sql('r0', 0)} rows_text, {_pct_text_sql('pr')} pct_rows_text,
+  {_amt_text_sql('ia', 2)} inv_amt_text, {_pct_text_sql('pa')} pct_amt_text, {_amt_text_sql('od', 2)} diff_text,
+  coalesce(ia, 0)::DOUBLE inv_amt_back
+FROM fx""")
+def b36(c: Ctx):
+    return R.display_table(R.scenario_table(c.an.stats, "reported"))
+
+
+@q("b38_material_cleanup", "SELECT VKORG, VBELN, POSNR, "
+   "regexp_replace(regexp_replace(MATNR, '​', '', 'g'), '\\.0+$', '') MATNR FROM cl WHERE scenario NOT IN (0, 10)")
+def b38(c: Ctx):
+    return c.an.detail.select("VKORG", "VBELN", "POSNR", X.material_cleanup("MATNR").alias("MATNR"))
+
+
+@q("f5_sample_keys", """
+SELECT VKORG, VBELN, POSNR FROM (SELECT DISTINCT VKORG, VBELN, POSNR FROM cl WHERE scenario NOT IN (0, 10))
+ORDER BY ((coalesce(TRY_CAST(VBELN AS BIGINT), 0) % 2147483647) * 48271
+        + (coalesce(TRY_CAST(POSNR AS BIGINT), 0) % 2147483647) * 16807 + 42) % 2147483647, VKORG, VBELN, POSNR
+LIMIT 500""")
+def f5(c: Ctx):
+    keys = c.an.detail.select("VKORG", "VBELN", "POSNR").distinct()
+    return V.sample_keys(keys, 500, 42)
+
+
+@q("f6_ordered_output", _table_cte("sb", "tbl") + """
+SELECT row_number() OVER (ORDER BY company, line_order) position, company, line FROM tbl""")
+def f6(c: Ctx):
+    return R.ordered_report(R.scenario_table(c.an.stats, "reported")).select("position", "company", "line")
+
+
+@q("a16_scenario_extract", "SELECT company, scenario, VKORG, VBELN, POSNR, inv_amt::DOUBLE inv_amt "
+   "FROM cl WHERE scenario NOT IN (0, 10)")
+def a16(c: Ctx):
+    return PL.scenario_extract(c.an.classified).select("company", "scenario", "VKORG", "VBELN", "POSNR", "inv_amt")
+
+
+@q("a1_scan_extract", f"""SELECT MANDT, VBELN, VKORG, strftime({O.DT('AUDAT')}, '%Y-%m-%d') AUDAT, NULL::VARCHAR ERDAT,
+  AUART, KUNNR, NULL::VARCHAR VKGRP, NULL::VARCHAR VKBUR, NETWR::DOUBLE NETWR, WAERK, BUKRS_VF FROM vbak""")
+def a1(c: Ctx):
+    # round trip: the order headers written as a '#|#' text extract under the
+    # shared checkpoint folder, then read back by the extract source
+    path = stage_dir(c.spark, f"a1-extract-{uuid.uuid4().hex}")
+    write_extract(c.t["VBAK"], path)
+    parts = EX.list_files(c.spark, f"{path}/part-*")
+    return EX.read_extract(c.spark, parts, "VBAK").df.drop("_ord")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: (lambda spark, sf_dir, _f=fn: export(_f(Ctx(spark, sf_dir)))) for name, (fn, _) in REGISTRY.items()}
 

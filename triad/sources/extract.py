@@ -98,6 +98,11 @@ def _first_line(spark: SparkSession, path: str, encoding: str) -> str:
         stream.close()
 
 
+def list_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Files matching a glob on any cluster file system."""
+    return _hadoop_paths(spark, pattern)
+
+
 def list_parts(spark: SparkSession, root: str, table: str) -> list[str]:
     """Main-table part files under ``root`` (A7: helper tables excluded)."""
     return _hadoop_paths(spark, f"{root.rstrip('/')}/{TABLE_FILE_GLOBS[table]}")
