@@ -54,9 +54,10 @@ def main() -> None:
 
     def reconcile(i):
         out = os.path.join(scratch, f"run{i}")
-        rec = PL.reconcile(spark, t, p)
+        rec = PL.reconcile(spark, t, p, persist=True)
         PL.write_stage(rec.matched, os.path.join(out, "matched"), p)
         PL.write_stage(rec.untested, os.path.join(out, "untested"), p)
+        rec.release()
         return out
 
     def analyse(out):

@@ -14,7 +14,7 @@ from .common import KEY, exclusion_set
 from .company import vkorg_company, with_company
 from .deliveries import delivery_lines, delivery_pivot, known_orders
 from .invoices import invoice_lines, invoice_pivot
-from .orders import order_key_pivot, order_lines, order_pivot
+from .orders import material_grain, order_key_pivot, order_lines, order_pivot
 
 MATCH_MEASURES = ["inv_qty", "inv_amt", "dlv_qty", "ord_qty", "ord_amt_lc", "ord_amt_fc"]
 
@@ -30,6 +30,20 @@ class Pivots:
     invoice: DataFrame     # D4 + D5 + D6
     bukrs_map: DataFrame | None
 
+    def persist(self) -> "Pivots":
+        """Keep the four pivots (each read by the match *and* the untested
+        classes) for the duration of one stage.  MEMORY_AND_DISK: a lost
+        executor's blocks are recomputed from lineage; nothing is held on
+        the driver."""
+        from pyspark import StorageLevel
+        for df in (self.order, self.order_key, self.delivery, self.invoice):
+            df.persist(StorageLevel.MEMORY_AND_DISK)
+        return self
+
+    def release(self) -> None:
+        for df in (self.order, self.order_key, self.delivery, self.invoice):
+            df.unpersist()
+
 
 def build_pivots(spark: SparkSession, t: dict[str, DataFrame], p: Params) -> Pivots:
     """Orders, deliveries and invoices of ``t`` (the six conformed tables)."""
@@ -41,7 +55,8 @@ def build_pivots(spark: SparkSession, t: dict[str, DataFrame], p: Params) -> Piv
     dl = delivery_lines(t["LIKP"], t["LIPS"], known, p, batch_dedup=True)
     il = invoice_lines(t["VBRK"], t["VBRP"], excl, p, known)
     bmap = vkorg_company(t["VBAK"], t["VBRK"]) if p.company_by == "bukrs" else None
-    return Pivots(lines, order_pivot(lines), order_key_pivot(lines), delivery_pivot(dl), invoice_pivot(il), bmap)
+    grain = material_grain(lines)
+    return Pivots(lines, order_pivot(grain), order_key_pivot(grain), delivery_pivot(dl), invoice_pivot(il), bmap)
 
 
 def three_way_match(pv: Pivots, p: Params) -> DataFrame:

@@ -39,32 +39,47 @@ def order_lines(vbak: DataFrame, vbap: DataFrame, excl: DataFrame, p: Params) ->
     return drop_excluded(d, "KUNNR", excl)
 
 
-def order_pivot(lines: DataFrame) -> DataFrame:
-    """D1 (+C11): sums by (VKORG, VBELN, POSNR, MATNR); first order type."""
+def material_grain(lines: DataFrame) -> DataFrame:
+    """D1 with the extra columns the order-line pivot folds up: sums by
+    (VKORG, VBELN, POSNR, MATNR), description of the group's first source
+    row, first non-null order type and the source position it came from."""
+    auart_pos = F.struct(F.col("AUART").isNull().alias("_null"), F.col("_ord").alias("_ord"))
     return (lines.groupBy(*KEY, "MATNR")
             .agg(F.sum("ord_amt_fc").alias("ord_amt_fc"),
                  F.sum("ord_amt_lc").alias("ord_amt_lc"),
                  F.sum("ord_qty").alias("ord_qty"),
-                 first_non_null("AUART").alias("AUART")))
+                 F.min_by("ARKTX", F.col("_ord")).alias("ARKTX"),
+                 first_non_null("AUART").alias("AUART"),
+                 F.min(auart_pos).alias("_auart_pos")))
+
 
+def order_pivot(lines_or_grain: DataFrame) -> DataFrame:
+    """D1 (+C11): sums by (VKORG, VBELN, POSNR, MATNR); first order type.
+    Accepts order lines or the output of :func:`material_grain`."""
+    g = lines_or_grain if "_auart_pos" in lines_or_grain.columns else material_grain(lines_or_grain)
+    return g.select(*KEY, "MATNR", "ord_amt_fc", "ord_amt_lc", "ord_qty", "AUART")
 
-def order_key_pivot(lines: DataFrame) -> DataFrame:
-    """D2 + C10 + C11 in one aggregation at order-line grain.
+
+def order_key_pivot(grain: DataFrame) -> DataFrame:
+    """D2 + C10 + C11 at order-line grain, folded up from the material grain
+    (:func:`material_grain`, already hash-partitioned on the key, so this
+    aggregation adds no exchange).
 
     Sums over all materials of the line; MATNR = smallest material (the
     process takes the first after a key-sorted pivot); ARKTX = description of
     the first source row of that material (the mapper keeps the first row);
-    AUART = first non-null order type.  ``n_materials`` > 1 marks the lines
-    the process reports as multi-material (D24).
+    AUART = first non-null order type over all rows of the line.
+    ``n_materials`` > 1 marks the lines the process reports as
+    multi-material (D24).
     """
-    return (lines.groupBy(*KEY)
+    return (grain.groupBy(*KEY)
             .agg(F.sum("ord_amt_fc").alias("ord_amt_fc"),
                  F.sum("ord_amt_lc").alias("ord_amt_lc"),
                  F.sum("ord_qty").alias("ord_qty"),
                  F.min("MATNR").alias("MATNR"),
-                 F.min_by("ARKTX", F.struct("MATNR", "_ord")).alias("ARKTX"),
-                 first_non_null("AUART").alias("AUART"),
-                 F.count_distinct("MATNR").alias("n_materials")))
+                 F.min_by("ARKTX", F.col("MATNR")).alias("ARKTX"),
+                 F.min_by("AUART", F.col("_auart_pos")).alias("AUART"),
+                 F.count(F.lit(1)).alias("n_materials")))
 
 
 def material_mapper(lines: DataFrame) -> DataFrame:

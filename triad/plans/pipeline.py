@@ -39,6 +39,10 @@ class Reconciled:
     def control(self) -> DataFrame:
         return M.control_totals(self.pivots, self.matched)
 
+    def release(self) -> None:
+        """Drop the persisted pivots once the stage outputs are written."""
+        self.pivots.release()
+
 
 @dataclass
 class Analysis:
@@ -64,9 +68,16 @@ class GroupReport:
     extra: dict = field(default_factory=dict)
 
 
-def reconcile(spark: SparkSession, t: dict[str, DataFrame], p: Params) -> Reconciled:
-    """K2: three-way match with negative-invoice split and untested classes."""
+def reconcile(spark: SparkSession, t: dict[str, DataFrame], p: Params, persist: bool = False) -> Reconciled:
+    """K2: three-way match with negative-invoice split and untested classes.
+
+    ``persist=True`` (for callers that write both the match and the
+    untested classes) keeps the pivots between the two writes; call
+    :meth:`Reconciled.release` afterwards.
+    """
     pv = M.build_pivots(spark, t, p)
+    if persist:
+        pv.persist()
     matched = M.three_way_match(pv, p)
     return Reconciled(pv, matched, M.main_rows(matched), M.negative_invoices(matched), M.untested(pv, p))
 
@@ -168,9 +179,10 @@ def run_all(spark: SparkSession, t: dict[str, DataFrame], p: Params, out_dir: st
             write_stage(df.withColumnRenamed("sales_org", "company") if p.company_by == "vkorg" else df,
                         paths[name], p, partition_by=())
     if mode in ("all", "match+diff"):
-        rec = reconcile(spark, t, p)
+        rec = reconcile(spark, t, p, persist=True)
         write_stage(rec.matched, paths["matched"], p, batch_id=batch_id)
         write_stage(rec.untested, paths["untested"], p, batch_id=batch_id)
+        rec.release()
     matched = read_stage(spark, paths["matched"], newest_batch=batch_id is not None)
     untested = read_stage(spark, paths["untested"], newest_batch=batch_id is not None)
     an = analyse(None, p, main=M.main_rows(matched), negative=M.negative_invoices(matched), untested=untested)
