@@ -12,9 +12,14 @@ from ..config import Params
 from ..functions.exprs import sold_to_norm
 
 KEY = ["VKORG", "VBELN", "POSNR"]
+# The same key in the order used for grouping, partitioning and joining:
+# the high-cardinality column first, so sorts (sort-merge joins, windows)
+# decide on the sort prefix instead of comparing full rows (VKORG has few
+# values, MANDT one).
+JKEY = ["VBELN", "POSNR", "VKORG"]
 
 
-def header_join(lines: DataFrame, header: DataFrame, keys=("MANDT", "VBELN")) -> DataFrame:
+def header_join(lines: DataFrame, header: DataFrame, keys=("VBELN", "MANDT")) -> DataFrame:
     """Lines left-joined to their header on (MANDT, VBELN).
 
     On a name clash the line value wins; where the line cell is null the

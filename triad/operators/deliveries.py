@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 
 from ..config import Params
 from ..functions import exprs as X
-from .common import KEY, doc_list, header_join, keep_first, non_null_keys
+from .common import JKEY, KEY, doc_list, header_join, keep_first, non_null_keys
 
 
 def _joined(likp: DataFrame, lips: DataFrame, dedup: bool) -> DataFrame:
     """F1, F2, C2.  LIPS is hash-partitioned on (MANDT, VBELN) once; the
     keep-first window and the header join both reuse that exchange."""
     if dedup:
-        likp = keep_first(likp, ["MANDT", "VBELN"])
-        lips = keep_first(lips.repartition("MANDT", "VBELN"), ["MANDT", "VBELN", "POSNR"])
+        likp = keep_first(likp, ["VBELN", "MANDT"])
+        lips = keep_first(lips.repartition("VBELN", "MANDT"), ["VBELN", "POSNR", "MANDT"])
     return header_join(lips, likp)
 
 
@@ -96,7 +96,7 @@ def delivery_pivot(lines: DataFrame) -> DataFrame:
     Rows with a null VKORG (no header) vanish, as in the process."""
     keyed = lines.select(F.col("VKORG"), F.col("ORD_VBELN").alias("VBELN"), F.col("ORD_POSNR").alias("POSNR"),
                          F.col("VBELN").alias("_dlv_no"), "dlv_qty")
-    return (non_null_keys(keyed, KEY).groupBy(*KEY)
+    return (non_null_keys(keyed, KEY).groupBy(*JKEY)
             .agg(F.sum("dlv_qty").alias("dlv_qty"), doc_list("_dlv_no").alias("dlv_docs")))
 
 

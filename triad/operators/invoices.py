@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..config import Params
 from ..functions import exprs as X
 from .deliveries import order_set_filter
-from .common import KEY, doc_list, drop_excluded, first_non_null, header_join, non_null_keys
+from .common import JKEY, KEY, doc_list, drop_excluded, first_non_null, header_join, non_null_keys
 
 
 def _period_lines(vbrk: DataFrame, vbrp: DataFrame, p: Params) -> DataFrame:
@@ -48,7 +48,7 @@ def invoice_pivot(lines: DataFrame) -> DataFrame:
     numbers per order line; a null key drops the row (pivot semantics)."""
     keyed = lines.select(F.col("VKORG"), F.col("ORD_VBELN").alias("VBELN"), F.col("ORD_POSNR").alias("POSNR"),
                          F.col("VBELN").alias("_inv_no"), "FKART", "inv_amt", "inv_qty", "_ord")
-    return (non_null_keys(keyed, KEY).groupBy(*KEY)
+    return (non_null_keys(keyed, KEY).groupBy(*JKEY)
             .agg(F.sum("inv_amt").alias("inv_amt"), F.sum("inv_qty").alias("inv_qty"),
                  first_non_null("FKART").alias("inv_type"), doc_list("_inv_no").alias("inv_docs")))
 

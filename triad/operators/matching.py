@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import Params
 from ..functions import exprs as X
-from .common import KEY, exclusion_set
+from .common import JKEY, KEY, exclusion_set
 from .company import vkorg_company, with_company
 from .deliveries import delivery_lines, delivery_pivot, known_orders
 from .invoices import invoice_lines, invoice_pivot
@@ -50,7 +50,7 @@ def build_pivots(spark: SparkSession, t: dict[str, DataFrame], p: Params) -> Piv
     excl = exclusion_set(spark, p, t["VBAK"], t["VBRK"])
     lines = order_lines(t["VBAK"], t["VBAP"], excl, p)
     # One exchange on the match key feeds both order pivots and the joins.
-    lines = lines.repartition(*KEY)
+    lines = lines.repartition(*JKEY)
     known = known_orders(t["VBAK"])
     dl = delivery_lines(t["LIKP"], t["LIPS"], known, p, batch_dedup=True)
     il = invoice_lines(t["VBRK"], t["VBRP"], excl, p, known)
@@ -67,7 +67,7 @@ def three_way_match(pv: Pivots, p: Params) -> DataFrame:
     inv = pv.invoice
     dlv = pv.delivery.withColumn("_has_dlv", F.lit(True))
     ordk = pv.order_key.withColumn("_has_ord", F.lit(True))
-    j = inv.join(dlv, KEY, "left").join(ordk, KEY, "left")
+    j = inv.join(dlv, JKEY, "left").join(ordk, JKEY, "left")
     m = j.select(
         *KEY, "AUART", "inv_docs", "inv_type", "dlv_docs",
         *[X.round2(c).alias(c) for c in MATCH_MEASURES],
@@ -96,7 +96,7 @@ def untested(pv: Pivots, p: Params) -> DataFrame:
     """
     o = pv.order.withColumn("_has_ord", F.lit(True))
     d = pv.delivery.select(*KEY, "dlv_qty", "dlv_docs").withColumn("_has_dlv", F.lit(True))
-    j = o.join(d, KEY, "full").join(pv.invoice.select(*KEY), KEY, "left_anti")
+    j = o.join(d, JKEY, "full").join(pv.invoice.select(*JKEY), JKEY, "left_anti")
     cls = (F.when(F.col("_has_dlv").isNull(), F.lit("order_only"))
             .when(F.col("_has_ord").isNull(), F.lit("delivery_only"))
             .otherwise(F.lit("order_delivery")))

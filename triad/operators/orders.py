@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..config import Params
 from ..functions import exprs as X
-from .common import KEY, drop_excluded, first_non_null, header_join
+from .common import JKEY, KEY, drop_excluded, first_non_null, header_join
 
 ORDER_MEASURES = ["ord_amt_fc", "ord_amt_lc", "ord_qty"]
 
@@ -44,7 +44,7 @@ def material_grain(lines: DataFrame) -> DataFrame:
     (VKORG, VBELN, POSNR, MATNR), description of the group's first source
     row, first non-null order type and the source position it came from."""
     auart_pos = F.struct(F.col("AUART").isNull().alias("_null"), F.col("_ord").alias("_ord"))
-    return (lines.groupBy(*KEY, "MATNR")
+    return (lines.groupBy(*JKEY, "MATNR")
             .agg(F.sum("ord_amt_fc").alias("ord_amt_fc"),
                  F.sum("ord_amt_lc").alias("ord_amt_lc"),
                  F.sum("ord_qty").alias("ord_qty"),
@@ -72,7 +72,7 @@ def order_key_pivot(grain: DataFrame) -> DataFrame:
     ``n_materials`` > 1 marks the lines the process reports as
     multi-material (D24).
     """
-    return (grain.groupBy(*KEY)
+    return (grain.groupBy(*JKEY)
             .agg(F.sum("ord_amt_fc").alias("ord_amt_fc"),
                  F.sum("ord_amt_lc").alias("ord_amt_lc"),
                  F.sum("ord_qty").alias("ord_qty"),
@@ -84,7 +84,7 @@ def order_key_pivot(grain: DataFrame) -> DataFrame:
 
 def material_mapper(lines: DataFrame) -> DataFrame:
     """one description per (MATNR, VKORG, VBELN, POSNR), first row wins."""
-    return (lines.groupBy("MATNR", *KEY)
+    return (lines.groupBy(*JKEY, "MATNR")
             .agg(F.min_by("ARKTX", F.col("_ord")).alias("ARKTX")))
 
 
