@@ -205,3 +205,12 @@ def test_order_pivot_material_grain(spark):
     assert k["ord_qty"] == Decimal("15") and k["MATNR"] == "M1" and k["n_materials"] == 2
     assert rec.matched.where(F.col("VBELN") == "0000000120").count() == 1
     assert M.MATCH_MEASURES
+
+
+def test_company_by_bukrs(spark):
+    # company code through the VKORG->BUKRS map (VBRK last wins over VBAK)
+    rows = merge_sets(doc_set(130, vbak_BUKRS_VF="5001"), doc_set(131, vkorg="2000"))
+    _, rec, an = _run(spark, rows, edge_params(company_by="bukrs"))
+    got = sorted((r["VBELN"], r["company"]) for r in rec.matched.collect())
+    assert got == [("0000000130", "5000"), ("0000000131", "5000")]
+    assert {r["company"] for r in an.stats.where("rows > 0").collect()} == {"5000"}

@@ -22,8 +22,11 @@ def vkorg_company(vbak: DataFrame, vbrk: DataFrame) -> DataFrame:
     """VKORG -> BUKRS from VBAK (BUKRS_VF) then VBRK (BUKRS); the last
     pair seen wins, VBRK after VBAK, file order within a table.
 
-    The result has one row per sales organisation (VKORG is a 4-character
-    code), so it is small by construction and safe to broadcast.
+    The result has one row per sales organisation.  It is small in
+    practice, but dirty data can hold any VKORG text, so joins to it carry
+    no broadcast hint: AQE broadcasts it at runtime when its measured size is
+    under ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and keeps the
+    sort-merge join otherwise.
     """
     a = vbak.select(_code("VKORG").alias("VKORG"), _code("BUKRS_VF").alias("BUKRS"),
                     F.lit(0).alias("_rank"), "_ord")
@@ -51,7 +54,7 @@ def assign_company_header(df: DataFrame, table: str, by: str = "bukrs",
     if table == "LIKP":
         assert bmap is not None, "LIKP needs the VKORG->BUKRS map"
         m = bmap.select(F.col("VKORG").alias("_mv"), F.col("BUKRS").alias("_mb"))
-        j = df.withColumn("_vk", _code("VKORG")).join(F.broadcast(m), F.col("_vk") == F.col("_mv"), "left")
+        j = df.withColumn("_vk", _code("VKORG")).join(m, F.col("_vk") == F.col("_mv"), "left")
         comp = (F.when(F.col("_vk").isNull(), F.lit(UNKNOWN))
                  .when(F.col("_mb").isNull(), F.lit(UNMAPPED)).otherwise(F.col("_mb")))
         return j.withColumn("company", comp).drop("_vk", "_mv", "_mb")
@@ -102,5 +105,5 @@ def with_company(df: DataFrame, p: Params, bmap: DataFrame | None) -> DataFrame:
     if p.company_by == "vkorg":
         return df.withColumn("company", F.col("VKORG"))
     m = bmap.select(F.col("VKORG").alias("_mv"), F.col("BUKRS").alias("company"))
-    return (df.join(F.broadcast(m), df["VKORG"] == m["_mv"], "left").drop("_mv")
+    return (df.join(m, df["VKORG"] == m["_mv"], "left").drop("_mv")
               .withColumn("company", F.coalesce(F.col("company"), F.lit(UNMAPPED))))
