@@ -47,11 +47,14 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return ``spark.checkpoint.dir``; set a scratch one only when unset.
 
-    On a cluster the folder is a shared one named by the cluster; a local
-    temporary folder is only acceptable for local runs and tests.
+    On a cluster the folder is a shared one the cluster names in
+    ``spark.checkpoint.dir``; a machine-local temporary folder is used only
+    for a local master (tests, single-machine runs).
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         d = tempfile.mkdtemp(prefix="triad-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
