@@ -813,12 +813,38 @@ def b25(c: Ctx):
 # verify (C14, D23)
 # ---------------------------------------------------------------------------
 
-@q("c14_verify_lookup", None)
+def _pn(x: str) -> str:
+    return (f"(CASE WHEN try_cast(trim({x}) AS BIGINT) IS NULL THEN trim({x}) "
+            f"ELSE lpad(try_cast(trim({x}) AS BIGINT)::VARCHAR, 6, '0') END)")
+
+
+_VERIFY_SQL = f"""
+, vk AS (SELECT DISTINCT VKORG, VBELN, POSNR FROM cl WHERE scenario IN (4, 5) AND abs(ord_qty) < 0.01),
+vs AS (SELECT trim(VBELN) v, {_pn('POSNR')} p, sum(coalesce(KLMENG, 0)) ks,
+         arg_min_null(KLMENG, {{'a': VBELN, 'b': POSNR, 'c': MATNR, 'd': ARKTX, 'e': KWMENG, 'f': NETWR}}) kf
+       FROM vbap GROUP BY 1, 2),
+dr AS (SELECT trim(VBELN) dv, {_pn('POSNR')} dp,
+         trim(CASE WHEN {O.B('VGBEL')} THEN VBELV ELSE VGBEL END) ov,
+         {_pn(f"CASE WHEN {O.B('VGPOS')} THEN POSNV ELSE VGPOS END")} op
+       FROM lips QUALIFY row_number() OVER (PARTITION BY trim(VBELN), {_pn('POSNR')} ORDER BY s, pk, q, x) = 1),
+vr AS (SELECT k.VKORG, k.VBELN, k.POSNR, a.ks, b.kf ord_klmeng
+       FROM vk k LEFT JOIN vs a ON k.VBELN = a.v AND {_pn('k.POSNR')} = a.p
+       LEFT JOIN dr d ON k.VBELN = d.dv AND {_pn('k.POSNR')} = d.dp
+       LEFT JOIN vs b ON d.ov = b.v AND d.op = b.p),
+vv AS (SELECT VKORG, VBELN, POSNR,
+       CASE WHEN ks IS NOT NULL AND abs(ks) >= 0.000001 THEN 'order_qty_nonzero'
+            WHEN ks IS NOT NULL THEN 'order_qty_zero'
+            WHEN ord_klmeng IS NOT NULL AND abs(ord_klmeng) >= 0.000001 THEN 'delivery_no_order_qty_nonzero'
+            ELSE 'not_found_or_zero' END verdict FROM vr)
+"""
+
+
+@q("c14_verify_lookup", _VERIFY_SQL + "SELECT VKORG, VBELN, POSNR, verdict FROM vv")
 def c14(c: Ctx):
     return V.verify_lookup(c.an.detail, c.t, c.p).select("VKORG", "VBELN", "POSNR", "verdict")
 
 
-@q("d23_verify_summary", None)
+@q("d23_verify_summary", _VERIFY_SQL + "SELECT verdict, count(*) AS rows FROM vv GROUP BY verdict")
 def d23(c: Ctx):
     return V.verify_summary(V.verify_lookup(c.an.detail, c.t, c.p))
 
