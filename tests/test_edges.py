@@ -214,3 +214,17 @@ def test_company_by_bukrs(spark):
     got = sorted((r["VBELN"], r["company"]) for r in rec.matched.collect())
     assert got == [("0000000130", "5000"), ("0000000131", "5000")]
     assert {r["company"] for r in an.stats.where("rows > 0").collect()} == {"5000"}
+
+
+def test_empty_reference_never_matches(spark):
+    # an order header with an empty number must not pull in every delivery
+    # line with an empty reference (empty keys are salted, never joined)
+    p = edge_params()
+    vbak = [{"MANDT": "100", "VBELN": "", "VKORG": "1000"}, {"MANDT": "100", "VBELN": "0000000140", "VKORG": "1000"}]
+    likp = [{"MANDT": "100", "VBELN": "8000000140", "VKORG": "1000"}]
+    lips = [_lips(140, "000010", "5"),
+            dict(_lips(140, "000020", "5"), VBELV="", VGBEL=""),
+            dict(_lips(140, "000030", "5"), VBELV="", VGBEL="0000000140")]
+    t = make_tables(spark, vbak=vbak, likp=likp, lips=lips)
+    lines = DV.delivery_lines(t["LIKP"], t["LIPS"], DV.known_orders(t["VBAK"]), p, batch_dedup=True)
+    assert sorted(r["POSNR"] for r in lines.collect()) == ["000010", "000030"]

@@ -3,7 +3,7 @@ delivery pivot (D3, D5) and the delivery lists (B23, B24)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -13,17 +13,28 @@ from .common import JKEY, KEY, doc_list, header_join, keep_first, non_null_keys
 
 
 def _joined(likp: DataFrame, lips: DataFrame, dedup: bool) -> DataFrame:
-    """F1, F2, C2.  LIPS is hash-partitioned on (MANDT, VBELN) once; the
-    keep-first window and the header join both reuse that exchange."""
+    """F1, F2, C2.  Keep-first windows partition on the full line key, so
+    even one delivery holding a large share of all lines spreads over many
+    tasks (no explicit repartition on the delivery number alone)."""
     if dedup:
         likp = keep_first(likp, ["VBELN", "MANDT"])
-        lips = keep_first(lips.repartition("VBELN", "MANDT"), ["VBELN", "POSNR", "MANDT"])
+        lips = keep_first(lips, ["VBELN", "POSNR", "MANDT"])
     return header_join(lips, likp)
 
 
 def known_orders(vbak: DataFrame) -> DataFrame:
-    """Distinct order numbers of the order headers (column ``_k``)."""
-    return vbak.select(F.col("VBELN").alias("_k")).where(F.col("_k").isNotNull()).distinct()
+    """Distinct order numbers of the order headers (column ``_k``); a
+    missing or empty number is no order."""
+    return vbak.select(F.col("VBELN").alias("_k")).where(F.col("_k").isNotNull() & (F.col("_k") != "")).distinct()
+
+
+def _salted(ref: str) -> Column:
+    """Join key of a reference column: a missing or empty reference (the
+    usual hot value, often half of all lines) becomes the line's own
+    identity behind a \\x01 prefix, which no order number has — it still
+    matches nothing, but no longer lands in one shuffle partition."""
+    salt = F.concat(F.lit("\u0001"), F.col("VBELN"), F.lit("#"), F.col("POSNR"))
+    return F.when(F.col(ref).isNull() | (F.col(ref) == ""), salt).otherwise(F.col(ref))
 
 
 def order_set_filter(d: DataFrame, known: DataFrame, cols: tuple[str, str] = ("VBELV", "VGBEL")) -> DataFrame:
@@ -31,17 +42,18 @@ def order_set_filter(d: DataFrame, known: DataFrame, cols: tuple[str, str] = ("V
     *or* second reference column is a known order number.
 
     Two equi left joins against the same distinct order-number relation
-    (one exchange, reused) with hit flags, instead of one OR-join, which
-    would plan as a nested loop.  A flood of blank references ('' or
-    '000000') is a hot key on the preserved side of a left join, which AQE's
-    skew-join handling splits; nothing is dropped or sampled.
+    with hit flags, instead of one OR-join, which would plan as a nested
+    loop.  Empty references are salted (:func:`_salted`); any other hot
+    value is a hot key on the preserved side of a left join, which AQE's
+    skew-join handling splits.  Nothing is dropped or sampled.
     """
     c1, c2 = cols
     k = known.select(F.col("_k"), F.lit(True).alias("_hit"))
     k1 = k.select(F.col("_k").alias("_k1"), F.col("_hit").alias("_hit1"))
     k2 = k.select(F.col("_k").alias("_k2"), F.col("_hit").alias("_hit2"))
-    d = d.join(k1, d[c1] == k1["_k1"], "left").drop("_k1")
-    d = d.join(k2, d[c2] == k2["_k2"], "left").drop("_k2")
+    d = d.withColumn("_j1", _salted(c1)).withColumn("_j2", _salted(c2))
+    d = d.join(k1, d["_j1"] == k1["_k1"], "left").drop("_k1", "_j1")
+    d = d.join(k2, d["_j2"] == k2["_k2"], "left").drop("_k2", "_j2")
     hit = F.coalesce(F.col("_hit1"), F.lit(False)) | F.coalesce(F.col("_hit2"), F.lit(False))
     return d.where(hit).drop("_hit1", "_hit2")
 
@@ -51,21 +63,21 @@ def batch_child_dedup(d: DataFrame) -> DataFrame:
     referenced by UEPOS or UECHA) is present; runs after the zero filter, so
     a zero-quantity parent does not remove its children.
 
-    No self-join: the lines are hash-partitioned once on the delivery
-    number; for each pointer column a window over (delivery, position) —
-    where a parent sits under its own POSNR and a child under the position
-    it points to — tells whether a parent shares the child's partition.
-    Both windows are satisfied by the one exchange (their keys contain the
-    delivery number), so C8 costs one shuffle and two in-partition sorts.
+    No self-join: for each pointer column a window over (delivery,
+    position) — where a parent sits under its own POSNR and a child under
+    the position it points to — tells whether a parent shares the child's
+    window partition.  Rows with no position to look up (neither parent nor
+    pointing child) get their own line number behind a \\x01 prefix as the
+    window key, so no group is hot and even one very large delivery spreads
+    over many tasks; such rows are never dropped by that window.
     """
-    d = d.repartition("VBELN")
     is_parent = X.blank_parent_ref("UEPOS") & X.blank_parent_ref("UECHA")
     d = d.withColumn("_parent", is_parent)
     drop = F.lit(False)
     for i, ref in enumerate(("UEPOS", "UECHA")):
         k = F.when(F.col("_parent"), F.col("POSNR")).when(~X.blank_parent_ref(ref), F.col(ref))
         d = d.withColumn(f"_k{i}", k)
-        w = Window.partitionBy("VBELN", f"_k{i}")
+        w = Window.partitionBy("VBELN", F.coalesce(F.col(f"_k{i}"), F.concat(F.lit("\u0001"), F.col("POSNR"))))
         d = d.withColumn(f"_hp{i}", F.max(F.col("_parent").cast("int")).over(w))
         drop = drop | (F.col(f"_k{i}").isNotNull() & (F.col(f"_hp{i}") == 1))
     return d.where(F.col("_parent") | ~drop).drop("_parent", "_k0", "_k1", "_hp0", "_hp1")
