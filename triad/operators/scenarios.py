@@ -116,23 +116,23 @@ def scenario_stats(classified: DataFrame, untested_rows: DataFrame, negative: Da
     n = negative.select("company", F.lit(NEGATIVE).alias("scenario"), F.col("inv_amt").cast(dec2).alias("amt"),
                         F.lit(None).cast(dec2).alias("diff"))
     rows = m.unionByName(u).unionByName(n)
-    is_main = F.col("scenario").isin(*MAIN_SCENARIOS)
-    aggs = [F.sum(F.when(is_main, 1).otherwise(0)).alias("_n"),
-            F.sum(F.when(is_main & (F.col("amt") > 0), F.col("amt"))).alias("_p"),
-            F.sum(F.when(is_main, F.col("amt"))).alias("_t"),
-            F.sum(F.when(F.col("scenario") != MISSING_INVOICE, 1).otherwise(0)).alias("_tested")]
+    # conditional sums and the explode written as SQL text (parsed in a few
+    # calls rather than built node by node on the driver)
+    main_ids = ", ".join(str(i) for i in MAIN_SCENARIOS)
+    aggs = [f"sum(CASE WHEN scenario IN ({main_ids}) THEN 1 ELSE 0 END) AS _n",
+            f"sum(CASE WHEN scenario IN ({main_ids}) AND amt > 0 THEN amt END) AS _p",
+            f"sum(CASE WHEN scenario IN ({main_ids}) THEN amt END) AS _t",
+            f"sum(CASE WHEN scenario != {MISSING_INVOICE} THEN 1 ELSE 0 END) AS _tested"]
     for sid in ALL_SCENARIOS:
-        hit = F.col("scenario") == sid
-        aggs += [F.sum(F.when(hit, 1).otherwise(0)).alias(f"c{sid}"),
-                 F.sum(F.when(hit, F.col("amt"))).alias(f"a{sid}"),
-                 F.sum(F.when(hit, F.col("diff"))).alias(f"d{sid}")]
-    wide = rows.groupBy("company").agg(*aggs).where(F.col("_tested") > 0)
+        aggs += [f"sum(CASE WHEN scenario = {sid} THEN 1 ELSE 0 END) AS c{sid}",
+                 f"sum(CASE WHEN scenario = {sid} THEN amt END) AS a{sid}",
+                 f"sum(CASE WHEN scenario = {sid} THEN diff END) AS d{sid}"]
+    wide = rows.groupBy("company").agg(*[F.expr(a) for a in aggs]).where(F.col("_tested") > 0)
     zero = F.lit(0).cast(dec2)
-    items = F.array(*[F.struct(F.lit(sid).alias("scenario"), F.col(f"c{sid}").alias("rows"),
-                               F.coalesce(F.col(f"a{sid}"), zero).alias("inv_amt"),
-                               F.coalesce(F.col(f"d{sid}"), zero).alias("order_inv_diff"))
-                      for sid in ALL_SCENARIOS])
-    e = wide.select("company", "_n", "_p", "_t", F.inline(items))
+    z = "CAST(0 AS DECIMAL(38,2))"
+    items = ", ".join(f"named_struct('scenario', {sid}, 'rows', c{sid}, 'inv_amt', coalesce(a{sid}, {z}), "
+                      f"'order_inv_diff', coalesce(d{sid}, {z}))" for sid in ALL_SCENARIOS)
+    e = wide.selectExpr("company", "_n", "_p", "_t", f"inline(array({items}))")
     is_main = F.col("scenario").isin(*MAIN_SCENARIOS)
     denom = F.when(F.col("_p") > 0, F.col("_p")).otherwise(F.coalesce(F.col("_t"), zero))
     rows_den = F.when(is_main, F.col("_n")).otherwise(F.col("_n") + F.col("rows"))
