@@ -1,14 +1,21 @@
 """The corpus pipeline: quality rules, near-duplicates, benchmark
-decontamination, personal data, SentencePiece encoding."""
+decontamination, personal data, SentencePiece encoding.
+
+Each stage works on all documents that its predecessor kept.  Rows of a doc_id
+share the decisions of the filtering stages (see each operator).
+"""
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from triad.llm.leaks import drop_leaks
+from triad.llm.near import keep_one
+from triad.llm.pii import redact
 from triad.llm.quality import keep_good
+from triad.llm.segment import encoded
 from triad.session import stage_dir
 
 
@@ -17,7 +24,28 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_good(docs)
 
 
-STAGES = [("quality", quality)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group (five-word shingles, 0.8) stays."""
+    return keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents into which a benchmark item has leaked go."""
+    return drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is masked."""
+    return redact(docs)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sampled segmentations: doc_id, sample, ids and their scores."""
+    return encoded(docs)
+
+
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
+          ("personal_data", personal_data), ("encoding", encoding)]
 
 #: Covariance iterations, tilings and sampled lattices are beyond SQL; the
 #: stages are tested against brute-force versions instead.
@@ -29,7 +57,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = stage_dir(spark, f"corpus-{uuid.uuid4().hex}")
     for i, (name, stage) in enumerate(STAGES):
-        at = os.path.join(folder, f"{i}-{name}")
-        stage(spark, docs, sf_dir).write.parquet(at)
-        docs = spark.read.parquet(at)
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}-{name}")
+        docs = spark.read.parquet(f"{folder}/{i}-{name}")
     return docs
