@@ -64,6 +64,7 @@ TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<tag2>[A-Za-z][^\s/>]*)(?P<attrs2>[^>]*)>", re.S)
 ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 WORDS = re.compile(r"[a-z]+")
+HOLDS = re.compile(r"\b(?:with|has|have|no|without)[-_ ]+[a-z]+")  # "page-with-sidebar" is not a sidebar
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
@@ -144,7 +145,8 @@ class Page:
             return True
         if "style" in found and re.search(r"display\s*:\s*none", found["style"]):
             return True
-        words = set(WORDS.findall(CAMEL.sub(" ", f"{found.get('class', '')} {found.get('id', '')}").lower()))
+        names = CAMEL.sub(" ", f"{found.get('class', '')} {found.get('id', '')}").lower()
+        words = set(WORDS.findall(HOLDS.sub(" ", names)))
         hit = words & CUT_WORDS
         if not hit or tag in ("main", "h1"):
             return False

@@ -191,8 +191,10 @@ hit AS (SELECT r, doc_id, k, coalesce(c3.c, c2.c, c1.c) AS c, coalesce(c3.id, c2
         LEFT JOIN known c3 ON w.soft AND w.f1 AND c3.s = w.s || ' ' || w.s1 || ' ' || w.s2 AND w.s <> '' AND w.s1 <> '' AND w.s2 <> ''),
 seq AS (SELECT r, doc_id, string_agg(c, '' ORDER BY k) AS s FROM hit WHERE c IS NOT NULL GROUP BY r, doc_id),
 m AS (SELECT r, doc_id, regexp_extract_all(s, '{r.pattern.pattern}') AS m FROM seq),
-e AS (SELECT doc_id, unnest(m) AS s, generate_subscripts(m, 1)::BIGINT AS match FROM m)
-SELECT doc_id, match, coalesce(license, 'incomplete') AS license,
-       list_aggregate(list_transform(string_split(e.s, ''), x -> (SELECT any_value(id) FROM known WHERE c = x)), 'string_agg', ',') AS sentences
-FROM e LEFT JOIN rules ON rules.s = e.s
+e AS (SELECT r, doc_id, unnest(m) AS s, generate_subscripts(m, 1)::BIGINT AS match FROM m),
+ch AS (SELECT r, match, unnest(string_split(s, '')) AS c, generate_subscripts(string_split(s, ''), 1) AS i FROM e),
+names AS (SELECT DISTINCT c, id FROM known),
+ids AS (SELECT r, match, string_agg(id, ',' ORDER BY i) AS sentences FROM ch JOIN names USING (c) GROUP BY r, match)
+SELECT doc_id, e.match, coalesce(license, 'incomplete') AS license, sentences
+FROM e JOIN ids ON ids.r = e.r AND ids.match = e.match LEFT JOIN rules ON rules.s = e.s
 """

@@ -5,8 +5,8 @@ Their strings are the seed entities.  Every other token with a digit or an at
 sign is a possible instance.  Instances and the words around them form a graph:
 a lexical pattern is one or two words on the left, a word on the right, or both
 sides.  Spark scores the graph in rounds.  A pattern's confidence for a kind is
-the share of its instance weight that is reliably of this kind, all other
-identifiers counting against it, and it needs ``support`` different reliable
+the share of its instance weight that is reliably of this kind: other
+identifiers count against it, those whose form allows the kind by half, and it needs ``support`` different reliable
 instances; an instance's reliability is one minus the product of the doubts of
 the accepted patterns around it, and only for kinds that its form allows.  Seeds
 have reliability 1 wherever they occur, so an occurrence that the fixed patterns
@@ -178,7 +178,11 @@ def reliabilities(occ: DataFrame, p: Bootstrap) -> DataFrame:
         by = edges.join(scored, "instance").groupBy("pattern", "kind").agg(
             F.sum(F.col("w") * F.col("r")).alias("good"),
             F.sum(F.when(F.col("r") >= p.accept, 1).otherwise(0)).alias("support")).where(F.col("support") >= p.support)
-        trusted = by.join(weight, "pattern").withColumn("conf", F.col("good") / F.col("all")).where(F.col("conf") >= p.confidence)
+        undecided = allowed.join(scored.where(F.col("r") >= p.accept), ["instance", "kind"], "left_anti")
+        undecided = edges.join(undecided, "instance").groupBy("pattern", "kind").agg(F.sum("w").alias("open"))
+        conf = F.col("good") / (F.col("all") - F.coalesce("open", F.lit(0.0)) / 2)
+        trusted = by.join(weight, "pattern").join(undecided, ["pattern", "kind"], "left").withColumn("conf", F.least(F.lit(1.0), conf))
+        trusted = trusted.where(F.col("conf") >= p.confidence)
         doubt = F.sum(F.log1p(-F.least("conf", F.lit(0.999))))
         more = edges.join(trusted.select("pattern", "kind", "conf"), "pattern").groupBy("instance", "kind").agg(
             (F.lit(1.0) - F.exp(doubt)).alias("r"))

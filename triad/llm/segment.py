@@ -267,11 +267,13 @@ class Walk:
         for i, (s, best) in enumerate(paths):
             self.edge[off[s] + i] = best
         step_p = lat.logp[self.edge]
-        run = np.cumsum(step_p)
         self.bounds = np.searchsorted(self.text, np.arange(len(key) + 1))
-        before = np.r_[0.0, run][self.bounds[:-1]]
-        self.phi = phi[self.text] + run - step_p - before[self.text]  # before each piece
-        self.final = phi + np.r_[0.0, run][self.bounds[1:]] - before
+        self.phi, self.final = np.empty(total), phi.copy()  # before each piece; at the end
+        for t in np.unique(self.text):  # text by text: sums must not depend on the batch
+            a, b = self.bounds[t], self.bounds[t + 1]
+            run = np.cumsum(step_p[a:b])
+            self.phi[a:b] = phi[t] + run - step_p[a:b]
+            self.final[t] = phi[t] + run[-1]
         sib = ([np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)])
         for s, i, edge, value, top in near:
             at = off[s] + i
