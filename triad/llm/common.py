@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from triad.session import ensure_checkpoint_dir
 
 WHITE = b" \t\n\r\x0b\x0c"
+#: Ids and decisions are broadcast up to so many rows (16 MB); counted first.
+ID_BROADCAST_ROWS = 1_000_000
 MIX_1, MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -67,5 +69,6 @@ def mix(x: np.ndarray) -> np.ndarray:
 def with_decision(docs: DataFrame, key: str, decided: DataFrame, how: str = "left_anti") -> DataFrame:
     """``docs`` without (or only) the keys in ``decided``.  Every row of a key
     shares its fate; a null key is a key like any other."""
-    marks = decided.select(F.col(key).alias("_decided")).distinct()
+    marks = cut(decided.select(F.col(key).alias("_decided")).distinct())
+    marks = F.broadcast(marks) if marks.count() <= ID_BROADCAST_ROWS else marks
     return docs.join(marks, docs[key].eqNullSafe(marks["_decided"]), how)
