@@ -96,8 +96,37 @@ def base_qty(base_col: str, sales_col: str, p: Params) -> Column:
 
 
 def order_date() -> Column:
-    """Order date; AUDAT (the column is always present after conform)."""
-    return F.col("AUDAT")
+    """Order date; the document date, else the creation date."""
+    return F.coalesce(F.col("AUDAT"), F.col("ERDAT"))
+
+
+def signed(c) -> Column:
+    """An amount or quantity (missing = 0) with the debit/credit sign."""
+    return F.coalesce(_c(c), F.lit(0)) * sign("SHKZG")
+
+
+def invoice_order_key() -> tuple[Column, Column]:
+    """AUBEL/AUPOS; when either is blank both come from VBELV/POSNV."""
+    use_ref = blank_ref("AUBEL") | blank_ref("AUPOS")
+    return (F.when(use_ref, F.col("VBELV")).otherwise(F.col("AUBEL")),
+            F.when(use_ref, F.col("POSNV")).otherwise(F.col("AUPOS")))
+
+
+def nonzero(c, p: Params) -> Column:
+    """At least the zero threshold in size; missing is zero."""
+    return _nonzero(c, p.zero_eps)
+
+
+def order_type_kept(p: Params) -> Column:
+    """The order type is not left out, and is the wanted one if one is set."""
+    at = F.upper(F.trim(F.coalesce(F.col("AUART"), F.lit(""))))
+    keep = ~at.isin(*[x.upper() for x in p.order_type_exclude]) if p.order_type_exclude else F.lit(True)
+    return keep if p.order_type is None else keep & (at == p.order_type.upper())
+
+
+def order_inv_diff() -> Column:
+    """Order amount less invoice amount."""
+    return F.col("ord_amt_lc") - F.col("inv_amt")
 
 
 def in_period(c, period) -> Column:

@@ -12,11 +12,13 @@ from ..config import Params
 from ..functions.exprs import sold_to_norm
 
 KEY = ["VKORG", "VBELN", "POSNR"]
+# Documents are matched inside one company, so it is part of every key.
+CKEY = ["company", *KEY]
 # The same key in the order used for grouping, partitioning and joining:
 # the high-cardinality column first, so sorts (sort-merge joins, windows)
 # decide on the sort prefix instead of comparing full rows (VKORG has few
 # values, MANDT one).
-JKEY = ["VBELN", "POSNR", "VKORG"]
+JKEY = ["VBELN", "POSNR", "VKORG", "company"]
 
 
 def header_join(lines: DataFrame, header: DataFrame, keys=("VBELN", "MANDT")) -> DataFrame:
@@ -69,6 +71,11 @@ def drop_excluded(df: DataFrame, col: str, excl: DataFrame) -> DataFrame:
               .drop("_sold_to"))
 
 
+def company_column(df: DataFrame, org: str = "VKORG") -> Column:
+    """The company that the header join brought, else the sales organisation."""
+    return F.col("company") if "company" in df.columns else F.col(org).alias("company")
+
+
 def non_null_keys(df: DataFrame, cols=KEY) -> DataFrame:
     """Group-by on a null key drops the row in the process (pivot semantics)."""
     cond: Column = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])

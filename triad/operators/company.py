@@ -3,13 +3,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Params
 
 UNKNOWN = "UNKNOWN"
 UNMAPPED = "UNMAPPED"
+# The VKORG -> company map is broadcast only when it has been counted and is
+# this small; dirty data can hold any VKORG text.
+MAP_BROADCAST_ROWS = 100_000
 
 
 def _code(c: str):
@@ -61,6 +66,57 @@ def assign_company_header(df: DataFrame, table: str, by: str = "bukrs",
     raise ValueError(table)
 
 
+def tag_headers(t: dict[str, DataFrame], p: Params) -> dict[str, DataFrame]:
+    """The six tables with ``company`` on the headers, as the match uses them.
+
+    By sales organisation every header keeps its VKORG.  By company code VBAK
+    has its BUKRS_VF (its VKORG if the extract has no BUKRS_VF at all), VBRK its
+    BUKRS and LIKP the map of its VKORG; headers without a company go, and of a
+    number with several companies the last header row decides (A10, A11).  Lines
+    get the company with their header, never by a join on VKORG.
+    """
+    out = dict(t)
+    if p.company_by == "vkorg":
+        for h in ("VBAK", "LIKP", "VBRK"):
+            out[h] = t[h].withColumn("company", F.col("VKORG"))
+        return out
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(t["VBAK"].sparkSession)
+    bmap = vkorg_company(t["VBAK"], t["VBRK"]).checkpoint()
+    if bmap.count() <= MAP_BROADCAST_ROWS:
+        bmap = F.broadcast(bmap)
+    coded = not t["VBAK"].where(_code("BUKRS_VF").isNotNull()).isEmpty()
+    for h in ("VBAK", "LIKP", "VBRK"):
+        by = "vkorg" if h == "VBAK" and not coded else "bukrs"
+        d = assign_company_header(t[h], h, by, bmap).where(~F.col("company").isin(UNKNOWN, UNMAPPED))
+        last = F.max_by("company", "_ord").over(Window.partitionBy(F.trim(F.col("VBELN"))))
+        out[h] = d.withColumn("_last", last).where(F.col("company") == F.col("_last")).drop("_last")
+    return out
+
+
+def dropped_rows(t: dict[str, DataFrame], by: str = "bukrs") -> DataFrame:
+    """Rows of each table that the split keeps, and that have no company
+    (UNKNOWN) or none in the map or the headers (UNMAPPED)."""
+    tagged = split_tables(t, by)
+    status = F.when(F.col("company").isin(UNKNOWN, UNMAPPED), F.col("company")).otherwise("kept")
+    parts = [d.select(F.lit(n).alias("table"), status.alias("status")) for n, d in tagged.items()]
+    return reduce(DataFrame.unionByName, parts).groupBy("table", "status").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def select_companies(codes: DataFrame, companies: list[str] | None = None, start: str | None = None,
+                     skip: list[str] | None = None, limit: int | None = None) -> DataFrame:
+    """The companies of a run, one column ``company`` in code order: the
+    listed ones or all, from ``start`` on, without ``skip``, the first ``limit``."""
+    d = codes.select("company").distinct()
+    if companies is not None:
+        d = d.where(F.col("company").isin(*companies))
+    if start is not None:
+        d = d.where(F.col("company") >= start)
+    if skip:
+        d = d.where(~F.col("company").isin(*skip))
+    return d if limit is None else d.orderBy("company").limit(limit)
+
+
 def header_company_map(headers: DataFrame) -> DataFrame:
     """VBELN -> company of the kept header rows; the last row wins."""
     kept = headers.where(~F.col("company").isin(UNKNOWN, UNMAPPED))
@@ -98,12 +154,3 @@ def list_codes(vbak: DataFrame, vbrk: DataFrame) -> DataFrame:
     return (bukrs.withColumn("kind", F.lit("BUKRS"))
             .unionByName(vkorg.withColumn("kind", F.lit("VKORG")))
             .where(F.col("code").isNotNull()).distinct().select("kind", "code"))
-
-
-def with_company(df: DataFrame, p: Params, bmap: DataFrame | None) -> DataFrame:
-    """Company column of a result row, derived from its VKORG."""
-    if p.company_by == "vkorg":
-        return df.withColumn("company", F.col("VKORG"))
-    m = bmap.select(F.col("VKORG").alias("_mv"), F.col("BUKRS").alias("company"))
-    return (df.join(m, df["VKORG"] == m["_mv"], "left").drop("_mv")
-              .withColumn("company", F.coalesce(F.col("company"), F.lit(UNMAPPED))))

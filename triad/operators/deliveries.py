@@ -4,12 +4,11 @@ delivery pivot (D3, D5) and the delivery lists (B23, B24)."""
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..config import Params
 from ..functions import exprs as X
-from .common import JKEY, KEY, doc_list, header_join, keep_first, non_null_keys
+from .common import CKEY, JKEY, company_column, doc_list, header_join, keep_first, non_null_keys
 
 
 def _joined(likp: DataFrame, lips: DataFrame, dedup: bool) -> DataFrame:
@@ -24,8 +23,10 @@ def _joined(likp: DataFrame, lips: DataFrame, dedup: bool) -> DataFrame:
 
 def known_orders(vbak: DataFrame) -> DataFrame:
     """Distinct order numbers of the order headers (column ``_k``); a
-    missing or empty number is no order."""
-    return vbak.select(F.col("VBELN").alias("_k")).where(F.col("_k").isNotNull() & (F.col("_k") != "")).distinct()
+    missing or empty number is no order.  Headers with a company give each
+    company its own set (column ``_kc``)."""
+    of = [F.col("company").alias("_kc")] if "company" in vbak.columns else []
+    return vbak.select(F.col("VBELN").alias("_k"), *of).where(F.col("_k").isNotNull() & (F.col("_k") != "")).distinct()
 
 
 def _salted(ref: str) -> Column:
@@ -48,14 +49,17 @@ def order_set_filter(d: DataFrame, known: DataFrame, cols: tuple[str, str] = ("V
     skew-join handling splits.  Nothing is dropped or sampled.
     """
     c1, c2 = cols
-    k = known.select(F.col("_k"), F.lit(True).alias("_hit"))
-    k1 = k.select(F.col("_k").alias("_k1"), F.col("_hit").alias("_hit1"))
-    k2 = k.select(F.col("_k").alias("_k2"), F.col("_hit").alias("_hit2"))
-    d = d.withColumn("_j1", _salted(c1)).withColumn("_j2", _salted(c2))
-    d = d.join(k1, d["_j1"] == k1["_k1"], "left").drop("_k1", "_j1")
-    d = d.join(k2, d["_j2"] == k2["_k2"], "left").drop("_k2", "_j2")
-    hit = F.coalesce(F.col("_hit1"), F.lit(False)) | F.coalesce(F.col("_hit2"), F.lit(False))
-    return d.where(hit).drop("_hit1", "_hit2")
+    own = "_kc" in known.columns and "company" in d.columns
+    for i, c in enumerate((c1, c2)):
+        of = [F.col("_kc").alias(f"_c{i}")] if own else []
+        k = known.select(F.col("_k").alias(f"_k{i}"), *of, F.lit(True).alias(f"_hit{i}"))
+        d = d.withColumn(f"_j{i}", _salted(c))
+        on = d[f"_j{i}"] == k[f"_k{i}"]
+        if own:
+            on = on & (d["company"] == k[f"_c{i}"])
+        d = d.join(k, on, "left").drop(f"_k{i}", f"_c{i}", f"_j{i}")
+    hit = F.coalesce(F.col("_hit0"), F.lit(False)) | F.coalesce(F.col("_hit1"), F.lit(False))
+    return d.where(hit).drop("_hit0", "_hit1")
 
 
 def batch_child_dedup(d: DataFrame) -> DataFrame:
@@ -63,24 +67,19 @@ def batch_child_dedup(d: DataFrame) -> DataFrame:
     referenced by UEPOS or UECHA) is present; runs after the zero filter, so
     a zero-quantity parent does not remove its children.
 
-    No self-join: for each pointer column a window over (delivery,
-    position) — where a parent sits under its own POSNR and a child under
-    the position it points to — tells whether a parent shares the child's
-    window partition.  Rows with no position to look up (neither parent nor
-    pointing child) get their own line number behind a \\x01 prefix as the
-    window key, so no group is hot and even one very large delivery spreads
-    over many tasks; such rows are never dropped by that window.
+    Parents pass through untouched.  Only the child rows, which are few, are
+    looked up: two left-anti joins against the (delivery, position) pairs of
+    the parents, so the delivery lines themselves are not shuffled again.
     """
     is_parent = X.blank_parent_ref("UEPOS") & X.blank_parent_ref("UECHA")
-    d = d.withColumn("_parent", is_parent)
-    drop = F.lit(False)
-    for i, ref in enumerate(("UEPOS", "UECHA")):
-        k = F.when(F.col("_parent"), F.col("POSNR")).when(~X.blank_parent_ref(ref), F.col(ref))
-        d = d.withColumn(f"_k{i}", k)
-        w = Window.partitionBy("VBELN", F.coalesce(F.col(f"_k{i}"), F.concat(F.lit("\u0001"), F.col("POSNR"))))
-        d = d.withColumn(f"_hp{i}", F.max(F.col("_parent").cast("int")).over(w))
-        drop = drop | (F.col(f"_k{i}").isNotNull() & (F.col(f"_hp{i}") == 1))
-    return d.where(F.col("_parent") | ~drop).drop("_parent", "_k0", "_k1", "_hp0", "_hp1")
+    parents, children = d.where(is_parent), d.where(~is_parent)
+    place = parents.select(F.col("VBELN").alias("_pv"), F.col("POSNR").alias("_pp"))
+    for ref in ("UEPOS", "UECHA"):
+        # a blank pointer looks nothing up
+        children = children.withColumn("_ref", F.when(~X.blank_parent_ref(ref), F.col(ref)))
+        found = (children["VBELN"] == place["_pv"]) & (children["_ref"] == place["_pp"])
+        children = children.join(place, found, "left_anti").drop("_ref")
+    return parents.unionByName(children)
 
 
 def delivery_lines(likp: DataFrame, lips: DataFrame, known: DataFrame | None, p: Params,
@@ -97,7 +96,7 @@ def delivery_lines(likp: DataFrame, lips: DataFrame, known: DataFrame | None, p:
     d = (d.withColumn("ORD_VBELN", X.fill_if_blank("VBELV", "VGBEL"))
           .withColumn("ORD_POSNR", X.fill_if_blank("POSNV", "VGPOS"))
           .withColumn("dlv_qty", X.base_qty("LGMNG", "LFIMG", p) * X.sign("SHKZG"))
-          .where(F.abs(F.coalesce(F.col("LFIMG"), F.lit(0))) >= X.dec(p.zero_eps)))
+          .where(X.nonzero("LFIMG", p)))
     if batch_dedup:
         d = batch_child_dedup(d)
     return d
@@ -106,9 +105,9 @@ def delivery_lines(likp: DataFrame, lips: DataFrame, known: DataFrame | None, p:
 def delivery_pivot(lines: DataFrame) -> DataFrame:
     """D3 + D5: delivery quantity and delivery numbers per order line.
     Rows with a null VKORG (no header) vanish, as in the process."""
-    keyed = lines.select(F.col("VKORG"), F.col("ORD_VBELN").alias("VBELN"), F.col("ORD_POSNR").alias("POSNR"),
+    keyed = lines.select(company_column(lines), F.col("VKORG"), F.col("ORD_VBELN").alias("VBELN"), F.col("ORD_POSNR").alias("POSNR"),
                          F.col("VBELN").alias("_dlv_no"), "dlv_qty")
-    return (non_null_keys(keyed, KEY).groupBy(*JKEY)
+    return (non_null_keys(keyed, CKEY).groupBy(*JKEY)
             .agg(F.sum("dlv_qty").alias("dlv_qty"), doc_list("_dlv_no").alias("dlv_docs")))
 
 
@@ -124,9 +123,9 @@ def delivery_list(likp: DataFrame, lips: DataFrame, known: DataFrame | None, p:
         d = order_set_filter(d, known)
     d = (d.withColumn("VBELV", X.fill_if_blank("VBELV", "VGBEL"))
           .withColumn("POSNV", X.fill_if_blank("POSNV", "VGPOS"))
-          .withColumn("qty_calc", F.coalesce(F.col("LFIMG"), F.lit(0)) * X.sign("SHKZG")))
+          .withColumn("qty_calc", X.signed("LFIMG")))
     if not full:
-        d = d.where(F.abs(F.coalesce(F.col("LFIMG"), F.lit(0))) >= X.dec(p.zero_eps))
+        d = d.where(X.nonzero("LFIMG", p))
         if p.list_batch_dedup:
             d = batch_child_dedup(d)
     return d.select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..config import Params
 from ..functions import exprs as X
 from .deliveries import order_set_filter
-from .common import JKEY, KEY, doc_list, drop_excluded, first_non_null, header_join, non_null_keys
+from .common import CKEY, JKEY, company_column, doc_list, drop_excluded, first_non_null, header_join, non_null_keys
 
 
 def _period_lines(vbrk: DataFrame, vbrp: DataFrame, p: Params) -> DataFrame:
@@ -31,24 +31,20 @@ def invoice_lines(vbrk: DataFrame, vbrp: DataFrame, excl: DataFrame, p: Params,
     d = _period_lines(vbrk, vbrp, p)
     if p.invoice_order_filter and known is not None:  # C6, off in the process
         d = order_set_filter(d, known, ("VBELV", "AUBEL"))
-    use_ref = X.blank_ref("AUBEL") | X.blank_ref("AUPOS")
-    d = (d.withColumn("ORD_VBELN", F.when(use_ref, F.col("VBELV")).otherwise(F.col("AUBEL")))
-          .withColumn("ORD_POSNR", F.when(use_ref, F.col("POSNV")).otherwise(F.col("AUPOS"))))
+    order_no, order_item = X.invoice_order_key()
+    d = d.withColumn("ORD_VBELN", order_no).withColumn("ORD_POSNR", order_item)
     d = drop_excluded(d, "KUNAG", excl)
-    s = X.sign("SHKZG")
-    d = (d.withColumn("inv_amt", F.coalesce(F.col("NETWR"), F.lit(0)) * s)
-          .withColumn("inv_qty", X.base_qty("FKLMG", "FKIMG", p) * s)
-          .where((F.abs(F.coalesce(F.col("FKIMG"), F.lit(0))) >= X.dec(p.zero_eps))
-                 | (F.abs(F.coalesce(F.col("NETWR"), F.lit(0))) >= X.dec(p.zero_eps))))
-    return d
+    return (d.withColumn("inv_amt", X.signed("NETWR"))
+             .withColumn("inv_qty", X.base_qty("FKLMG", "FKIMG", p) * X.sign("SHKZG"))
+             .where(X.nonzero("FKIMG", p) | X.nonzero("NETWR", p)))
 
 
 def invoice_pivot(lines: DataFrame) -> DataFrame:
     """D4 + D5 + D6: amount, quantity, first invoice type and invoice
     numbers per order line; a null key drops the row (pivot semantics)."""
-    keyed = lines.select(F.col("VKORG"), F.col("ORD_VBELN").alias("VBELN"), F.col("ORD_POSNR").alias("POSNR"),
+    keyed = lines.select(company_column(lines), F.col("VKORG"), F.col("ORD_VBELN").alias("VBELN"), F.col("ORD_POSNR").alias("POSNR"),
                          F.col("VBELN").alias("_inv_no"), "FKART", "inv_amt", "inv_qty", "_ord")
-    return (non_null_keys(keyed, KEY).groupBy(*JKEY)
+    return (non_null_keys(keyed, CKEY).groupBy(*JKEY)
             .agg(F.sum("inv_amt").alias("inv_amt"), F.sum("inv_qty").alias("inv_qty"),
                  first_non_null("FKART").alias("inv_type"), doc_list("_inv_no").alias("inv_docs")))
 
@@ -61,11 +57,9 @@ def invoice_list(vbrk: DataFrame, vbrp: DataFrame, excl: DataFrame, p: Params) -
           .withColumn("POSNV", X.fill_if_blank("POSNV", "AUPOS"))
           .where(X.in_period("FKDAT", p.invoice_period)))
     d = drop_excluded(d, "KUNAG", excl)
-    s = X.sign("SHKZG")
-    d = (d.withColumn("inv_amt", F.coalesce(F.col("NETWR"), F.lit(0)) * s)
-          .withColumn("inv_qty", F.coalesce(F.col("FKIMG"), F.lit(0)) * s)
-          .where((F.abs(F.coalesce(F.col("FKIMG"), F.lit(0))) >= X.dec(p.zero_eps))
-                 | (F.abs(F.coalesce(F.col("NETWR"), F.lit(0))) >= X.dec(p.zero_eps))))
+    d = (d.withColumn("inv_amt", X.signed("NETWR"))
+          .withColumn("inv_qty", X.signed("FKIMG"))
+          .where(X.nonzero("FKIMG", p) | X.nonzero("NETWR", p)))
     return d.select(
         F.col("VKORG").alias("sales_org"), F.col("VBELN").alias("invoice_no"), F.col("POSNR").alias("invoice_item"),
         F.col("VBELV").alias("order_no"), F.col("POSNV").alias("order_item"), F.col("MATNR").alias("material"),

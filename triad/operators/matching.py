@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from ..config import Params
 from ..functions import exprs as X
-from .common import JKEY, KEY, exclusion_set
-from .company import vkorg_company, with_company
+from .common import CKEY, JKEY, exclusion_set
+from .company import tag_headers
 from .deliveries import delivery_lines, delivery_pivot, known_orders
 from .invoices import invoice_lines, invoice_pivot
 from .orders import material_grain, order_key_pivot, order_lines, order_pivot
@@ -21,14 +21,23 @@ MATCH_MEASURES = ["inv_qty", "inv_amt", "dlv_qty", "ord_qty", "ord_amt_lc", "ord
 
 @dataclass
 class Pivots:
-    """The document pivots of one run (all keyed on VKORG, VBELN, POSNR)."""
+    """The document pivots of one run (keyed on company, VKORG, VBELN, POSNR)."""
 
-    order_lines: DataFrame
     order: DataFrame       # material grain (D1)
     order_key: DataFrame   # order-line grain (D2 + C10 + C11)
     delivery: DataFrame    # D3 + D5
     invoice: DataFrame     # D4 + D5 + D6
-    bukrs_map: DataFrame | None
+
+    NAMES = ("order", "order_key", "delivery", "invoice")
+
+    def write(self, folder: str) -> "Pivots":
+        """Each pivot written once as Parquet under ``folder`` and read again:
+        match, untested and control then share the work, and a lost executor
+        repeats none of it."""
+        spark = self.order.sparkSession
+        for name in self.NAMES:
+            getattr(self, name).write.mode("overwrite").parquet(f"{folder}/{name}")
+        return Pivots(*(spark.read.parquet(f"{folder}/{name}") for name in self.NAMES))
 
     def persist(self) -> "Pivots":
         """Keep the four pivots (each read by the match *and* the untested
@@ -48,15 +57,13 @@ class Pivots:
 def build_pivots(spark: SparkSession, t: dict[str, DataFrame], p: Params) -> Pivots:
     """Orders, deliveries and invoices of ``t`` (the six conformed tables)."""
     excl = exclusion_set(spark, p, t["VBAK"], t["VBRK"])
+    t = tag_headers(t, p)
     lines = order_lines(t["VBAK"], t["VBAP"], excl, p)
-    # One exchange on the match key feeds both order pivots and the joins.
-    lines = lines.repartition(*JKEY)
     known = known_orders(t["VBAK"])
     dl = delivery_lines(t["LIKP"], t["LIPS"], known, p, batch_dedup=True)
     il = invoice_lines(t["VBRK"], t["VBRP"], excl, p, known)
-    bmap = vkorg_company(t["VBAK"], t["VBRK"]) if p.company_by == "bukrs" else None
     grain = material_grain(lines)
-    return Pivots(lines, order_pivot(grain), order_key_pivot(grain), delivery_pivot(dl), invoice_pivot(il), bmap)
+    return Pivots(order_pivot(grain), order_key_pivot(grain), delivery_pivot(dl), invoice_pivot(il))
 
 
 def three_way_match(pv: Pivots, p: Params) -> DataFrame:
@@ -69,7 +76,7 @@ def three_way_match(pv: Pivots, p: Params) -> DataFrame:
     ordk = pv.order_key.withColumn("_has_ord", F.lit(True))
     j = inv.join(dlv, JKEY, "left").join(ordk, JKEY, "left")
     m = j.select(
-        *KEY, "AUART", "inv_docs", "inv_type", "dlv_docs",
+        *CKEY, "AUART", "inv_docs", "inv_type", "dlv_docs",
         *[X.round2(c).alias(c) for c in MATCH_MEASURES],
         "MATNR", "ARKTX",
         F.col("_has_dlv").isNull().alias("delivery_missing"),
@@ -82,8 +89,7 @@ def three_way_match(pv: Pivots, p: Params) -> DataFrame:
           .withColumn("di_qty_diff", F.col("dlv_qty") - F.col("inv_qty")))
     t = p.tolerance
     neg = (X.lt_tol("ord_qty", t) & X.lt_tol("dlv_qty", t) & (F.col("inv_amt") < -X.dec(t)))
-    m = m.withColumn("is_negative", neg)
-    return with_company(m, p, pv.bukrs_map)
+    return m.withColumn("is_negative", neg)
 
 
 def untested(pv: Pivots, p: Params) -> DataFrame:
@@ -92,17 +98,18 @@ def untested(pv: Pivots, p: Params) -> DataFrame:
     Class ``order_only`` (no delivery), ``order_delivery`` (both) or
     ``delivery_only`` (no order).  The order side is at material grain, so a
     delivery quantity repeats for every material of its order line (as in
-    the process).  The invoice pivot is applied as a left-anti join.
+    the process).  The invoiced keys leave both sides by left-anti joins on
+    the same key before the full join, which then needs no exchange after it.
     """
-    o = pv.order.withColumn("_has_ord", F.lit(True))
-    d = pv.delivery.select(*KEY, "dlv_qty", "dlv_docs").withColumn("_has_dlv", F.lit(True))
-    j = o.join(d, JKEY, "full").join(pv.invoice.select(*JKEY), JKEY, "left_anti")
+    invoiced = pv.invoice.select(*JKEY)
+    o = pv.order.join(invoiced, JKEY, "left_anti").withColumn("_has_ord", F.lit(True))
+    d = pv.delivery.select(*CKEY, "dlv_qty", "dlv_docs").join(invoiced, JKEY, "left_anti").withColumn("_has_dlv", F.lit(True))
+    j = o.join(d, JKEY, "full")
     cls = (F.when(F.col("_has_dlv").isNull(), F.lit("order_only"))
             .when(F.col("_has_ord").isNull(), F.lit("delivery_only"))
             .otherwise(F.lit("order_delivery")))
-    out = j.select(*KEY, "MATNR", "AUART", "ord_amt_fc", "ord_amt_lc", "ord_qty", "dlv_qty", "dlv_docs",
-                   cls.alias("class"))
-    return with_company(out, p, pv.bukrs_map)
+    return j.select(*CKEY, "MATNR", "AUART", "ord_amt_fc", "ord_amt_lc", "ord_qty", "dlv_qty", "dlv_docs",
+                    cls.alias("class"))
 
 
 def negative_invoices(matched: DataFrame) -> DataFrame:
@@ -115,11 +122,29 @@ def main_rows(matched: DataFrame) -> DataFrame:
     return matched.where(~F.col("is_negative"))
 
 
-def control_totals(pv: Pivots, matched: DataFrame) -> DataFrame:
+def source_totals(t: dict[str, DataFrame], p: Params) -> DataFrame:
+    """D24, source side: order and invoice headers left out as intercompany, and
+    delivery headers that repeat a number (all but the first are left out)."""
+    spark = t["VBAK"].sparkSession
+    codes = exclusion_set(spark, p, t["VBAK"], t["VBRK"]).withColumnRenamed("code", "_sold_to")
+
+    def excluded(d: DataFrame, col: str, name: str) -> DataFrame:
+        hit = d.select(X.sold_to_norm(col).alias("_sold_to")).join(F.broadcast(codes), "_sold_to", "left_semi")
+        return hit.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("what"), "n")
+
+    repeated = t["LIKP"].groupBy("MANDT", "VBELN").agg((F.count(F.lit(1)) - 1).alias("k")).agg(
+        F.coalesce(F.sum("k"), F.lit(0)).alias("n")).select(F.lit("d").alias("what"), "n")
+    u = excluded(t["VBAK"], "KUNNR", "o").unionByName(excluded(t["VBRK"], "KUNAG", "i")).unionByName(repeated)
+    return u.agg(*[F.sum(F.when(F.col("what") == w, F.col("n"))).alias(c) for w, c in (
+        ("o", "order_headers_excluded"), ("i", "invoice_headers_excluded"), ("d", "duplicate_delivery_headers"))])
+
+
+def control_totals(pv: Pivots, matched: DataFrame, t: dict[str, DataFrame] | None = None, p: Params | None = None) -> DataFrame:
     """One row of control figures for the match stage.
 
     rows out, invoice keys in, fan-out (rows out - invoice keys), negative
-    rows, invoice total before rounding, order lines with several materials.
+    rows, invoice total before rounding, order lines with several materials;
+    with the source tables also :func:`source_totals`.
     One union + one global aggregate (partial sums per task), no joins.
     """
     z = F.lit(0).cast("bigint")
@@ -130,9 +155,13 @@ def control_totals(pv: Pivots, matched: DataFrame) -> DataFrame:
                        F.col("is_negative").cast("bigint").alias("n"), z.alias("mm"))
     c = pv.order_key.select(z.alias("k"), zd.alias("amt"), z.alias("r"), z.alias("n"),
                             (F.col("n_materials") > 1).cast("bigint").alias("mm"))
-    t = a.unionByName(b).unionByName(c).agg(
+    out = a.unionByName(b).unionByName(c).agg(
         F.sum("r").alias("rows_out"), F.sum("k").alias("invoice_keys"), F.sum("n").alias("negative_rows"),
         F.sum("amt").alias("invoice_total"), F.sum("mm").alias("multi_material_keys"))
-    return t.select("rows_out", "invoice_keys", (F.col("rows_out") - F.col("invoice_keys")).alias("fan_out"),
-                    "negative_rows", F.col("invoice_total").cast("double").alias("invoice_total"),
-                    "multi_material_keys")
+    out = out.select("rows_out", "invoice_keys", (F.col("rows_out") - F.col("invoice_keys")).alias("fan_out"),
+                     "negative_rows", F.col("invoice_total").cast("double").alias("invoice_total"),
+                     "multi_material_keys")
+    if t is None:
+        return out
+    more = source_totals(t, p)  # one row; joined on a constant
+    return out.withColumn("_one", F.lit(1)).join(F.broadcast(more.withColumn("_one", F.lit(1))), "_one").drop("_one")

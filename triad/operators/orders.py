@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..config import Params
 from ..functions import exprs as X
-from .common import JKEY, KEY, drop_excluded, first_non_null, header_join
+from .common import CKEY, JKEY, company_column, drop_excluded, first_non_null, header_join
 
 ORDER_MEASURES = ["ord_amt_fc", "ord_amt_lc", "ord_qty"]
 
@@ -21,13 +21,16 @@ def order_lines(vbak: DataFrame, vbap: DataFrame, excl: DataFrame, p: Params) ->
     the key-grain pivot and the three-way join share one exchange.
     """
     d = header_join(vbap, vbak)
+    if p.company_by != "vkorg" and "company" in vbak.columns:
+        d = d.where(F.col("company").isNotNull())
     d = d.select(
+        F.coalesce(company_column(d), F.lit("")).alias("company"),
         F.coalesce(F.col("VKORG"), F.lit("")).alias("VKORG"),
         F.coalesce(F.col("VBELN"), F.lit("")).alias("VBELN"),
         F.coalesce(F.col("POSNR"), F.lit("")).alias("POSNR"),
         X.material_norm("MATNR").alias("MATNR"),
         "ARKTX", "AUART", "KUNNR", "VKGRP", "VKBUR", "ERDAT", "AUDAT",
-        F.coalesce(F.col("AUDAT"), F.col("ERDAT")).alias("order_date"),
+        X.order_date().alias("order_date"),
         "MEINS", "KWMENG", "KLMENG", "VRKME", "NETWR", "NETPR", "WAERK", "WKURS", "WERKS", "LGORT", "VSTEL",
         X.order_base_qty(p).alias("ord_qty"),
         F.coalesce(F.col("NETWR"), F.lit(0)).alias("ord_amt_fc"),
@@ -57,7 +60,7 @@ def order_pivot(lines_or_grain: DataFrame) -> DataFrame:
     """D1 (+C11): sums by (VKORG, VBELN, POSNR, MATNR); first order type.
     Accepts order lines or the output of :func:`material_grain`."""
     g = lines_or_grain if "_auart_pos" in lines_or_grain.columns else material_grain(lines_or_grain)
-    return g.select(*KEY, "MATNR", "ord_amt_fc", "ord_amt_lc", "ord_qty", "AUART")
+    return g.select(*CKEY, "MATNR", "ord_amt_fc", "ord_amt_lc", "ord_qty", "AUART")
 
 
 def order_key_pivot(grain: DataFrame) -> DataFrame:
@@ -88,10 +91,14 @@ def material_mapper(lines: DataFrame) -> DataFrame:
             .agg(F.min_by("ARKTX", F.col("_ord")).alias("ARKTX")))
 
 
+def lines_of_headers(vbak: DataFrame, vbap: DataFrame) -> DataFrame:
+    """Order lines whose order number has a header."""
+    return vbap.join(vbak.select("VBELN").distinct(), "VBELN", "left_semi")
+
+
 def order_list(vbak: DataFrame, vbap: DataFrame, excl: DataFrame, p: Params) -> DataFrame:
     """B22 (+C5): the order list with business column names."""
-    known = vbak.select("VBELN").distinct()
-    vbap = vbap.join(known, "VBELN", "left_semi")
+    vbap = lines_of_headers(vbak, vbap)
     d = order_lines(vbak, vbap, excl, p.with_(filter_order_period_in_match=False))
     return d.select(
         F.col("VKORG").alias("sales_org"), F.col("VBELN").alias("order_no"), F.col("POSNR").alias("order_item"),

@@ -214,12 +214,7 @@ def valid_orders(vbak: DataFrame, excl: DataFrame, p: Params) -> DataFrame:
     not excluded (and equal to ``order_type`` when set), sold-to not
     excluded.  Column ``VBELN``."""
     h = keep_first(vbak.select("VBELN", "AUDAT", "ERDAT", "AUART", "KUNNR", "_ord"), ["VBELN"])
-    h = h.where(X.in_period(F.coalesce(F.col("AUDAT"), F.col("ERDAT")), p.order_period))
-    at = F.upper(F.trim(F.coalesce(F.col("AUART"), F.lit(""))))
-    if p.order_type_exclude:
-        h = h.where(~at.isin(*[x.upper() for x in p.order_type_exclude]))
-    if p.order_type is not None:
-        h = h.where(at == p.order_type.upper())
+    h = h.where(X.in_period(X.order_date(), p.order_period) & X.order_type_kept(p))
     h = drop_excluded(h, "KUNNR", excl)
     return h.select("VBELN")
 

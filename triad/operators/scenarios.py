@@ -109,7 +109,7 @@ def scenario_stats(classified: DataFrame, untested_rows: DataFrame, negative: Da
     dec2 = "decimal(38,2)"
     m = classified.select("company", F.col("scenario").cast("int").alias("scenario"),
                           F.col("inv_amt").cast(dec2).alias("amt"),
-                          (F.col("ord_amt_lc") - F.col("inv_amt")).cast(dec2).alias("diff"))
+                          X.order_inv_diff().cast(dec2).alias("diff"))
     u = (untested_rows.where(F.col("class").isin("order_only", "order_delivery"))
          .select("company", F.lit(MISSING_INVOICE).alias("scenario"), F.lit(None).cast(dec2).alias("amt"),
                  F.lit(None).cast(dec2).alias("diff")))

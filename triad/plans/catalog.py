@@ -210,9 +210,8 @@ SELECT VBELN, POSNR, CASE WHEN {O.B('AUBEL')} OR {O.B('AUPOS')} THEN VBELV ELSE
   CASE WHEN {O.B('AUBEL')} OR {O.B('AUPOS')} THEN POSNV ELSE AUPOS END ORD_POSNR FROM vbrp""")
 def b4(c: Ctx):
     d = c.t["VBRP"]
-    use = X.blank_ref("AUBEL") | X.blank_ref("AUPOS")
-    return d.select("VBELN", "POSNR", F.when(use, F.col("VBELV")).otherwise(F.col("AUBEL")).alias("ORD_VBELN"),
-                    F.when(use, F.col("POSNV")).otherwise(F.col("AUPOS")).alias("ORD_POSNR"))
+    no, item = X.invoice_order_key()
+    return d.select("VBELN", "POSNR", no.alias("ORD_VBELN"), item.alias("ORD_POSNR"))
 
 
 @q("b5_invoice_list_key", f"""
@@ -279,8 +278,7 @@ def b12(c: Ctx):
 @q("b13_invoice_amount", f"""
 SELECT VBELN, POSNR, (coalesce(NETWR,0) * {O.SG('SHKZG')})::DOUBLE inv_amt FROM vbrp""")
 def b13(c: Ctx):
-    return c.t["VBRP"].select("VBELN", "POSNR", (F.coalesce(F.col("NETWR"), F.lit(0)) * X.sign("SHKZG"))
-                              .alias("inv_amt"))
+    return c.t["VBRP"].select("VBELN", "POSNR", X.signed("NETWR").alias("inv_amt"))
 
 
 @q("b14_list_sales_unit_qty", f"""
@@ -288,15 +286,15 @@ SELECT 'LIPS' src, VBELN, POSNR, (coalesce(LFIMG,0) * {O.SG('SHKZG')})::DOUBLE q
 UNION ALL SELECT 'VBRP', VBELN, POSNR, (coalesce(FKIMG,0) * {O.SG('SHKZG')})::DOUBLE FROM vbrp""")
 def b14(c: Ctx):
     a = c.t["LIPS"].select(F.lit("LIPS").alias("src"), "VBELN", "POSNR",
-                           (F.coalesce(F.col("LFIMG"), F.lit(0)) * X.sign("SHKZG")).alias("qty"))
+                           X.signed("LFIMG").alias("qty"))
     b = c.t["VBRP"].select(F.lit("VBRP").alias("src"), "VBELN", "POSNR",
-                           (F.coalesce(F.col("FKIMG"), F.lit(0)) * X.sign("SHKZG")).alias("qty"))
+                           X.signed("FKIMG").alias("qty"))
     return a.unionByName(b)
 
 
 @q("b15_parse_order_date", f"SELECT VBELN, strftime({O.DT('AUDAT')}, '%Y-%m-%d') order_date FROM vbak")
 def b15(c: Ctx):
-    return c.t["VBAK"].select("VBELN", F.coalesce(F.col("AUDAT"), F.col("ERDAT")).alias("order_date"))
+    return c.t["VBAK"].select("VBELN", X.order_date().alias("order_date"))
 
 
 @q("b16_invoice_period", f"""
@@ -310,30 +308,27 @@ def b16(c: Ctx):
 SELECT VBELN, strftime({O.DT('AUDAT')}, '%Y-%m-%d') order_date FROM vbak
 WHERE {O.DT('AUDAT')} BETWEEN DATE '{O._OF}' AND DATE '{O._OL}'""")
 def b17(c: Ctx):
-    d = c.t["VBAK"].select("VBELN", F.coalesce(F.col("AUDAT"), F.col("ERDAT")).alias("order_date"))
+    d = c.t["VBAK"].select("VBELN", X.order_date().alias("order_date"))
     return d.where(X.in_period("order_date", c.p.order_period))
 
 
 @q("b18_order_type_filter", f"""
 SELECT VBELN, AUART FROM vbak WHERE upper(trim(coalesce(AUART,''))) NOT IN ({O._TYPES_EXCL})""")
 def b18(c: Ctx):
-    at = F.upper(F.trim(F.coalesce(F.col("AUART"), F.lit(""))))
-    return c.t["VBAK"].where(~at.isin(*c.p.order_type_exclude)).select("VBELN", "AUART")
+    return c.t["VBAK"].where(X.order_type_kept(c.p)).select("VBELN", "AUART")
 
 
 @q("b19_nonzero_delivery", "SELECT VBELN, POSNR, LFIMG::DOUBLE LFIMG FROM lips WHERE abs(coalesce(LFIMG,0)) >= 0.000001")
 def b19(c: Ctx):
     d = c.t["LIPS"]
-    return d.where(F.abs(F.coalesce(F.col("LFIMG"), F.lit(0))) >= X.dec(c.p.zero_eps)).select("VBELN", "POSNR", "LFIMG")
+    return d.where(X.nonzero("LFIMG", c.p)).select("VBELN", "POSNR", "LFIMG")
 
 
 @q("b20_nonzero_invoice", """
 SELECT VBELN, POSNR FROM vbrp WHERE abs(coalesce(FKIMG,0)) >= 0.000001 OR abs(coalesce(NETWR,0)) >= 0.000001""")
 def b20(c: Ctx):
     d = c.t["VBRP"]
-    z = X.dec(c.p.zero_eps)
-    return d.where((F.abs(F.coalesce(F.col("FKIMG"), F.lit(0))) >= z)
-                   | (F.abs(F.coalesce(F.col("NETWR"), F.lit(0))) >= z)).select("VBELN", "POSNR")
+    return d.where(X.nonzero("FKIMG", c.p) | X.nonzero("NETWR", c.p)).select("VBELN", "POSNR")
 
 
 @q("b21_delivery_unit", "SELECT VBELN, POSNR, '' qty_unit FROM lips")
@@ -357,7 +352,7 @@ def b27(c: Ctx):
 @q("b28_order_invoice_diff", "SELECT VKORG, VBELN, POSNR, (ord_amt_lc - inv_amt)::DOUBLE order_inv_diff FROM cl")
 def b28(c: Ctx):
     return c.an.classified.select("VKORG", "VBELN", "POSNR",
-                                  (F.col("ord_amt_lc") - F.col("inv_amt")).alias("order_inv_diff"))
+                                  X.order_inv_diff().alias("order_inv_diff"))
 
 
 @q("b29_negative_invoice", f"SELECT {_MATCH_SQL_COLS} FROM mt WHERE is_negative")
@@ -398,7 +393,8 @@ def b37(c: Ctx):
 
 @q("b39_company_filter", "SELECT company, scenario, rows FROM st WHERE company IN ('4000', '4010', '4020')")
 def b39(c: Ctx):
-    return c.an.stats.where(F.col("company").isin("4000", "4010", "4020")).select("company", "scenario", "rows")
+    wanted = CO.select_companies(c.an.stats, ["4000", "4010", "4020"])
+    return c.an.stats.join(wanted, "company", "left_semi").select("company", "scenario", "rows")
 
 
 # ---------------------------------------------------------------------------
@@ -430,7 +426,7 @@ def c4(c: Ctx):
 
 @q("c5_order_line_set_filter", "SELECT VBELN, POSNR FROM vbap WHERE VBELN IN (SELECT VBELN FROM vbak)")
 def c5(c: Ctx):
-    return c.t["VBAP"].join(c.t["VBAK"].select("VBELN").distinct(), "VBELN", "left_semi").select("VBELN", "POSNR")
+    return OR.lines_of_headers(c.t["VBAK"], c.t["VBAP"]).select("VBELN", "POSNR")
 
 
 @q("c6_invoice_set_filter", f"""
@@ -497,24 +493,24 @@ def c13(c: Ctx):
 @q("d1_order_pivot", "SELECT VKORG, VBELN, POSNR, MATNR, ord_amt_fc::DOUBLE ord_amt_fc, ord_amt_lc::DOUBLE ord_amt_lc, "
    "ord_qty::DOUBLE ord_qty, AUART FROM op")
 def d1(c: Ctx):
-    return c.rec.pivots.order
+    return c.rec.pivots.order.drop("company")
 
 
 @q("d2_order_key_agg", "SELECT VKORG, VBELN, POSNR, ord_amt_fc::DOUBLE ord_amt_fc, ord_amt_lc::DOUBLE ord_amt_lc, "
    "ord_qty::DOUBLE ord_qty, MATNR, ARKTX, AUART, n_materials::BIGINT n_materials FROM ok")
 def d2(c: Ctx):
-    return c.rec.pivots.order_key
+    return c.rec.pivots.order_key.drop("company")
 
 
 @q("d3_delivery_pivot", "SELECT VKORG, VBELN, POSNR, dlv_qty::DOUBLE dlv_qty, dlv_docs FROM dp")
 def d3(c: Ctx):
-    return c.rec.pivots.delivery
+    return c.rec.pivots.delivery.drop("company")
 
 
 @q("d4_invoice_pivot", "SELECT VKORG, VBELN, POSNR, inv_amt::DOUBLE inv_amt, inv_qty::DOUBLE inv_qty, inv_type, "
    "inv_docs FROM ip")
 def d4(c: Ctx):
-    return c.rec.pivots.invoice
+    return c.rec.pivots.invoice.drop("company")
 
 
 @q("d5_concat_doc_numbers", "SELECT VKORG, VBELN, POSNR, dlv_docs AS docs, 'delivery' kind FROM dp "
@@ -760,7 +756,7 @@ def f3(c: Ctx):
 
 @q("f4_material_mapper", "SELECT MATNR, VKORG, VBELN, POSNR, ARKTX FROM mm")
 def f4(c: Ctx):
-    return OR.material_mapper(c.order_lines)
+    return OR.material_mapper(c.order_lines).drop("company")
 
 
 @q("g1_exclusion_set", "SELECT code FROM excl")

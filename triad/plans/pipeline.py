@@ -19,7 +19,9 @@ from ..config import Params
 from ..operators import matching as M
 from ..operators import report as R
 from ..operators import scenarios as S
+from ..operators import verify as V
 from ..operators.common import exclusion_set
+from ..operators.company import dropped_rows, select_companies
 from ..operators.deliveries import delivery_list, known_orders
 from ..operators.invoices import invoice_list
 from ..operators.orders import order_list
@@ -132,26 +134,29 @@ def build_lists(spark: SparkSession, t: dict[str, DataFrame], p: Params, orders:
 def write_stage(df: DataFrame, path: str, p: Params, partition_by=("company",), append: bool = False,
                 batch_id: str | None = None) -> None:
     """Write a stage dataset: Parquet, partitioned, at most
-    ``rows_per_file`` rows per file (A15).  ``append`` adds to an existing
-    dataset instead of replacing the written partitions (A13).  A batch id
-    column lets readers pick the newest batch (A17)."""
+    ``rows_per_file`` rows per file (A15).  A write replaces all of the dataset,
+    or of its batch when it has a batch id (a folder of its own, which readers
+    see as column ``batch_id``, A17), so that a rerun leaves nothing of an
+    earlier run behind; ``append`` adds instead (A13).  Rows are rebalanced on
+    the partition column first, which AQE splits for a dominant value, so a
+    company's rows make few files."""
     if batch_id is not None:
-        df = df.withColumn("batch_id", F.lit(batch_id))
-    w = (df.write.option("maxRecordsPerFile", p.rows_per_file)
+        path = f"{path}/batch_id={batch_id}"
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    w = (df.write.option("maxRecordsPerFile", p.rows_per_file).option("partitionOverwriteMode", "static")
          .mode("append" if append else "overwrite"))
-    if not append:
-        w = w.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
 def read_stage(spark: SparkSession, path: str, newest_batch: bool = False) -> DataFrame:
-    """Read a stage back; optionally only its newest batch."""
+    """Read a stage back; optionally only its newest batch (one value
+    read from the folder names, so the scan is pruned to it)."""
     df = spark.read.parquet(path)
     if newest_batch and "batch_id" in df.columns:
-        newest = df.agg(F.max("batch_id").alias("_b"))
-        df = df.join(F.broadcast(newest), df["batch_id"] == newest["_b"], "left_semi")
+        df = df.where(F.col("batch_id") == df.agg(F.max("batch_id")).first()[0])
     return df
 
 
@@ -165,32 +170,61 @@ def scenario_extract(detail_rows: DataFrame, companies: list[str] | None = None)
     return d
 
 
+REPORTS = ("scenarios", "table", "classes", "rates", "tiers", "overall", "sensitivity", "internal_only")
+STAGES = ("matched", "untested", "classified", "detail", "stats", "scenario_extract", "untested_summary",
+          "missing_invoice", "control", "split_rows", "verify", "verify_summary")
+
+
 def run_all(spark: SparkSession, t: dict[str, DataFrame], p: Params, out_dir: str | None = None,
-            mode: str = "all", lists: bool = False, batch_id: str | None = None) -> dict[str, str]:
+            mode: str = "all", lists: bool = False, batch_id: str | None = None, companies: list[str] | None = None,
+            start: str | None = None, skip: list[str] | None = None, limit: int | None = None) -> dict[str, str]:
     """K5: lists (optional) -> reconcile -> analyse -> group report.
 
     mode="all" runs every stage; "diff-only" starts from stored match
-    stages; "match+diff" skips the lists.  Returns the written paths.
+    stages; "match+diff" skips the lists.  ``companies``, ``start``, ``skip`` and
+    ``limit`` select the companies of the run (B39).  Every stage carries the
+    batch id and is read back by it, so a run into a used folder reports its own
+    companies only.  The document pivots are written once and read by the match,
+    the untested classes and the control figures.  Returns the written paths.
     """
     out_dir = out_dir or stage_dir(spark, "run")
-    paths = {k: os.path.join(out_dir, k) for k in
-             ("order_list", "delivery_list", "invoice_list", "matched", "untested", "classified", "stats")}
+    paths = {k: os.path.join(out_dir, k) for k in ("order_list", "delivery_list", "invoice_list", *STAGES)}
+    choice = any(x is not None for x in (companies, start, skip, limit))
+
+    def put(name: str, df: DataFrame, partition_by=("company",)) -> None:
+        write_stage(df, paths[name], p, partition_by, batch_id=batch_id)
+
+    def get(name: str) -> DataFrame:
+        return read_stage(spark, paths[name], newest_batch=batch_id is not None)
+
     if lists and mode == "all":
         for name, df in build_lists(spark, t, p).items():
-            write_stage(df.withColumnRenamed("sales_org", "company") if p.company_by == "vkorg" else df,
-                        paths[name], p, partition_by=())
+            put(name, df.withColumnRenamed("sales_org", "company") if p.company_by == "vkorg" else df, ())
     if mode in ("all", "match+diff"):
-        rec = reconcile(spark, t, p)
-        write_stage(rec.matched, paths["matched"], p, batch_id=batch_id)
-        write_stage(rec.untested, paths["untested"], p, batch_id=batch_id)
-    matched = read_stage(spark, paths["matched"], newest_batch=batch_id is not None)
-    untested = read_stage(spark, paths["untested"], newest_batch=batch_id is not None)
-    an = analyse(None, p, main=M.main_rows(matched), negative=M.negative_invoices(matched), untested=untested)
-    write_stage(an.classified, paths["classified"], p)
-    write_stage(an.stats, paths["stats"], p)
-    stats = read_stage(spark, paths["stats"])
-    rep = group_report(spark, stats, p)
-    for name in ("scenarios", "table", "classes", "rates", "tiers", "overall", "sensitivity", "internal_only"):
+        pv = M.build_pivots(spark, t, p).write(os.path.join(out_dir, "pivots", batch_id or "current"))
+        matched, open_rows = M.three_way_match(pv, p), M.untested(pv, p)
+        if choice:
+            known = matched.select("company").unionByName(open_rows.select("company"))
+            wanted = select_companies(known, companies, start, skip, limit)
+            matched, open_rows = (d.join(wanted, "company", "left_semi") for d in (matched, open_rows))
+        put("matched", matched)
+        put("untested", open_rows)
+        put("control", M.control_totals(pv, get("matched"), t, p), ())
+        put("split_rows", dropped_rows(t, p.company_by), ())
+    matched, open_rows = get("matched"), get("untested")
+    an = analyse(None, p, main=M.main_rows(matched), negative=M.negative_invoices(matched), untested=open_rows)
+    put("classified", an.classified)
+    put("stats", an.stats)
+    detail_rows = S.detail(get("classified"))
+    put("detail", detail_rows)
+    put("scenario_extract", scenario_extract(detail_rows), ("scenario",))
+    excl = exclusion_set(spark, p, t["VBAK"], t["VBRK"])
+    put("untested_summary", R.untested_summary(open_rows, t["VBAK"], excl, p), ())
+    put("missing_invoice", R.missing_invoice_amount(open_rows), ())
+    put("verify", V.verify_lookup(get("detail"), t, p), ())
+    put("verify_summary", V.verify_summary(get("verify")), ())
+    rep = group_report(spark, get("stats"), p)
+    for name in REPORTS:
         paths[f"report_{name}"] = os.path.join(out_dir, f"report_{name}")
-        getattr(rep, name).write.mode("overwrite").parquet(paths[f"report_{name}"])
+        put(f"report_{name}", getattr(rep, name), ())
     return paths
