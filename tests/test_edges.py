@@ -228,3 +228,42 @@ def test_empty_reference_never_matches(spark):
     t = make_tables(spark, vbak=vbak, likp=likp, lips=lips)
     lines = DV.delivery_lines(t["LIKP"], t["LIPS"], DV.known_orders(t["VBAK"]), p, batch_dedup=True)
     assert sorted(r["POSNR"] for r in lines.collect()) == ["000010", "000030"]
+
+
+def test_company_of_each_header(spark):
+    """One sales organisation, two companies: rows go where their headers say,
+    and an order of another company is not known to a delivery."""
+    rows = merge_sets(doc_set(150, vbak_BUKRS_VF="5001", vbrk_BUKRS="5001"), doc_set(151, vbak_BUKRS_VF="5002", vbrk_BUKRS="5002"),
+                      doc_set(152, vbak_BUKRS_VF="5001", vbrk_BUKRS="5002"))
+    _, rec, an = _run(spark, rows, edge_params(company_by="bukrs"))
+    got = {r["VBELN"][-3:]: (r["company"], r["order_missing"], r["delivery_missing"]) for r in rec.matched.collect()}
+    # the map gives VKORG 1000 to the company of the last invoice header, 5002
+    assert got == {"150": ("5001", False, True), "151": ("5002", False, False), "152": ("5002", True, True)}
+    left = sorted((r["VBELN"][-3:], r["company"], r["class"]) for r in rec.untested.collect())
+    assert left == [("152", "5001", "order_only")]
+    for df in (rec.matched, rec.untested):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(VKORG" not in plan and "hashpartitioning(_vk" not in plan
+
+
+def test_company_falls_back_to_sales_org_without_bukrs_vf(spark):
+    rows = doc_set(160, vbak_BUKRS_VF=None, vbrk_BUKRS="1000")
+    _, rec, _ = _run(spark, rows, edge_params(company_by="bukrs"))
+    assert [(r["company"], r["order_missing"]) for r in rec.matched.collect()] == [("1000", False)]
+
+
+def test_rerun_reports_its_own_companies(spark, tmp_path):
+    rows = merge_sets(doc_set(170, vkorg="1000"), doc_set(171, vkorg="2000"), doc_set(172, vkorg="3000"))
+    t, p = make_tables(spark, **rows), edge_params()
+    out = str(tmp_path / "run")
+    paths = PL.run_all(spark, t, p, out_dir=out, batch_id="a")
+    paths = PL.run_all(spark, t, p, out_dir=out, batch_id="b", start="2000", limit=1)
+    newest = lambda n: PL.read_stage(spark, paths[n], newest_batch=True)
+    for name in ("matched", "stats", "classified", "report_rates"):
+        assert {r["company"] for r in newest(name).collect()} == {"2000"}, name
+    plain = str(tmp_path / "plain")
+    PL.run_all(spark, t, p, out_dir=plain)
+    paths = PL.run_all(spark, t, p, out_dir=plain, companies=["1000", "3000"], skip=["3000"])
+    assert {r["company"] for r in PL.read_stage(spark, paths["stats"]).collect()} == {"1000"}
+    control = PL.read_stage(spark, paths["control"]).first()
+    assert control["duplicate_delivery_headers"] == 0 and control["order_headers_excluded"] == 0

@@ -97,3 +97,20 @@ def test_stage_write_append_batches(spark):
     assert sorted(r["v"] for r in newest.collect()) == [0, 1]
     # company codes stay text (leading zeros would survive)
     assert dict(allrows.dtypes)["company"] == "string"
+
+
+def test_period_is_pushed_into_the_staged_extract(spark):
+    """The typed stage is reused, and the invoice period reaches its scan."""
+    from triad.operators.invoices import _period_lines
+    t = fixture_tables(spark, SF_SMALL)
+    d = tempfile.mkdtemp(prefix="triad-push-")
+    for table in ("VBRK", "VBRP"):
+        write_extract(t[table], f"{d}/{table.lower()}")
+        for i, f in enumerate(sorted(f for f in os.listdir(f"{d}/{table.lower()}") if f.startswith("part-"))):
+            os.rename(f"{d}/{table.lower()}/{f}", f"{d}/{table}_{i + 1}.TXT")
+    read = {n: read_table(spark, d, n).df for n in ("VBRK", "VBRP")}
+    again = read_table(spark, d, "VBRP").df
+    assert sorted(again.inputFiles()) == sorted(read["VBRP"].inputFiles())
+    plan = _period_lines(read["VBRK"], read["VBRP"], fixture_params())._jdf.queryExecution().executedPlan().toString()
+    pushed = [x for x in plan.splitlines() if "PushedFilters" in x and "FKDAT" in x.split("PushedFilters")[1]]
+    assert pushed, plan

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from triad.streaming.ingest import ingest_stream
+from triad.streaming.ingest import ingest_stream, read_ingested
 
 HDR = "MANDT#|#VBELN#|#VKORG#|#NETWR#|#AUDAT"
 
@@ -53,3 +53,60 @@ def test_ingest_line_table_company_from_headers(spark):
     ingest_stream(spark, landing, "VBAP", out, company_map=hdr_out, checkpoint=f"{base}/c2").awaitTermination(120)
     got = sorted((r["VBELN"], r["company"]) for r in spark.read.parquet(out).collect())
     assert got == [("0000000001", "1000"), ("0000000009", "UNMAPPED")]
+
+
+def test_replayed_batch_and_second_layout(spark):
+    """A batch whose commit was lost runs again without doubling rows, and a part
+    with another column order is read by its own header."""
+    import os
+    base = tempfile.mkdtemp(prefix="triad-stream3-")
+    landing, out, ckpt = f"{base}/landing", f"{base}/vbak", f"{base}/ckpt"
+    os.makedirs(landing)
+    _part(f"{landing}/VBAK_1.TXT", ["100#|#0000000001#|#1000#|#10.00#|#20250101"])
+    with open(f"{landing}/VBAK_2.TXT", "w", encoding="utf-8") as f:
+        f.write("VBELN#|#MANDT#|#NETWR#|#VKORG\n0000000002#|#100#|#20.00#|#2000\n")
+
+    def run():
+        ingest_stream(spark, landing, "VBAK", out, company_col="VKORG", checkpoint=ckpt).awaitTermination(120)
+
+    def rows():
+        return sorted((r["VBELN"], r["VKORG"], str(r["NETWR"]), r["company"]) for r in spark.read.parquet(out).collect())
+
+    run()
+    want = [("0000000001", "1000", "10.00", "1000"), ("0000000002", "2000", "20.00", "2000")]
+    assert rows() == want
+    for name in os.listdir(f"{ckpt}/commits"):  # the commit is lost, the batch stays planned
+        if name.strip(".").split(".")[0] == "0":
+            os.remove(f"{ckpt}/commits/{name}")
+    run()
+    assert rows() == want
+
+
+def test_late_header_and_delivery_company(spark):
+    import os
+    base = tempfile.mkdtemp(prefix="triad-stream4-")
+    landing = f"{base}/landing"
+    os.makedirs(landing)
+
+    def write(name, header, *lines):
+        with open(f"{landing}/{name}", "w", encoding="utf-8") as f:
+            f.write("\n".join(["#|#".join(header), *["#|#".join(x) for x in lines]]) + "\n")
+
+    def run(table, **kw):
+        ingest_stream(spark, landing, table, f"{base}/{table}", checkpoint=f"{base}/c-{table}", **kw).awaitTermination(120)
+
+    write("VBAK_1.TXT", ["MANDT", "VBELN", "VKORG", "BUKRS_VF"], ["100", "1", "1000", "5001"])
+    write("VBAP_1.TXT", ["MANDT", "VBELN", "POSNR"], ["100", "1", "10"], ["100", "2", "10"])
+    write("VBRK_1.TXT", ["MANDT", "VBELN", "VKORG", "BUKRS"], ["100", "9", "2000", "5002"])
+    write("LIKP_1.TXT", ["MANDT", "VBELN", "VKORG"], ["100", "7", "1000"], ["100", "8", "2000"], ["100", "6", "3000"])
+    run("VBAK", company_col="BUKRS_VF")
+    run("VBAP", company_map=f"{base}/VBAK")
+    run("VBRK", company_col="BUKRS")
+    run("LIKP")
+    lines = lambda: sorted((r["VBELN"], r["company"]) for r in read_ingested(spark, f"{base}/VBAP", headers=f"{base}/VBAK").collect())
+    assert lines() == [("1", "5001"), ("2", "UNMAPPED")]
+    write("VBAK_2.TXT", ["MANDT", "VBELN", "VKORG", "BUKRS_VF"], ["100", "2", "2000", "5002"])
+    run("VBAK", company_col="BUKRS_VF")
+    assert lines() == [("1", "5001"), ("2", "5002")]
+    likp = read_ingested(spark, f"{base}/LIKP", vbak=f"{base}/VBAK", vbrk=f"{base}/VBRK")
+    assert sorted((r["VBELN"], r["company"]) for r in likp.collect()) == [("6", "UNMAPPED"), ("7", "5001"), ("8", "5002")]

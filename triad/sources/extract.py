@@ -13,8 +13,8 @@ are read by the executors.
 
 from __future__ import annotations
 
+import hashlib
 import re
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,12 +51,13 @@ def _typed(c: Column, src_type: T.DataType, col: str) -> Column:
     return out
 
 
-def conform(raw: DataFrame, table: str, order_cols: list[str] | None = None) -> DataFrame:
+def conform(raw: DataFrame, table: str, order_cols: list[str] | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
     """Select the table's key fields with canonical types (A2–A4).
 
     Missing optional columns become typed nulls, so all later code is
     column-unconditional.  ``_ord`` is a struct giving the source row order
     (file, position) used wherever the process keeps the "first" row.
+    ``extra`` columns are passed through.
     """
     src = {c.strip().upper(): (c, raw.schema[c].dataType) for c in raw.columns}
     cols = []
@@ -68,7 +69,7 @@ def conform(raw: DataFrame, table: str, order_cols: list[str] | None = None) ->
             cols.append(F.lit(None).cast(column_type(col)).alias(col))
     order_cols = order_cols or ["_src_file", "_src_ord"]
     cols.append(F.struct(*[F.col(c) for c in order_cols]).alias("_ord"))
-    return raw.select(*cols)
+    return raw.select(*cols, *extra)
 
 
 # --------------------------------------------------------------------------
@@ -85,6 +86,21 @@ def _hadoop_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(s.getPath().toString()) for s in found if s.isFile())
 
 
+def _part_state(spark: SparkSession, paths: list[str]) -> list[tuple]:
+    """(path, length, modification time) of each part."""
+    out = []
+    for p in paths:
+        hpath = spark._jvm.org.apache.hadoop.fs.Path(p)
+        st = hpath.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hpath)
+        out.append((p, st.getLen(), st.getModificationTime()))
+    return out
+
+
+def _written(spark: SparkSession, path: str) -> bool:
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return bool(hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath))
+
+
 def _first_line(spark: SparkSession, path: str, encoding: str) -> str:
     jvm = spark._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -126,20 +142,38 @@ def read_extract(spark: SparkSession, paths: list[str], table: str,
       ``dropped`` so the caller can count them; short rows are padded with
       nulls (A5);
     * ``_src_file`` / ``_src_ord`` record file order for "keep first" rules;
-    * ``stage``: the parse is written once as Parquet (under the shared
-      checkpoint folder when "auto", or at the given path) and both outputs
-      are read from it.  The text is then parsed exactly once, later reads
-      get column pruning and pushdown, and the malformed-row count does not
-      query the raw file through its corrupt-record column alone (which
-      Spark rejects).  ``None`` keeps everything lazy on the text.
+    * ``stage``: the parsed and *typed* rows are written once as Parquet and
+      both outputs are read from it, so later reads get column pruning and
+      pushdown (the invoice period reaches the scan).  "auto" names the folder
+      under the shared checkpoint folder by the parts' names, sizes and times:
+      a later read of the same parts uses it, changed parts get a new one.
+      ``None`` keeps everything lazy on the text.
     """
     if not paths:
         raise FileNotFoundError(f"no part files for {table}")
+    path = None
+    if stage is not None:
+        state = repr((_part_state(spark, sorted(paths)), encoding, sep))
+        path = (stage_dir(spark, f"extract/{table}-{hashlib.sha256(state.encode()).hexdigest()[:24]}") if stage == "auto"
+                else stage.rstrip("/"))
+    if path is None or stage != "auto" or not _written(spark, path):
+        raw = _parse(spark, paths, encoding, sep)
+        typed = conform(raw, table, extra=("_bad", "_src_file", "_line"))
+        if path is not None:
+            typed.write.mode("overwrite").partitionBy("_bad").parquet(path)
+    if path is not None:
+        typed = spark.read.parquet(path)
+    bad = F.col("_bad").cast("boolean")  # a folder name once it is written
+    return ExtractRead(typed.where(~bad).drop("_bad", "_src_file", "_line"),
+                       typed.where(bad).select(F.lit(table).alias("table"), "_src_file", F.col("_line").alias("line")))
+
+
+def _parse(spark: SparkSession, paths: list[str], encoding: str, sep: str) -> DataFrame:
+    """The rows of all parts as text columns, parts of one header line together."""
     groups: dict[str, list[str]] = {}
     for p in paths:
         groups.setdefault(_first_line(spark, p, encoding), []).append(p)
-
-    frames, bad = [], []
+    frames = []
     for header, files in groups.items():
         names = [h.strip().upper() for h in header.split(sep)]
         # unique positional names, keep only field-like ones later
@@ -156,31 +190,17 @@ def read_extract(spark: SparkSession, paths: list[str], table: str,
               .option("columnNameOfCorruptRecord", CORRUPT)
               .option("nullValue", "")
               .csv(files))
-        df = df.select(
-            "*",
-            F.col("_metadata.file_path").alias("_src_file"),
-            F.col("_metadata.file_block_start").alias("_src_block"),
-            F.monotonically_increasing_id().alias("_src_row"),
-        )
-        if stage is not None:
-            path = (stage_dir(spark, f"extract/{table}-{uuid.uuid4().hex}") if stage == "auto"
-                    else stage.rstrip("/")) + f"/group={len(frames)}"
-            df.write.mode("overwrite").parquet(path)
-            df = spark.read.parquet(path)
-        n = len(names)
-        too_long = F.col(CORRUPT).isNotNull() & (F.size(F.split(F.col(CORRUPT), re.escape(sep))) > n)
-        bad.append(df.where(too_long).select(F.lit(table).alias("table"), "_src_file", F.col(CORRUPT).alias("line")))
+        too_long = F.col(CORRUPT).isNotNull() & (F.size(F.split(F.col(CORRUPT), re.escape(sep))) > len(names))
         keep = [F.col(f).alias(nm) for f, nm in zip(fields, names) if _NAME_OK.match(nm)]
-        frames.append(df.where(~too_long | F.col(CORRUPT).isNull()).select(
-            *keep, "_src_file",
-            F.struct("_src_block", "_src_row").alias("_src_ord")))
+        frames.append(df.select(
+            *keep, too_long.alias("_bad"), F.when(too_long, F.col(CORRUPT)).alias("_line"),
+            F.col("_metadata.file_path").alias("_src_file"),
+            F.struct(F.col("_metadata.file_block_start").alias("_src_block"),
+                     F.monotonically_increasing_id().alias("_src_row")).alias("_src_ord")))
     raw = frames[0]
     for f in frames[1:]:
         raw = raw.unionByName(f, allowMissingColumns=True)
-    dropped = bad[0]
-    for b in bad[1:]:
-        dropped = dropped.unionByName(b)
-    return ExtractRead(conform(raw, table), dropped)
+    return raw
 
 
 def read_table(spark: SparkSession, root: str, table: str, encoding: str = "UTF-8",

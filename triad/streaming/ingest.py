@@ -1,47 +1,37 @@
 """Incremental ingest of new extract parts with Structured Streaming.
 
-New ``<TABLE>_<n>.TXT`` parts dropped into a landing folder are picked up by
-a file-source stream, conformed exactly like a batch read (same types, same
-malformed-row rule, same file-order column) and appended to a Parquet table
-partitioned by company.  The stream runs with ``trigger(availableNow=True)``:
-each run processes every part that arrived since the last one and stops, and
-the checkpoint (under the shared checkpoint folder) remembers which parts are
-done, so a rerun after a lost executor or driver neither skips nor repeats a
-part.  Matching itself stays batch over the ingested tables.
-
-One stream per table; all parts of a table in one landing folder must share
-one header layout (the layout is read from the first part).  Company
-assignment joins each micro-batch to the header→company map of the already
-ingested headers (line tables) or maps the header's own column (header
-tables), as the batch split does.
+New ``<TABLE>_<n>.TXT`` parts dropped into a landing folder are found by a
+file-source stream with ``trigger(availableNow=True)``: each run takes every part
+that arrived since the last one and stops, and the checkpoint (under the shared
+checkpoint folder) remembers which parts are done.  The stream carries only file
+names; the parts of a micro-batch are read by the batch reader
+(:func:`triad.sources.extract.read_extract`), so headers are read part by part,
+parts of different layouts go together, and types, the malformed-row rule and the
+file order are those of a batch read.
+
+A micro-batch replaces its own folder ``ingest_batch=<id>``.  ``foreachBatch`` may
+run a batch again whose commit was lost; the second run writes the same rows to
+the same place, so no part is skipped or repeated.  A new checkpoint needs a new
+output folder.
+
+The stored company of a line is what the headers said at ingest.
+:func:`read_ingested` assigns it anew from all headers ingested by now, so a line
+whose header came later is not lost; for delivery headers it maps VKORG through
+the ingested order and invoice headers.
 """
 
 from __future__ import annotations
 
 import os
-import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import EXTRACT_SEP, TABLE_FILE_GLOBS
+from ..operators.company import UNKNOWN, UNMAPPED, assign_company_header, assign_company_line, vkorg_company
 from ..session import stage_dir
-from ..sources.extract import CORRUPT, _first_line, conform, list_parts
-
-_NAME_OK = re.compile(r"^[A-Z][A-Z0-9_]*$")
-
-
-def _stream_schema(spark: SparkSession, landing: str, table: str, encoding: str, sep: str):
-    parts = list_parts(spark, landing, table)
-    if not parts:
-        raise FileNotFoundError(f"no {table} part in {landing}; the first part fixes the layout")
-    names = [h.strip().upper() for h in _first_line(spark, parts[0], encoding).split(sep)]
-    fields = [f"_c{i}" for i in range(len(names))]
-    schema = T.StructType([T.StructField(f, T.StringType(), True) for f in fields]
-                          + [T.StructField(CORRUPT, T.StringType(), True)])
-    return names, fields, schema
+from ..sources.extract import read_extract
 
 
 def ingest_stream(spark: SparkSession, landing: str, table: str, out: str, company_col: str | None = None,
@@ -51,50 +41,53 @@ def ingest_stream(spark: SparkSession, landing: str, table: str, out: str, compa
 
     * ``company_col``: header tables — the company is this column's value;
     * ``company_map``: line tables — path of an ingested header table whose
-      ``(VBELN, company)`` pairs assign the company (joined per micro-batch;
-      lines whose header is not ingested yet go to company ``UNMAPPED``);
+      ``(VBELN, company)`` pairs assign the company (lines whose header is not
+      ingested yet are stored as ``UNMAPPED``; see :func:`read_ingested`);
     * rows with more fields than the header are dropped (A5), as in batch.
     """
-    names, fields, schema = _stream_schema(spark, landing, table, encoding, sep)
-    reader = (spark.readStream.schema(schema)
-              .option("header", True).option("sep", sep)
-              .option("quote", "\u0000").option("escape", "\u0000")
-              .option("encoding", encoding).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT).option("nullValue", "")
+    reader = (spark.readStream.format("binaryFile")
+              .schema("path string, modificationTime timestamp, length long, content binary")
               .option("pathGlobFilter", os.path.basename(TABLE_FILE_GLOBS[table])))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.csv(landing)
-    raw = raw.select("*", F.col("_metadata.file_path").alias("_src_file"),
-                     F.col("_metadata.file_block_start").alias("_src_block"))
-    too_long = F.col(CORRUPT).isNotNull() & (F.size(F.split(F.col(CORRUPT), re.escape(sep))) > len(names))
-    keep = [F.col(f).alias(n) for f, n in zip(fields, names) if _NAME_OK.match(n)]
-    rows = raw.where(~too_long).select(*keep, "_src_file", "_src_block")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # row ids are only allowed on the static micro-batch; the batch id
-        # leads the order key so earlier parts stay ahead of later ones
-        batch = batch.withColumn("_src_ord", F.struct(
-            F.lit(batch_id).cast("bigint").alias("_batch"), "_src_block",
-            F.monotonically_increasing_id().alias("_src_row"))).drop("_src_block")
-        df = conform(batch, table)
-        df = df.withColumn("ingest_batch", F.lit(batch_id).cast("bigint"))
+        parts = sorted(r.path for r in batch.collect())  # file names of this batch only
+        if not parts:
+            return
+        df = read_extract(batch.sparkSession, parts, table, encoding, sep, stage=None).df
         if company_col is not None:
-            df = df.withColumn("company", F.coalesce(F.nullif(F.trim(F.col(company_col)), F.lit("")),
-                                                      F.lit("UNKNOWN")))
+            code = F.nullif(F.trim(F.col(company_col)), F.lit(""))
+            df = df.withColumn("company", F.coalesce(code, F.lit(UNKNOWN)))
         elif company_map is not None:
-            # last header row wins, as in the batch split
-            hdr = (spark.read.parquet(company_map).groupBy("VBELN")
-                   .agg(F.max_by("company", "_ord").alias("company")))
-            df = (df.join(hdr, "VBELN", "left")
-                    .withColumn("company", F.coalesce(F.col("company"), F.lit("UNMAPPED"))))
+            df = assign_company_line(df, batch.sparkSession.read.parquet(company_map))
         else:
             df = df.withColumn("company", F.lit("ALL"))
         # _ord (file, position) is stored so "keep first" works on the table
-        df.write.mode("append").partitionBy("company").parquet(out)
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("company")
+           .parquet(f"{out.rstrip('/')}/ingest_batch={batch_id}"))
 
     checkpoint = checkpoint or stage_dir(spark, f"ingest-checkpoint/{table}")
-    return (rows.writeStream.foreachBatch(write_batch)
+    return (reader.load(landing).select("path").writeStream.foreachBatch(write_batch)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())
+
+
+def read_ingested(spark: SparkSession, out: str, headers: str | None = None, vbak: str | None = None,
+                  vbrk: str | None = None) -> DataFrame:
+    """The ingested table with its company as of now.
+
+    ``headers``: of a line table, the path of its ingested header table;
+    ``vbak`` and ``vbrk``: of LIKP, the paths that give VKORG -> company.
+    """
+    df = spark.read.parquet(out)
+    if headers is not None:
+        return assign_company_line(df.drop("company"), spark.read.parquet(headers))
+    if vbak is not None and vbrk is not None:
+        bmap = vkorg_company(spark.read.parquet(vbak), spark.read.parquet(vbrk))
+        return assign_company_header(df.drop("company"), "LIKP", "bukrs", bmap)
+    return df
+
+
+__all__ = ["UNKNOWN", "UNMAPPED", "ingest_stream", "read_ingested"]
