@@ -437,12 +437,21 @@ def c6(c: Ctx):
     return DV.order_set_filter(d, c.known, ("VBELV", "AUBEL")).select("VBELN", "POSNR")
 
 
-@q("c7_exclude_intercompany", f"""
-SELECT 'VBAK' AS src, VBELN FROM vbak WHERE {O.ST('KUNNR')} IN (SELECT code FROM excl)
-UNION ALL SELECT 'VBRK', VBELN FROM vbrk WHERE {O.ST('KUNAG')} IN (SELECT code FROM excl)""")
+_OWN_EXCL_SQL = """
+, own AS (SELECT code FROM excl UNION SELECT BUKRS_VF FROM vbak WHERE regexp_full_match(BUKRS_VF, '[0-9]{4}')
+          UNION SELECT BUKRS FROM vbrk WHERE regexp_full_match(BUKRS, '[0-9]{4}')),
+own2 AS (SELECT code FROM own WHERE code <> '4480')
+"""
+
+
+@q("c7_exclude_intercompany", _OWN_EXCL_SQL + f"""
+SELECT 'VBAK' AS src, VBELN FROM vbak WHERE {O.ST('KUNNR')} IN (SELECT code FROM own2)
+UNION ALL SELECT 'VBRK', VBELN FROM vbrk WHERE {O.ST('KUNAG')} IN (SELECT code FROM own2)""")
 def c7(c: Ctx):
+    excl = C.exclusion_set(c.spark, c.p.with_(exclude_own_company_codes=True), c.t["VBAK"], c.t["VBRK"])
+
     def hits(df, col, src):
-        kept = C.drop_excluded(df, col, c.excl).select("VBELN")
+        kept = C.drop_excluded(df, col, excl).select("VBELN")
         return df.select("VBELN").exceptAll(kept).select(F.lit(src).alias("src"), "VBELN")
     return hits(c.t["VBAK"], "KUNNR", "VBAK").unionByName(hits(c.t["VBRK"], "KUNAG", "VBRK"))
 
@@ -759,9 +768,10 @@ def f4(c: Ctx):
     return OR.material_mapper(c.order_lines).drop("company")
 
 
-@q("g1_exclusion_set", "SELECT code FROM excl")
+@q("g1_exclusion_set", _OWN_EXCL_SQL + "SELECT code FROM own2")
 def g1(c: Ctx):
-    return c.excl
+    """The default: the fixed list and the company codes in the data."""
+    return C.exclusion_set(c.spark, c.p.with_(exclude_own_company_codes=True), c.t["VBAK"], c.t["VBRK"])
 
 
 # ---------------------------------------------------------------------------
@@ -947,9 +957,15 @@ def a1(c: Ctx):
     return EX.read_extract(c.spark, parts, "VBAK").df.drop("_ord")
 
 
+def _load() -> None:
+    from . import roundtrips  # noqa: F401  registers its queries
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load()
     return {name: (lambda spark, sf_dir, _f=fn: export(_f(Ctx(spark, sf_dir)))) for name, (fn, _) in REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return {name: sql for name, (_, sql) in REGISTRY.items() if sql is not None}

@@ -84,11 +84,17 @@ def fixture_cte_sql() -> str:
     return "with " + ",\n".join(f"{n} as ({q})" for n, q in FIXTURE_VIEWS) + "\n"
 
 
-def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def two_company_views() -> list[tuple[str, str]]:
+    """The views with two company codes in every sales organisation."""
+    one, two = "cast(5000+n_regionkey as string)", "cast(5000+n_regionkey+100*(o_custkey%2) as string)"
+    return [(n, q.replace(one, two)) for n, q in FIXTURE_VIEWS]
+
+
+def fixture_tables(spark: SparkSession, sf_dir: str, views: list[tuple[str, str]] | None = None) -> dict[str, DataFrame]:
     """Register the star tables and return the six conformed SAP tables."""
     for t in STAR_TABLES:
         spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
-    for name, q in FIXTURE_VIEWS:
+    for name, q in views or FIXTURE_VIEWS:
         spark.sql(q).createOrReplaceTempView(name)
     out = {}
     for table in ("VBAK", "VBAP", "LIKP", "LIPS", "VBRK", "VBRP"):
