@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..config import Params
-from ..functions.exprs import sold_to_norm
+from ..functions.exprs import blank_ref, sold_to_norm
 
 KEY = ["VKORG", "VBELN", "POSNR"]
 # Documents are matched inside one company, so it is part of every key.
@@ -82,12 +82,21 @@ def non_null_keys(df: DataFrame, cols=KEY) -> DataFrame:
     return df.where(cond)
 
 
-def doc_list(col: str) -> Column:
-    """Distinct, sorted, ', '-joined document numbers of a group."""
-    v = F.nullif(F.trim(F.col(col)), F.lit(""))
+def doc_list(col: str, key: str = "VBELN") -> Column:
+    """Distinct, sorted, ', '-joined document numbers of a group.  All
+    documents without any reference share the blank key; their numbers are not
+    bounded by one order line, so they are no cell but the rows of
+    :func:`unreferenced_documents`."""
+    v = F.when(~blank_ref(key), F.nullif(F.trim(F.col(col)), F.lit("")))
     return F.array_join(F.array_sort(F.collect_set(v)), ", ")
 
 
+def unreferenced_documents(lines: DataFrame) -> DataFrame:
+    """The documents of lines without any order reference, one row each."""
+    open_ = lines.where(blank_ref("ORD_VBELN"))
+    return open_.select(company_column(open_), "VKORG", F.trim(F.col("VBELN")).alias("doc")).distinct()
+
+
 def first_non_null(col: str, order: str = "_ord") -> Column:
     """First non-null value in source order (pandas ``first``)."""
     return F.min_by(F.col(col), F.struct(F.col(col).isNull(), F.col(order)))

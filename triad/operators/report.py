@@ -78,8 +78,9 @@ def scenario_table(stats: DataFrame, basis: str = "reported", with_group: bool =
     wide = wide.withColumn("company", F.when(F.col("_g") == 1, F.lit(GROUP)).otherwise(F.col("company")))
 
     def pct_sql(a: str, b: str) -> str:
-        return (f"CASE WHEN ({b}) IS NULL OR ({b}) = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST(CAST("
-                f"100.0D * CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE) AS DECIMAL(18,4)) AS DOUBLE) END")
+        v = f"100.0D * CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE)"
+        return (f"CASE WHEN ({b}) IS NULL OR ({b}) = 0 THEN CAST(NULL AS DOUBLE) "
+                f"ELSE coalesce(CAST(TRY_CAST({v} AS DECIMAL(18,4)) AS DOUBLE), {v}) END")
 
     nul = "CAST(NULL AS DOUBLE)"
     nz_sub_a = "abs(asub) >= 1e-9D"
@@ -200,6 +201,11 @@ def sensitivity(rates: DataFrame, p: Params) -> DataFrame:
                  F.max("removed_companies").alias("removed_companies"))
 
 
+def removed_companies(rates: DataFrame, p: Params) -> DataFrame:
+    """The companies below the high tier as rows, for any number of them."""
+    return rates.where(F.col("_raw_pct_amt") < p.tier_high).select("company", "pct_amt")
+
+
 def internal_only(stats: DataFrame, basis: str = "reported") -> DataFrame:
     """Companies whose scenarios 1–13 hold no rows at all."""
     s = _basis_rows(stats, basis)
@@ -274,10 +280,10 @@ def amount_text(c, digits: int = 2) -> Column:
              .when(r < 0, F.concat(F.lit("("), body, F.lit(")"))).otherwise(body))
 
 
-def pct_text(c) -> Column:
-    """Percentage with one decimal and a '%' sign; null -> ''."""
-    r = F.bround((F.col(c) if isinstance(c, str) else c).cast("decimal(38,6)"), 1)
-    return F.when(r.isNull(), F.lit("")).otherwise(F.concat(F.format_number(r, 1), F.lit("%")))
+def pct_text(c, missing: str = "") -> Column:
+    """Percentage with two decimals and a '%' sign; null -> ``missing``."""
+    r = F.bround((F.col(c) if isinstance(c, str) else c).try_cast("decimal(38,6)"), 2)
+    return F.when(r.isNull(), F.lit(missing)).otherwise(F.concat(F.format_number(r, 2), F.lit("%")))
 
 
 def parse_report_number(c) -> Column:
@@ -290,14 +296,16 @@ def parse_report_number(c) -> Column:
 
 def display_table(table: DataFrame) -> DataFrame:
     """The scenario table (D13) as report text, with the invoice amount also
-    parsed back from its text (a check that the two agree)."""
+    parsed back from its text (a check that the two agree).  An undefined share
+    is 'N/A', the total line has no shares and line 14 no difference."""
+    total, negative = F.col("line") == "total", F.col("line") == str(NEGATIVE)
     return table.select(
         "company", "line", "line_order",
         amount_text("rows", 0).alias("rows_text"),
         pct_text("pct_rows").alias("pct_rows_text"),
         amount_text("inv_amt").alias("inv_amt_text"),
-        pct_text("pct_amt").alias("pct_amt_text"),
-        amount_text("order_inv_diff").alias("diff_text"),
+        F.when(total, F.lit("")).otherwise(pct_text("pct_amt", "N/A")).alias("pct_amt_text"),
+        F.when(negative, F.lit("-")).otherwise(amount_text("order_inv_diff")).alias("diff_text"),
         parse_report_number(amount_text("inv_amt")).cast("double").alias("inv_amt_back"),
     )
 

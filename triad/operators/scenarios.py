@@ -81,10 +81,11 @@ def drop_scenario10(stats: DataFrame, detail_rows: DataFrame) -> tuple[DataFrame
 
 
 def pct(a, b) -> Column:
-    """100·a/b in double, rounded to 4 decimals; null when b is 0 or null."""
+    """100·a/b in double, rounded to 4 decimals (as it is if too large for
+    that); null when b is 0 or null."""
     a, b = (F.col(a) if isinstance(a, str) else a), (F.col(b) if isinstance(b, str) else b)
     v = F.lit(100.0) * a.cast("double") / b.cast("double")
-    return F.when(b.isNull() | (b == 0), F.lit(None)).otherwise(v.cast("decimal(18,4)").cast("double"))
+    return F.when(b.isNull() | (b == 0), F.lit(None)).otherwise(F.coalesce(v.try_cast("decimal(18,4)").cast("double"), v))
 
 
 def scenario_stats(classified: DataFrame, untested_rows: DataFrame, negative: DataFrame) -> DataFrame:

@@ -683,6 +683,12 @@ def d18(c: Ctx):
     return R.sensitivity(R.company_match_rate(c.an.stats, _TIER_P, "full"), _TIER_P)
 
 
+@q("d18_removed_companies", f"""SELECT company, CASE WHEN ta > 0 THEN {O.PCT('ma', 'ta')} ELSE 0.0 END pct_amt
+FROM {O.rates_sql('sbf', 20.0, 15.0)} WHERE raw_pa < 20.0""")
+def d18r(c: Ctx):
+    return R.removed_companies(R.company_match_rate(c.an.stats, _TIER_P, "full"), _TIER_P)
+
+
 @q("d19_internal_only_flag", """
 SELECT company, sum(CASE WHEN scenario BETWEEN 1 AND 13 THEN rows ELSE 0 END) = 0 internal_only FROM sb GROUP BY company""")
 def d19(c: Ctx):
@@ -901,17 +907,18 @@ def _amt_text_sql(x: str, digits: int) -> str:
             f"ELSE format('{fmt}', ({x})::DOUBLE) END)")
 
 
-def _pct_text_sql(x: str) -> str:
-    return f"(CASE WHEN {x} IS NULL THEN '' ELSE format('{{:,.1f}}', ({x})::DOUBLE) || '%' END)"
+def _pct_text_sql(x: str, missing: str = "") -> str:
+    return f"(CASE WHEN {x} IS NULL THEN '{missing}' ELSE format('{{:,.2f}}', ({x})::DOUBLE) || '%' END)"
 
 
 @q("b36_report_numbers", _table_cte("sb", "tbl") + f"""
 , fx AS (SELECT company, line, line_order,
-   round_even(rows::DECIMAL(38,6), 0) r0, round_even(pct_rows::DECIMAL(38,6), 1) pr,
-   round_even(inv_amt::DECIMAL(38,6), 2) ia, round_even(pct_amt::DECIMAL(38,6), 1) pa,
+   round_even(rows::DECIMAL(38,6), 0) r0, round_even(pct_rows::DECIMAL(38,6), 2) pr,
+   round_even(inv_amt::DECIMAL(38,6), 2) ia, round_even(pct_amt::DECIMAL(38,6), 2) pa,
    round_even(order_inv_diff::DECIMAL(38,6), 2) od FROM tbl)
 SELECT company, line, line_order, {_amt_text_sql('r0', 0)} rows_text, {_pct_text_sql('pr')} pct_rows_text,
-  {_amt_text_sql('ia', 2)} inv_amt_text, {_pct_text_sql('pa')} pct_amt_text, {_amt_text_sql('od', 2)} diff_text,
+  {_amt_text_sql('ia', 2)} inv_amt_text, CASE WHEN line = 'total' THEN '' ELSE {_pct_text_sql('pa', 'N/A')} END pct_amt_text,
+  CASE WHEN line = '14' THEN '-' ELSE {_amt_text_sql('od', 2)} END diff_text,
   coalesce(ia, 0)::DOUBLE inv_amt_back
 FROM fx""")
 def b36(c: Ctx):

@@ -109,6 +109,7 @@ def group_report(spark: SparkSession, stats: DataFrame, p: Params, basis: str =
         overall=R.overall_match(rates),
         sensitivity=R.sensitivity(rates, p),
         internal_only=R.internal_only(stats, basis),
+        extra={"removed": R.removed_companies(rates, p)},
     )
 
 
