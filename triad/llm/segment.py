@@ -127,60 +127,69 @@ class Lattice:
     """Edges of distinct chunks, with their conditional log-probabilities."""
 
     def __init__(self, chunks: list[str], pieces: Pieces):
-        size = np.fromiter(map(len, chunks), dtype=np.int64, count=len(chunks)) + 1
-        self.begin = np.cumsum(size) - size
+        size = np.fromiter(map(len, chunks), dtype=np.int32, count=len(chunks)) + np.int32(1)
+        self.begin = np.cumsum(size, dtype=np.int32) - size
         self.code = np.frombuffer("\0".join([*chunks, ""]).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-        last = self.begin + size - 1
+        last = self.begin + size - np.int32(1)
         self.code = np.where(self.code == 32, U(ord(BLANK)), self.code)
         n = len(self.code)
         stop = np.repeat(last, size)
-        self.place = np.arange(n) - np.repeat(self.begin, size)
+        self.place = np.arange(n, dtype=np.uint32) - np.repeat(self.begin, size).astype(np.uint32)
         self.last = np.zeros(n, dtype=bool)
         self.last[last] = True
-        at = np.flatnonzero(~self.last)
+        every = at = np.flatnonzero(~self.last).astype(np.int32)
         h = np.zeros(len(at), dtype=np.uint64)
+        self.count = np.zeros(n, dtype=np.int32)
         single = np.zeros(n, dtype=bool)
-        starts, ends, ids = [], [], []
+        starts, ends, ids, nths = [], [], [], []
+
+        def add(start: np.ndarray, length: int, piece: np.ndarray) -> None:
+            starts.append(start)
+            ends.append(start + np.int32(length))
+            ids.append(piece)
+            nths.append(self.count[start])
+            self.count[start] += 1
+
         for length in range(1, pieces.longest + 1):
-            inside = at + length - 1 < stop[at]
+            inside = at + np.int32(length - 1) < stop[at]
             at, h = at[inside], h[inside]
             if not len(at):
                 break
-            h = h * BASE + self.code[at + length - 1] + U(1)
+            h *= BASE
+            h += self.code[at + np.int32(length - 1)]
+            h += U(1)
             found = pieces.lookup(h)
             keep = found > -2
             at, h, found = at[keep], h[keep], found[keep]
             whole = found >= 0
-            starts.append(at[whole])
-            ends.append(at[whole] + length)
-            ids.append(found[whole])
+            add(at[whole], length, found[whole])
             if length == 1:
                 single[at[whole]] = True
-        bare = np.flatnonzero(~single & ~self.last)
-        start = np.concatenate([*starts, bare]).astype(np.int64)
-        end = np.concatenate([*ends, bare + 1]).astype(np.int64)
-        piece = np.concatenate([*ids, np.full(len(bare), -1, dtype=np.int32)]).astype(np.int32)
-        left = (stop - np.arange(n))[start]
-        order = np.argsort((left << 40) | start, kind="stable")
-        self.start, self.end, self.piece, left = start[order], end[order], piece[order], left[order]
+        bare = every[~single[every]]
+        add(bare, 1, np.full(len(bare), -1, dtype=np.int32))
+        # edges by node, nodes by their distance to the chunk's end
+        left = stop[every] - every
+        order = np.argsort(left, kind="stable")
+        nodes, left = every[order], left[order]
+        many = self.count[nodes]
+        begin = np.cumsum(many, dtype=np.int32) - many
+        self.first = np.zeros(n, dtype=np.int32)
+        self.first[nodes] = begin
+        start, nth = np.concatenate(starts), np.concatenate(nths)
+        spot = self.first[start] + nth
+        self.start, self.end, self.piece, self.nth = (np.empty(len(spot), dtype=t) for t in (np.int32, np.int32, np.int32, np.uint32))
+        self.start[spot], self.end[spot], self.piece[spot] = start, np.concatenate(ends), np.concatenate(ids)
+        self.nth[spot] = nth.astype(np.uint32) * np.uint32(0x27D4EB2F)
         weight = pieces.weight[self.piece]
-        nodes = np.flatnonzero(np.r_[True, self.start[1:] != self.start[:-1]]) if len(order) else np.empty(0, np.int64)
-        many = np.diff(np.r_[nodes, len(order)])
-        self.nth = (np.arange(len(order)) - np.repeat(nodes, many)).astype(np.uint32) * np.uint32(0x27D4EB2F)
-        self.first = np.zeros(n, dtype=np.int64)
-        self.count = np.zeros(n, dtype=np.int64)
-        self.first[self.start[nodes]] = nodes
-        self.count[self.start[nodes]] = many
         beta = np.zeros(n)
-        near = left[nodes]
-        groups = np.flatnonzero(np.diff(near, prepend=-1)) if len(nodes) else nodes  # by distance to the end
-        for a, b in zip(groups, np.r_[groups[1:], len(nodes)].astype(np.int64) if len(nodes) else nodes, strict=True):
-            e0, e1 = nodes[a], nodes[b] if b < len(nodes) else len(order)
+        groups = np.flatnonzero(np.diff(left, prepend=-1))
+        for a, b in zip(groups, [*groups[1:], len(nodes)], strict=False):
+            e0, e1 = begin[a], begin[b] if b < len(nodes) else len(spot)
             x = weight[e0:e1] + beta[self.end[e0:e1]]
-            seg = nodes[a:b] - e0
+            seg = begin[a:b] - e0
             top = np.maximum.reduceat(x, seg)
-            beta[self.start[nodes[a:b]]] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, many[a:b])), seg))
-        self.logp = weight + beta[self.end] - beta[self.start] if len(order) else np.empty(0)
+            beta[nodes[a:b]] = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, many[a:b])), seg))
+        self.logp = weight + beta[self.end] - beta[self.start]
         self.logp32 = self.logp.astype(np.float32)
 
 
@@ -237,10 +246,10 @@ class Walk:
         salt = key[text] + occ.astype(np.uint32) * np.uint32(0x9E3779B1)
         while len(states):
             cnt, first = lat.count[now], lat.first[now]
-            seg = np.cumsum(cnt) - cnt
+            seg = np.cumsum(cnt, dtype=np.int32) - cnt
             e = np.repeat(first - seg, cnt)
-            e += np.arange(len(e))
-            h = salt[states] ^ (lat.place[now].astype(np.uint32) * np.uint32(0x85EBCA77))
+            e += np.arange(len(e), dtype=np.int32)
+            h = salt[states] ^ (lat.place[now] * np.uint32(0x85EBCA77))
             h = (h ^ (h >> np.uint32(15))) * np.uint32(0xC2B2AE3D)
             x = gumbel(np.repeat(h, cnt) + lat.nth[e])
             x += lat.logp32[e]
@@ -317,6 +326,9 @@ def with_bytes(lat: Lattice, edges: np.ndarray, pieces: Pieces) -> np.ndarray:
     if not len(bare):
         return ids
     code = lat.code[lat.start[edges[bare]]]
+    if (code < 0x80).all():
+        ids[bare] = pieces.byte_ids[code.astype(np.int64)]
+        return ids
     size = np.ones(len(ids), dtype=np.int64)
     size[bare] = 1 + (code >= 0x80) + (code >= 0x800).astype(np.int64) + (code >= 0x10000)
     at = (np.cumsum(size) - size)[bare]
