@@ -267,3 +267,38 @@ def test_rerun_reports_its_own_companies(spark, tmp_path):
     assert {r["company"] for r in PL.read_stage(spark, paths["stats"]).collect()} == {"1000"}
     control = PL.read_stage(spark, paths["control"]).first()
     assert control["duplicate_delivery_headers"] == 0 and control["order_headers_excluded"] == 0
+
+
+def test_units_line_numbers_and_materials(spark):
+    """B21, B37, B38 on rows that they change."""
+    df = spark.createDataFrame([("PC", "KG", "10", "M1.0"), (" ", "KG", " 000020 ", "M\u200b2.00"), (None, None, "A1", "M3")],
+                               "VRKME string, MEINS string, POSNR string, MATNR string")
+    got = [tuple(r) for r in df.select(X.delivery_unit(), X.posnr_norm("POSNR"), X.material_cleanup("MATNR")).collect()]
+    assert got == [("PC", "000010", "M1"), ("KG", "000020", "M2"), ("", "A1", "M3")]
+
+
+def test_verify_reaches_every_verdict(spark):
+    from triad.operators import verify as V
+    rows = merge_sets(doc_set(180), doc_set(181, vbap_KLMENG="0"), doc_set(182))
+    t = make_tables(spark, **rows)
+    keys = spark.createDataFrame([("1000", "0000000180", "10"), ("1000", "0000000181", "000010"), ("1000", "8000000182", "000010"),
+                                  ("1000", "7777777777", "000010")], "VKORG string, VBELN string, POSNR string")
+    out = {r["VBELN"]: r["verdict"] for r in V.verify_lookup(None, t, edge_params(), keys=keys).collect()}
+    assert out == {"0000000180": V.VERDICTS[0], "0000000181": V.VERDICTS[1], "8000000182": V.VERDICTS[2], "7777777777": V.VERDICTS[3]}
+
+
+def test_unreferenced_documents_are_rows(spark):
+    from triad.operators import invoices as IV
+    from triad.operators.common import unreferenced_documents
+    rows = merge_sets(*[doc_set(190 + i, vbrp_AUBEL="", vbrp_VBELV="", vbrp_POSNV="") for i in range(3)])
+    t, rec, _ = _run(spark, rows)
+    blank = rec.matched.where("VBELN = ''").collect()
+    assert len(blank) == 1 and blank[0]["inv_docs"] == "" and blank[0]["inv_amt"] == Decimal("300.00")
+    lines = IV.invoice_lines(t["VBRK"], t["VBRP"], spark.createDataFrame([], "code string"), edge_params())
+    assert sorted(r["doc"] for r in unreferenced_documents(lines).collect()) == ["9000000190", "9000000191", "9000000192"]
+
+
+def test_share_too_large_for_its_decimal(spark):
+    from triad.operators.scenarios import pct
+    df = spark.createDataFrame([(1e12, 0.01), (1.0, 3.0), (1.0, 0.0)], "a double, b double")
+    assert [r[0] for r in df.select(pct("a", "b")).collect()] == [pytest.approx(1e16), 33.3333, None]

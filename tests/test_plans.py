@@ -102,3 +102,20 @@ def test_run_all_writes_and_reads_back(spark, run, tmp_path):
     a = stats.select("company", "scenario", "rows").exceptAll(an.stats.select("company", "scenario", "rows"))
     assert a.count() == 0
     assert spark.read.parquet(paths["report_table"]).count() > 0
+
+
+def test_exchange_counts(run, spark, tmp_path):
+    """With the pivots written, the match shuffles each pivot once and nothing
+    else, and the untested classes add no exchange after their full join."""
+    from triad.operators import matching as M
+    p, t, _, _, _ = run
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pv = M.build_pivots(spark, t, p).write(str(tmp_path / "pivots"))
+        plans = {n: _plan(df) for n, df in (("match", M.three_way_match(pv, p)), ("untested", M.untested(pv, p)))}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plans["match"].count("Exchange hashpartitioning") == 3
+    assert plans["untested"].count("Exchange hashpartitioning") <= 4
+    assert not any("hashpartitioning(VKORG" in x for x in plans.values())

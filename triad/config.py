@@ -120,8 +120,8 @@ class Period:
 class Params:
     """All knobs of one reconciliation run (defaults = the audited process)."""
 
-    invoice_period: Period = field(default_factory=Period)
-    order_period: Period = field(default_factory=Period)
+    invoice_period: Period | None = field(default_factory=Period)   # None: all dates
+    order_period: Period | None = field(default_factory=Period)
     # Optional filters the documentation promises but the process does not apply.
     filter_order_period_in_match: bool = False
     order_type: str | None = None

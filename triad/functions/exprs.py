@@ -130,7 +130,10 @@ def order_inv_diff() -> Column:
 
 
 def in_period(c, period) -> Column:
-    """Date within the closed month range (pushable range predicate)."""
+    """Date within the closed month range (pushable range predicate);
+    no period means every row."""
+    if period is None:
+        return F.lit(True)
     return _c(c).between(F.lit(period.first_day), F.lit(period.last_day))
 
 

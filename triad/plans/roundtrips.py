@@ -303,3 +303,32 @@ def c13_code(c: Ctx):
 @by_company("d7_stats_by_company_code", f"SELECT {_ST_COLS} FROM st")
 def d7_code(c: Ctx):
     return c.an.stats
+
+
+# ---------------------------------------------------------------------------
+# all invoice dates: the whole driving side through the match
+# ---------------------------------------------------------------------------
+
+class AllDatesCtx(Ctx):
+    def __init__(self, c: Ctx):
+        super().__init__(c.spark, c.sf_dir)
+        self.p = fixture_params().with_(invoice_period=None)
+
+
+def all_dates(name: str, select: str):
+    def deco(fn):
+        limit = f"WHERE {O.DT('FKDAT')} BETWEEN DATE '{O._IF}' AND DATE '{O._IL}'"
+        assert limit in O.CHAIN
+        REGISTRY[name] = (lambda c: fn(AllDatesCtx(c)), O.fixture_cte_sql() + "," + O.CHAIN.replace(limit, "WHERE true") + select)
+        return fn
+    return deco
+
+
+@all_dates("c9_match_all_dates", f"SELECT {_MATCH_SQL_COLS} FROM mt")
+def c9_all(c: Ctx):
+    return c.rec.matched.select(*MATCH_COLS)
+
+
+@all_dates("d7_stats_all_dates", f"SELECT {_ST_COLS} FROM st")
+def d7_all(c: Ctx):
+    return c.an.stats
