@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..config import Params
 from ..functions import exprs as X
+from ..session import ensure_checkpoint_dir
 from .common import CKEY, JKEY, company_column, doc_list, header_join, keep_first, non_null_keys
 
 
@@ -69,8 +70,12 @@ def batch_child_dedup(d: DataFrame) -> DataFrame:
 
     Parents pass through untouched.  Only the child rows, which are few, are
     looked up: two left-anti joins against the (delivery, position) pairs of
-    the parents, so the delivery lines themselves are not shuffled again.
+    the parents, so the delivery lines themselves are not shuffled again.  The
+    lines are written once to the shared checkpoint folder, because parents,
+    children and pairs all come from them.
     """
+    ensure_checkpoint_dir(d.sparkSession)
+    d = d.checkpoint()
     is_parent = X.blank_parent_ref("UEPOS") & X.blank_parent_ref("UECHA")
     parents, children = d.where(is_parent), d.where(~is_parent)
     place = parents.select(F.col("VBELN").alias("_pv"), F.col("POSNR").alias("_pp"))
