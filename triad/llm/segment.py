@@ -142,14 +142,6 @@ class Lattice:
         self.count = np.zeros(n, dtype=np.int32)
         single = np.zeros(n, dtype=bool)
         starts, ends, ids, nths = [], [], [], []
-
-        def add(start: np.ndarray, length: int, piece: np.ndarray) -> None:
-            starts.append(start)
-            ends.append(start + np.int32(length))
-            ids.append(piece)
-            nths.append(self.count[start])
-            self.count[start] += 1
-
         for length in range(1, pieces.longest + 1):
             inside = at + np.int32(length - 1) < stop[at]
             at, h = at[inside], h[inside]
@@ -162,11 +154,20 @@ class Lattice:
             keep = found > -2
             at, h, found = at[keep], h[keep], found[keep]
             whole = found >= 0
-            add(at[whole], length, found[whole])
+            start = at[whole]
+            starts.append(start)
+            ends.append(start + np.int32(length))
+            ids.append(found[whole])
+            nths.append(self.count[start])
+            self.count[start] += 1
             if length == 1:
-                single[at[whole]] = True
+                single[start] = True
         bare = every[~single[every]]
-        add(bare, 1, np.full(len(bare), -1, dtype=np.int32))
+        starts.append(bare)
+        ends.append(bare + np.int32(1))
+        ids.append(np.full(len(bare), -1, dtype=np.int32))
+        nths.append(self.count[bare])
+        self.count[bare] += 1
         # edges by node, nodes by their distance to the chunk's end
         left = stop[every] - every
         order = np.argsort(left, kind="stable")
@@ -178,8 +179,11 @@ class Lattice:
         start, nth = np.concatenate(starts), np.concatenate(nths)
         spot = self.first[start] + nth
         self.start, self.end, self.piece, self.nth = (np.empty(len(spot), dtype=t) for t in (np.int32, np.int32, np.int32, np.uint32))
-        self.start[spot], self.end[spot], self.piece[spot] = start, np.concatenate(ends), np.concatenate(ids)
         self.nth[spot] = nth.astype(np.uint32) * np.uint32(0x27D4EB2F)
+        self.start[spot] = start
+        del start, nth, starts, nths
+        self.end[spot], self.piece[spot] = np.concatenate(ends), np.concatenate(ids)
+        del ends, ids
         weight = pieces.weight[self.piece]
         beta = np.zeros(n)
         groups = np.flatnonzero(np.diff(left, prepend=-1))
@@ -409,7 +413,7 @@ def encode(docs: DataFrame, p: Sampling = Sampling()) -> DataFrame:
                                ("log_inclusion", pa.float64()), ("round_trip", pa.bool_())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 2 << 20):
+        for b in slices(batches, "text", 1 << 20):
             texts = b.column("text").to_pylist()
             at = [i for i, t in enumerate(texts) if t is not None]
             keys = b.column("row_key").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)[at]
