@@ -61,15 +61,17 @@ def test_edges(spark):
     assert got(documents(spark, []), N.Near()) == []
 
 
-def test_large_groups_in_rounds(spark):
-    """A chain of near copies in which no center reaches all, and large buckets."""
+def test_chains_and_changed_copies(spark):
+    """A chain in which no center reaches all, and copies changed more and less."""
     base = [f"w{i}" for i in range(120)]
     rows = []
     for i in range(90):  # drifts: neighbours are near, far ones are not
         base[i % 120] = f"v{i}"
         rows.append((500 - i, " ".join(base), "en", "s"))
+    rng = np.random.default_rng(2)
+    rows += [(2000 + i, " ".join(f"x{j}" if rng.random() > 0.004 * i else f"y{i}.{j}" for j in range(150)), "en", "s") for i in range(60)]
     rows += [(1000 + i, "same text " + " ".join(f"z{j}" for j in range(40)), "en", "s") for i in range(50)]
-    p = N.Near(shingle=3, percent=85, small=4, centers=2)
+    p = N.Near(shingle=3, percent=85)
     assert key(got(documents(spark, rows), p)) == key(brute([r[:2] for r in rows], p))
 
 

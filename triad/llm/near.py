@@ -6,15 +6,17 @@ of a bitmap, so that the XOR of two bitmaps has the parity of what the samples
 do not share and its population count estimates the similarity.  Documents with
 one fingerprint form a class; only classes go on, so exact copies cost one row.
 
-Classes that share a band key are linked in rounds.  First each bucket's members
-are tested against one center.  Later only buckets that hold more than one
-component go on: small ones test every pair across components, large ones a few
-new centers against all members, after which these centers are done.  The rounds
-end when no bucket has untested pairs across components, so components are those
-of all pairs in a bucket, though a group of n near copies costs some n tests.
-A test is the XOR of two odd sketches; what passes is confirmed on the full sets.
-Components come from alternating star contractions, and no group, component or
-list of links reaches the driver or one task.
+Classes that share a band key are candidates.  First each bucket's members are
+tested against one center, then those of still divided buckets against the member with
+most links; a test is the XOR of two odd sketches, and what passes is confirmed on
+the full sets.  A group of n near copies costs some n tests so far.  What is left are buckets with members in more than one component.  Links across
+components are found among their members by prefixes: with every set in one
+order, rare shingles first, two similar sets share one near their beginnings, and
+its places bound the overlap.  Strongly changed copies begin with shingles of
+their own, so they meet nobody, however large the group; only pairs at the
+threshold meet, and pass the same two tests.  No pair in a bucket is given up and
+none within a component is made.  Components come from alternating star
+contractions; no group, component or list of links reaches the driver or a task.
 
 Defined results.  Words are runs of anything but ASCII white space, A-Z in lower
 case.  A text with fewer words than a shingle is one shingle; null, empty or
@@ -31,11 +33,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from triad.llm.common import columns, cut, mix, raw, slices, with_decision
+from triad.llm.common import ID_BROADCAST_ROWS, columns, cut, mix, raw, slices, with_decision
 from triad.llm.words import Hashes, shingle_set
 
 
@@ -47,8 +49,6 @@ class Near:
     rows: int = 5
     words: int = 8               # 64-bit words of an odd sketch
     margin: float = 0.2          # over six standard errors of the estimate
-    small: int = 24              # members of a bucket whose pairs are all tested at once
-    centers: int = 8
 
     @property
     def samples(self) -> int:
@@ -106,7 +106,7 @@ def signatures(docs: DataFrame, p: Near) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Hashes()
-        for b in slices(batches, "text", 2 << 20):
+        for b in slices(batches, "text", 1 << 20):
             sets = [shingle_set(seen.of((t or b"").lower().split()), p.shingle) for t in raw(b, "text")]
             full = [s for s in sets if len(s)]
             at = pa.array(np.cumsum([len(s) > 0 for s in sets]) - 1, mask=np.array([len(s) == 0 for s in sets]))
@@ -126,7 +126,7 @@ def shingle_sets(docs: DataFrame, p: Near) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Hashes()
-        for b in slices(batches, "text", 2 << 20):
+        for b in slices(batches, "text", 1 << 20):
             sets = [shingle_set(seen.of((t or b"").lower().split()), p.shingle) for t in raw(b, "text")]
             sets = [s for s in sets if len(s)]
             yield pa.RecordBatch.from_arrays(
@@ -137,30 +137,69 @@ def shingle_sets(docs: DataFrame, p: Near) -> DataFrame:
 
 
 def odd_estimate(p: Near) -> Column:
-    """Similarity from the population count of the XOR of two sketches oa and ob."""
+    """Similarity from the population count of the XOR of two sketches odd_a and odd_b."""
     bits = 64 * p.words
-    z = sum((F.bit_count(F.col("oa")[i].bitwiseXOR(F.col("ob")[i])) for i in range(p.words)), F.lit(0))
+    z = sum((F.bit_count(F.col("odd_a")[i].bitwiseXOR(F.col("odd_b")[i])) for i in range(p.words)), F.lit(0))
     left = F.greatest(F.lit(1.0) - 2.0 * z / bits, F.lit(1e-9))
     return F.lit(1.0) + F.log(left) * (bits / (4.0 * p.samples))
 
 
-def linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, p: Near) -> DataFrame:
-    """The (a, b) pairs whose full sets are similar enough."""
-    side = {k: classes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("odd").alias(f"o{k}"),
-                              F.col("doc_id").alias(f"d{k}")) for k in "ab"}
-    close = pairs.join(side["a"], "a").join(side["b"], "b")
-    fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * p.percent
-    close = cut(close.where(fits & (odd_estimate(p) >= p.percent / 100 - p.margin)).select("a", "b", "da", "db"))
-    ids = close.select(F.explode(F.array("da", "db")).alias("id")).distinct()
-    src = columns(docs, doc_id="long", text="string")
-    texts = src.join(ids, src["doc_id"].eqNullSafe(ids["id"]), "left_semi").select("text")
-    wanted = close.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = shingle_sets(texts, p).dropDuplicates(["node"]).join(wanted, "node", "left_semi")
-    both = close.select("a", "b")
+def linked(pairs: DataFrame, sets: DataFrame, p: Near) -> DataFrame:
+    """The (a, b) pairs whose odd sketches and then full sets are similar enough.
+
+    Next to the sketches a pair first carries half of each hash, whose overlap may
+    fall short by the few hashes that share a half; what passes gets the full sets."""
+
+    def common(x: str, y: str) -> Column:
+        return F.size(F.array_intersect(x, y))
+
+    half = sets.select("node", "n", "odd", F.transform("shingles", lambda h: h.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("half"))
+    both = pairs
     for k in "ab":
-        both = both.join(sets.select(F.col("node").alias(k), F.col("shingles").alias(f"s{k}")), k)
-    common = F.size(F.array_intersect("sa", "sb"))
-    return both.where(common * 100 >= (F.size("sa") + F.size("sb") - common) * p.percent).select("a", "b")
+        both = both.join(half.select(F.col("node").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in ("n", "odd", "half")]), k)
+    low, high = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+    fits = (low * 100 >= high * p.percent) & (odd_estimate(p) >= p.percent / 100 - p.margin)
+    about = common("half_a", "half_b") + 1 + F.floor(low / 1000)
+    near = both.where(F.when(fits, about * 100 >= (F.col("n_a") + F.col("n_b") - about) * p.percent)).select("a", "b")
+    for k in "ab":
+        near = near.join(sets.select(F.col("node").alias(k), F.col("shingles").alias(f"s_{k}")), k)
+    same = common("s_a", "s_b")
+    return near.where(same * 100 >= (F.size("s_a") + F.size("s_b") - same) * p.percent).select("a", "b")
+
+
+def ordered(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def across(rows: DataFrame, p: Near) -> DataFrame:
+    """(a, b) pairs of different roots that prefixes leave possible, from (node, root, shingles)."""
+
+    def least_of(n: str) -> Column:
+        """ceil(n * percent / 100), exactly."""
+        return F.floor((F.col(n) * p.percent + 99) / 100)
+
+    def need(n: str, m: str) -> Column:
+        """The overlap of sets of n and m shingles that are similar enough."""
+        return F.floor(((F.col(n) + F.col(m)) * p.percent + 99 + p.percent) / (100 + p.percent))
+
+    token = rows.select("node", F.explode("shingles").alias("token"))
+    often = token.groupBy("token").agg(F.count(F.lit(1)).alias("f"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("f", "token")) - 1
+    begin = token.join(often, "token").select("node", "token", place.alias("place"))
+    begin = begin.join(rows.select("node", "root", F.size("shingles").alias("n")), "node")
+    begin = cut(begin.where(F.col("place") <= F.col("n") - least_of("n")))
+    # of each token: its most frequent root, and the least set that has it
+    by = begin.groupBy("token", "root").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("n"))
+    by = by.groupBy("token").agg(F.max(F.struct("k", "root")).alias("most"), F.min("n").alias("least"), F.count(F.lit(1)).alias("roots"))
+    by = by.where("roots > 1").select("token", F.col("most.root").alias("major"), "least")
+    shared = begin.join(by, "token")
+
+    minor = shared.where((F.col("root") != F.col("major")) & (F.col("n") - F.col("place") >= need("n", "least")))
+    x = minor.select("token", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("n").alias("nx"), F.col("place").alias("px"))
+    rest = F.least(F.col("nx") - F.col("px"), F.col("n") - F.col("place"))
+    fits = F.least("nx", "n") * 100 >= F.greatest("nx", "n") * p.percent
+    pairs = x.join(shared, "token").where((F.col("rx") != F.col("root")) & fits & (rest >= need("nx", "n")))
+    return pairs.select(*ordered("x", "node")).distinct()
 
 
 def stars(edges: DataFrame) -> DataFrame:
@@ -188,33 +227,37 @@ def stars(edges: DataFrame) -> DataFrame:
 def components(classes: DataFrame, docs: DataFrame, p: Near) -> DataFrame:
     """(node, root) of every class that is linked with a smaller one."""
     keys = classes.select(F.explode("bands").alias("bucket"), "node")
-    shared = keys.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi")
-    live = cut(keys.join(shared.select("bucket"), "bucket"))
-    edges, root, first = None, None, True
-    while not live.isEmpty():
-        now = live.withColumn("root", F.col("node")) if root is None else live.join(root, "node", "left").withColumn(
-            "root", F.coalesce("root", "node"))
-        size = now.groupBy("bucket").agg(
-            F.count(F.lit(1)).alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"),
-            *[F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), "node")).alias(f"c{i}")
-              for i in range(1 if first else p.centers)]).where("lo != hi").drop("lo", "hi")
-        now = cut(now.join(size, "bucket"))
-        chosen = F.array_distinct(F.array(*[F.col(f"c{i}.node") for i in range(1 if first else p.centers)]))
-        many = now if first else now.where(F.col("size") > p.small)
-        pairs = many.select("node", F.explode(chosen).alias("c"))
-        if not first:
-            few = now.where(F.col("size") <= p.small).groupBy("bucket").agg(
-                F.collect_list(F.struct("node", "root")).alias("m"))
-            few = few.select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y"))
-            few = few.where("x.node < y.node and x.root != y.root")
-            pairs = pairs.unionByName(few.select(F.col("x.node").alias("node"), F.col("y.node").alias("c")))
-        pairs = pairs.where("node != c").select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b"))
-        found = linked(pairs.distinct(), classes, docs, p)
-        edges = cut(found if edges is None else edges.unionByName(found).distinct())
-        root = stars(edges)
-        live = cut(many.where(~F.array_contains(chosen, F.col("node"))).select("bucket", "node"))
-        first = False
-    return root
+    center = keys.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("other")).where("center != other")
+    live = cut(keys.join(center.select("bucket", "center"), "bucket"))
+    nodes = cut(live.select("node").distinct())
+    sets = cut(shingle_sets(texts_of(nodes.join(classes, "node").select("doc_id").distinct(), docs), p)
+               .dropDuplicates(["node"]).join(nodes.join(classes.select("node", "n", "odd"), "node"), "node"))
+    spokes = live.where("node != center").select(*ordered("node", "center")).distinct()
+    edges = cut(linked(spokes, sets, p))
+    left = torn(live, edges)
+    degree = edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("k"))
+    hub = left.join(degree, "node").groupBy("bucket").agg(F.max(F.struct("k", "node", "root")).alias("hub"))
+    spokes = left.join(hub, "bucket").where(F.col("root") != F.col("hub.root")).select("node", F.col("hub.node").alias("center"))
+    edges = cut(edges.unionByName(linked(spokes.select(*ordered("node", "center")).distinct(), sets, p)))
+    left = torn(live, edges).select("node", "root").distinct()
+    more = linked(across(left.join(sets.select("node", "shingles"), "node"), p), sets, p)
+    return stars(edges.unionByName(more))
+
+
+def torn(live: DataFrame, edges: DataFrame) -> DataFrame:
+    """(bucket, node, root) of the buckets that hold more than one component."""
+    now = live.select("bucket", "node").join(stars(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    now = cut(now)
+    parts = now.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
+    return now.join(parts, "bucket", "left_semi")
+
+
+def texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """The texts of the given doc_ids, which are broadcast only when few."""
+    ids = cut(ids.select(F.col("doc_id").alias("_id")))
+    ids = F.broadcast(ids) if ids.count() <= ID_BROADCAST_ROWS else ids
+    src = columns(docs, doc_id="long", text="string")
+    return src.join(ids, src["doc_id"].eqNullSafe(ids["_id"]), "left_semi").select("text")
 
 
 def near_duplicates(docs: DataFrame, p: Near = Near()) -> DataFrame:
@@ -224,10 +267,9 @@ def near_duplicates(docs: DataFrame, p: Near = Near()) -> DataFrame:
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("d"), F.max("n").alias("n"),
         F.first("bands").alias("bands"), F.first("odd").alias("odd"))
     classes = cut(classes.select("node", F.col("d.doc_id").alias("doc_id"), "n", "bands", "odd"))
-    root = components(classes.select("node", "doc_id", "n", "bands", "odd"), docs, p)
+    root = components(classes, docs, p)
     part = classes.select("node", "doc_id")
-    part = part.withColumn("root", F.col("node")) if root is None else part.join(root, "node", "left").withColumn(
-        "root", F.coalesce("root", "node"))
+    part = part.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = part.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     part = part.join(smallest, "root").select("node", "component_id")
     out = sig.select("doc_id", "n", "node").join(part, "node", "left")

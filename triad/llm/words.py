@@ -15,7 +15,7 @@ PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0
 class Hashes(dict):
     """word -> 64-bit hash, remembered for ``most`` words and then begun anew."""
 
-    def __init__(self, most: int = 500_000):
+    def __init__(self, most: int = 150_000):
         super().__init__()
         self.most = most
 
