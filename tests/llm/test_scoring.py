@@ -57,3 +57,30 @@ def test_target_like_text_scores_lower(spark):
     rows = C.flagged(documents(spark, good + bad + new), spark.createDataFrame([(r[0], 1) for r in good], "doc_id long, quality int"))
     s = {r.doc_id: r.score for r in C.score(rows, C.train(rows)).collect()}
     assert s[200] < 0 < s[201]
+
+
+def test_rare_words_and_bigrams_count(spark):
+    """Where shares of the corpus would leave rare words out: the SQL without its shares."""
+    folder = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+    rel = con.sql(ORACLE["op1_cross_entropy_difference"].replace("1e-5::DOUBLE", "0::DOUBLE").replace("2.5e-7::DOUBLE", "0::DOUBLE"))
+    want = sorted(rel.fetchall())
+    rows = C.flagged(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet"))
+    got = sorted(tuple(r) for r in C.score(rows, C.train(rows, C.Bigram(chunk=20_000, part=5_000))).collect())
+    assert len(got) == len(want)
+    for g, w in zip(got, want, strict=True):
+        assert g[:3] == w[:3] and g[3:] == pytest.approx(w[3:], abs=2e-6)
+
+
+def test_a_word_seen_once_tells_nothing_and_twice_does(spark):
+    """In 250,000 words a word of two occurrences is under 1e-5 of them."""
+    common = " ".join(["one two three four five six seven eight nine ten"] * 250)
+    rows = [(i, common, "en", "s") for i in range(100)]
+    rows += [(1000, "rare bird", "en", "s"), (1001, "rare bird", "en", "s"), (1002, "lone thing", "en", "s")]
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(i, 1) for i in [*range(50), 1000]], "doc_id long, quality int")
+    flagged = C.flagged(docs, labels)
+    s = {r.doc_id: r for r in C.score(flagged, C.train(flagged)).collect()}
+    assert s[1001].score < s[1002].score - 0.1
