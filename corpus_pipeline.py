@@ -1,8 +1,8 @@
 """The corpus pipeline: quality rules, near-duplicates, benchmark
 decontamination, personal data, SentencePiece encoding.
 
-Each stage works on all documents that its predecessor kept.  Rows of a doc_id
-share the decisions of the filtering stages (see each operator).
+Each stage works on all documents that its predecessor kept.  The filtering stages
+decide for each row; a repeated or null doc_id shares nothing (see each operator).
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group (five-word shingles, 0.8) stays."""
+    """One row of each group (five-word shingles, 0.8) stays."""
     return keep_one(docs)
 
 

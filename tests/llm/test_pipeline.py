@@ -41,3 +41,31 @@ def test_run_and_edges(spark, tmp_path):
     documents(spark, []).write.parquet(str(tmp_path / "none/documents.parquet"))
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "none/benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_only_rejected_rows_go(spark):
+    """Null and repeated ids share no decision."""
+    docs = documents(spark)
+    kept = [(r.doc_id, r.text) for r in quality.keep_good(docs).collect()]
+    assert kept.count((None, ROWS[7][1])) == 1 and (None, None) not in kept
+    mixed = documents(spark, [*ROWS, (1, "too short", "en", "s")])
+    assert [r.text for r in quality.keep_good(mixed).collect() if r.doc_id == 1] == [r[1] for r in ROWS if r[0] == 1]
+
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(None, item, "en", "s"), (None, "a clean text", "en", "s"), (5, f"so {item} it is", "en", "s"), (5, "another text", "en", "s"), (6, item, "en", "s")]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert sorted(r.text for r in leaks.drop_leaks(documents(spark, rows), bench).collect()) == ["a clean text", "another text"]
+
+
+def test_one_row_of_each_group_stays(spark):
+    def text(a):
+        return " ".join(f"{a}{i}" for i in range(60))
+
+    rows = [(3, text("u"), "en", "s"), (5, text("u") + " end", "en", "s"), (5, text("x"), "en", "s"), (7, text("x"), "en", "s"),
+            (8, text("y"), "en", "s"), (8, text("y"), "en", "t"), (8, text("y") + " end", "en", "s"), (9, text("y"), "en", "s"),
+            (8, text("z"), "en", "s"), (None, text("x"), "en", "s"), (None, text("v"), "en", "s"), (None, text("v"), "en", "s"), (2, None, "en", "s"), (2, None, "en", "s")]
+    docs = documents(spark, rows)
+    out = near.keep_one(docs)
+    assert out.columns == docs.columns
+    got = sorted(((r.doc_id or 0, (r.text or "-")[:1]) for r in out.collect()))
+    assert got == [(0, "v"), (0, "v"), (2, "-"), (2, "-"), (3, "u"), (5, "x"), (8, "y"), (8, "z")]

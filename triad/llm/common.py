@@ -8,11 +8,12 @@ such projections and cannot clash with the caller's.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triad.session import ensure_checkpoint_dir
@@ -66,9 +67,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def with_decision(docs: DataFrame, key: str, decided: DataFrame, how: str = "left_anti") -> DataFrame:
-    """``docs`` without (or only) the keys in ``decided``.  Every row of a key
-    shares its fate; a null key is a key like any other."""
-    marks = cut(decided.select(F.col(key).alias("_decided")).distinct())
+#: What a row is told by: itself, so that a repeated or null doc_id shares nothing.
+IDENTITY = {"doc_id": lambda df: df["doc_id"].cast("long"), "lang": lambda df: df["lang"].cast("string"),
+            "source": lambda df: df["source"].cast("string"), "text_hash": lambda df: F.xxhash64(df["text"].cast("string"))}
+
+
+def with_decision(docs: DataFrame, decided: DataFrame, how: str = "left_anti") -> DataFrame:
+    """``docs`` without (or only) the rows in ``decided``, whose columns are some of
+    IDENTITY.  Nulls equal nulls.  Rows alike in all of them share their fate, so
+    they must be all that the decision depends on."""
+    names = decided.columns
+    marks = cut(decided.select(*[F.col(c).alias(f"_decided_{c}") for c in names]).distinct())
     marks = F.broadcast(marks) if marks.count() <= ID_BROADCAST_ROWS else marks
-    return docs.join(marks, docs[key].eqNullSafe(marks["_decided"]), how)
+    same = [IDENTITY[c](docs).eqNullSafe(marks[f"_decided_{c}"]) for c in names]
+    return docs.join(marks, reduce(Column.__and__, same), how)

@@ -39,7 +39,7 @@ from triad.llm.words import windows
 
 WORD = re.compile(r"\w+")
 SCHEMA = ("doc_id long, item_id long, n_words long, covered long, n_tiles long, "
-          "tiles array<struct<doc_word: long, item_word: long, words: long>>")
+          "tiles array<struct<doc_word: long, item_word: long, words: long>>, text_hash long")
 
 
 @dataclass(frozen=True)
@@ -176,16 +176,16 @@ def against(docs: DataFrame, index: Index) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             rows = []
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                rows += [(doc_id, *x) for x in index.leaks(tokens(text))]
-            cols = list(zip(*rows, strict=True)) or [()] * 6
+            for doc_id, text, text_hash in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "text_hash")), strict=True):
+                rows += [(doc_id, *x, text_hash) for x in index.leaks(tokens(text))]
+            cols = list(zip(*rows, strict=True)) or [()] * 7
             span = pa.list_(pa.struct([(x, pa.int64()) for x in ("doc_word", "item_word", "words")]))
             tiles = [[{"doc_word": d, "item_word": i, "words": m} for d, i, m in t] for t in cols[5]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in cols[:5]] + [pa.array(tiles, span)],
-                names=["doc_id", "item_id", "n_words", "covered", "n_tiles", "tiles"])
+                [pa.array(c, pa.int64()) for c in cols[:5]] + [pa.array(tiles, span), pa.array(cols[6], pa.int64())],
+                names=["doc_id", "item_id", "n_words", "covered", "n_tiles", "tiles", "text_hash"])
 
-    return columns(docs, doc_id="long", text="string").mapInArrow(run, SCHEMA)
+    return columns(docs, doc_id="long", text="string").withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, SCHEMA)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, p: Tiling = Tiling()) -> DataFrame:
@@ -202,5 +202,5 @@ def op4_string_tiling(spark, sf_dir: str) -> DataFrame:
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, p: Tiling = Tiling()) -> DataFrame:
-    """``docs`` without the doc_ids into which an item has leaked."""
-    return with_decision(docs, "doc_id", leaks(docs, benchmark, p))
+    """``docs`` without the rows into which an item has leaked."""
+    return with_decision(docs, leaks(docs, benchmark, p).select("doc_id", "text_hash"))

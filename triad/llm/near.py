@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from triad.llm.common import ID_BROADCAST_ROWS, columns, cut, mix, raw, slices, with_decision
+from triad.llm.common import ID_BROADCAST_ROWS, IDENTITY, columns, cut, mix, raw, slices, with_decision
 from triad.llm.words import Hashes, shingle_set
 
 
@@ -102,7 +102,7 @@ def lists(values: np.ndarray) -> pa.Array:
 
 
 def signatures(docs: DataFrame, p: Near) -> DataFrame:
-    """doc_id, n, node (fingerprint, null without shingles), bands, odd of every row."""
+    """doc_id, text_hash, n, node (fingerprint, null without shingles), bands, odd of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Hashes()
@@ -112,13 +112,13 @@ def signatures(docs: DataFrame, p: Near) -> DataFrame:
             at = pa.array(np.cumsum([len(s) > 0 for s in sets]) - 1, mask=np.array([len(s) == 0 for s in sets]))
             samples = minhash(full, p) if full else np.empty((p.samples, 0), np.uint32)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                [b.column("doc_id"), b.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                  lists(band_keys(samples, p)).take(at), lists(odd_sketches(samples, p)).take(at)],
-                names=["doc_id", "n", "node", "bands", "odd"])
+                names=["doc_id", "text_hash", "n", "node", "bands", "odd"])
 
-    return columns(docs, doc_id="long", text="string").mapInArrow(
-        run, "doc_id long, n long, node binary, bands array<long>, odd array<long>")
+    return columns(docs, doc_id="long", text="string").withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        run, "doc_id long, text_hash long, n long, node binary, bands array<long>, odd array<long>")
 
 
 def shingle_sets(docs: DataFrame, p: Near) -> DataFrame:
@@ -260,8 +260,8 @@ def texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
     return src.join(ids, src["doc_id"].eqNullSafe(ids["_id"]), "left_semi").select("text")
 
 
-def near_duplicates(docs: DataFrame, p: Near = Near()) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row."""
+def placed(docs: DataFrame, p: Near) -> DataFrame:
+    """doc_id, text_hash, n, root (null without shingles), component_id, kept of every row."""
     sig = cut(signatures(docs, p))
     classes = sig.where(F.col("node").isNotNull()).groupBy("node").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("d"), F.max("n").alias("n"),
@@ -271,17 +271,33 @@ def near_duplicates(docs: DataFrame, p: Near = Near()) -> DataFrame:
     part = classes.select("node", "doc_id")
     part = part.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = part.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    part = part.join(smallest, "root").select("node", "component_id")
-    out = sig.select("doc_id", "n", "node").join(part, "node", "left")
+    part = part.join(smallest, "root").select("node", "root", "component_id")
+    out = sig.select("doc_id", "text_hash", "n", "node").join(part, "node", "left")
     cid = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), cid.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(cid).alias("kept"))
+    return out.select("doc_id", "text_hash", "n", "root", cid.alias("component_id"), F.col("doc_id").eqNullSafe(cid).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, p: Near = Near()) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row."""
+    return placed(docs, p).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "kept")
 
 
 def keep_one(docs: DataFrame, p: Near = Near()) -> DataFrame:
-    """``docs`` with one document (doc_id) of each component."""
-    found = near_duplicates(docs, p)
-    return with_decision(docs, "doc_id", found.where(~F.col("kept")))
+    """``docs`` with one row of each component, that of its smallest doc_id; among
+    several of this doc_id any one of the text with the least hash.  Rows without
+    shingles and components of only null ids stay whole."""
+    rows = cut(placed(docs, p).groupBy("doc_id", "text_hash", "root", "component_id", "kept").agg(F.count(F.lit(1)).alias("k")))
+    able = rows.where("kept and root is not null and component_id is not null")
+    first = able.groupBy("root").agg(F.min("text_hash").alias("least"))
+    able = able.join(first, "root")
+    key = ("doc_id", "text_hash")
+    gone = rows.where(~F.col("kept")).select(*key).unionByName(able.where("text_hash != least").select(*key))
+    out = with_decision(docs, gone)
+    again = cut(able.where("text_hash = least and k > 1").select(*key))
+    if again.isEmpty():
+        return out
+    copies = with_decision(out, again, "left_semi").withColumns({"_text_hash": IDENTITY["text_hash"](out)})
+    return with_decision(out, again).unionByName(copies.dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash"))
 
 
 def op10_odd_sketch_dedup(spark, sf_dir: str) -> DataFrame:

@@ -88,17 +88,17 @@ def count_text(text: bytes | None) -> tuple[int, ...]:
 
 
 def text_counts(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, source and COUNTS of every row's whole text."""
+    """doc_id, lang, source, text_hash and COUNTS of every row's whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             found = np.array([count_text(t) for t in raw(b, "text")], dtype=np.int64).reshape(-1, len(COUNTS))
             yield pa.RecordBatch.from_arrays(
-                [b.column(c) for c in ("doc_id", "lang", "source")] + [pa.array(found[:, i]) for i in range(len(COUNTS))],
-                names=["doc_id", "lang", "source", *COUNTS])
+                [b.column(c) for c in ("doc_id", "lang", "source", "text_hash")] + [pa.array(found[:, i]) for i in range(len(COUNTS))],
+                names=["doc_id", "lang", "source", "text_hash", *COUNTS])
 
-    src = columns(docs, doc_id="long", lang="string", source="string", text="string")
-    return src.mapInArrow(run, "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in COUNTS))
+    src = columns(docs, doc_id="long", lang="string", source="string", text="string").withColumn("text_hash", F.xxhash64("text"))
+    return src.mapInArrow(run, "doc_id long, lang string, source string, text_hash long, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
 def base_failed(p: Mcd) -> Column:
@@ -241,7 +241,7 @@ def fit(z: DataFrame, p: Mcd) -> DataFrame:
 
 
 def judged(docs: DataFrame, p: Mcd = Mcd()) -> DataFrame:
-    """Per row of ``docs``: doc_id, lang, source, COUNTS, ``base_failed``,
+    """Per row of ``docs``: doc_id, lang, source, text_hash, COUNTS, ``base_failed``,
     ``distance`` (squared, scaled) and ``kept``."""
     rows = cut(text_counts(docs).withColumn("usable", ~base_failed(p)))
     groups = cut(pooled(rows, p.least))
@@ -251,7 +251,7 @@ def judged(docs: DataFrame, p: Mcd = Mcd()) -> DataFrame:
     est = fit(z.where("usable"), p)
     out = attach(z, est, "gid", n, "left").withColumn("d2", quadratic() / F.col("scale"))
     ok = F.col("usable") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= chi_square(1 - p.tail, DIM))
-    return out.select("doc_id", "lang", "source", *COUNTS, (~F.col("usable")).alias("base_failed"),
+    return out.select("doc_id", "lang", "source", "text_hash", *COUNTS, (~F.col("usable")).alias("base_failed"),
                       F.col("d2").alias("distance"), ok.alias("kept"))
 
 
@@ -262,5 +262,5 @@ def op2_mcd_outliers(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, p: Mcd = Mcd()) -> DataFrame:
-    """``docs`` without the rows whose doc_id has a rejected row."""
-    return with_decision(docs, "doc_id", judged(docs, p).where(~F.col("kept")))
+    """``docs`` without the rejected rows."""
+    return with_decision(docs, judged(docs, p).where(~F.col("kept")).select("doc_id", "lang", "source", "text_hash"))
