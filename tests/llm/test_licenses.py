@@ -53,3 +53,21 @@ def test_edges(spark):
     assert R.scan(documents(spark)).collect() == [] and R.scan(documents(spark, [])).collect() == []
     rows = [*ROWS, (1, MIT * 30, "en", "s"), (None, MIT, "en", "s"), (None, MIT, "en", "s")]
     assert R.scan(documents(spark, rows)).count() == 32
+
+
+def test_narrow_lines_and_three_clauses():
+    """A sentence over any number of lines; the third clause makes another licence."""
+    import textwrap
+
+    known = R.Recognizer()
+    by = dict(R.SENTENCES)
+
+    def found(ids, width, mark):
+        text = "\n".join(mark + line for i in ids for line in textwrap.wrap(by[i], width))
+        return [(n, s) for _, n, s, _, _ in known.licenses(text)]
+
+    mit, bsd = ["mit-grant", "mit-notice", "mit-warranty"], ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names"]
+    for width in (20, 40, 55, 80):
+        assert found(mit, width, "# ") == [("MIT", ",".join(mit))]
+        assert found(bsd, width, " * ") == [("BSD-3-Clause", ",".join(bsd))]
+        assert found(bsd[:3], width, "") == [("BSD-2-Clause", ",".join(bsd[:3]))]

@@ -9,7 +9,8 @@ that begins no rule is reported as ``incomplete``.
 
 Defined results: null and empty texts and those without a known sentence have no
 rows; repeated rows give their rows again.  Other sentences between identifiers
-are passed over.
+are passed over; so the third BSD clause is known in its listed wordings only, not
+with a holder's own name.
 """
 
 from __future__ import annotations
@@ -67,6 +68,9 @@ SENTENCES = [
                    "following disclaimer."),
     ("bsd-binary", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
                    "following disclaimer in the documentation and/or other materials provided with the distribution."),
+    *[("bsd-names", f"Neither the name of the {holder} nor the names of its contributors may be used to endorse or promote "
+                    "products derived from this software without specific prior written permission.")
+      for holder in ("copyright holder", "copyright holders", "copyright owner", "author", "authors", "organization", "project")],
     ("reserved", "All rights reserved."),
 ]
 # Licence rules as ordered sentence identifiers.
@@ -84,10 +88,10 @@ RULES = [
     ("CC-BY-NC-4.0", ["cc-by-nc-4"]),
     ("CC-BY-4.0", ["cc-by-4"]),
     ("CC-BY-SA-4.0", ["cc-by-sa-4"]),
+    ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names"]),
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
     ("All-rights-reserved", ["reserved"]),
 ]
-MOST_LINES = 8
 
 END = re.compile(r"[.!?:]+(?=[ \t-\r]|\Z)|\n")
 WORD = re.compile(r"[a-z0-9]+")
@@ -125,7 +129,7 @@ class Recognizer:
         out, i = [], 0
         while i < len(pieces):
             joined, found = "", None
-            for j in range(i, min(i + MOST_LINES, len(pieces))):
+            for j in range(i, len(pieces)):
                 part = normal(pieces[j][0])
                 joined = f"{joined} {part}" if joined else part
                 if joined not in self.begins or not part:
