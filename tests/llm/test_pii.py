@@ -79,3 +79,20 @@ def test_redaction(spark):
 
 def test_mask_overlaps():
     assert P.mask("abcdefgh", [(0, 2, 0), (1, 4, 1), (4, 5, 2), (7, 8, 3)]) == "[EMAIL][CARD]fg[PHONE]"
+
+
+def test_identifiers_with_blanks(spark):
+    """Numbers written in groups, as most seeds are, can be discovered."""
+    cards = [c for c in (f"4465 7583 8288 {n:04d}" for n in range(400)) if P.luhn(P.digits(c))][:30]
+    bad = "4465 7583 8288 9430"
+    assert not P.luhn(P.digits(bad))
+    rows = [(i, f"Please dial +1 555 010 {1000 + i} today, my friend", "en", "s") for i in range(40)]
+    rows += [(50 + i, f"my card {c} expires soon", "en", "s") for i, c in enumerate(cards)]
+    rows += [(100, "Please dial 555 010 2000 today", "en", "s"), (101, "Please dial (017) 555 7713 today", "en", "s"),
+             (102, f"my card {bad} expires soon", "en", "s"), (103, "It has 555 010 2999 parts", "en", "s")]
+    out = {r.doc_id: [tuple(s) for s in r.spans] for r in P.personal_data(documents(spark, rows)).collect()}
+    assert out[100] == [(12, 24, 3)] and out[101] == [(12, 26, 3)] and out[102] == [(8, 27, 2)] and out[103] == []
+
+
+def test_long_address_parts():
+    assert P.base_spans("1.2.3." + "9" * 5000) == [] and P.base_spans("1.2.3." + "0" * 5000 + "255")[0][2] == 1

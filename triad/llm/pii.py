@@ -2,7 +2,8 @@
 
 The fixed patterns (email, ip, card, phone) give base spans, which always stay.
 Their strings are the seed entities.  Every other token with a digit or an at
-sign is a possible instance.  Instances and the words around them form a graph:
+sign is a possible instance, and so is every run of digits with blanks, brackets,
+points or hyphens between base spans.  Instances and the words around them form a graph:
 a lexical pattern is one or two words on the left, a word on the right, or both
 sides.  Spark scores the graph in rounds.  A pattern's confidence for a kind is
 the share of its instance weight that is reliably of this kind: other
@@ -43,6 +44,7 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 POSSIBLE = re.compile(r"[^\s0-9@]*[0-9@]\S*")
+RUN = re.compile(r"(?<!\w)[+(]?(?<!\w)[0-9][\x20().0-9-]*[0-9](?![\w@])")
 EDGE = "!\"#$%&'()*+,-./:;<=>?[\\]^_`{|}~"
 LEFT = re.compile(r"(\S+)\s*\Z")
 
@@ -64,6 +66,12 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def small(number: str) -> bool:
+    """Whether a number is at most 255; it may have any length."""
+    bare = number.lstrip("0")
+    return len(bare) < 3 or len(bare) == 3 and int(bare) <= 255
+
+
 def digits(text: str) -> str:
     return "".join(DIGIT.findall(text))
 
@@ -87,7 +95,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, end, kind) in code points, by start and then kind."""
     out = [(s, e, 0) for s, e in emails(text)] if "@" in text else []
     if DIGIT.search(text):
-        out += [(*m.span(), 1) for m in IP.finditer(text) if all(int(x) <= 255 for x in m[0].split("."))]
+        out += [(*m.span(), 1) for m in IP.finditer(text) if all(small(x) for x in m[0].split("."))]
         for m in CARD.finditer(text):
             d = digits(m[0])
             if 14 <= len(d) <= 19 and luhn(d):
@@ -98,16 +106,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def forms(token: str) -> list[int]:
-    """The kinds whose form a token outside the fixed patterns may have."""
+    """The kinds whose form a token or run outside the fixed patterns may have."""
     n = len(digits(token))
     out = []
     if re.fullmatch(r"[^@\s]+@[^@\s]+", token):
         out.append(0)
     if re.fullmatch(r"[0-9]{1,3}(\.[0-9]{1,3}){3}", token) or re.fullmatch(r"[0-9A-Fa-f]{0,4}(:[0-9A-Fa-f]{0,4}){3,7}", token):
         out.append(1)
-    if 12 <= n <= 19 and re.fullmatch(r"[0-9-]+", token):
+    if 12 <= n <= 19 and re.fullmatch(r"[\x200-9-]+", token):
         out.append(2)
-    if 7 <= n <= 15 and re.fullmatch(r"[0-9().+-]+", token):
+    if 7 <= n <= 15 and re.fullmatch(r"[\x200-9().+-]+", token):
         out.append(3)
     return out
 
@@ -125,6 +133,16 @@ def around(text: str, start: int, end: int, reach: int) -> list[str]:
     return out
 
 
+def runs(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """Runs of digits with blanks inside, between the base spans."""
+    at = 0
+    for start, end in [*((s, e) for s, e, _ in spans), (len(text), len(text))]:
+        for m in RUN.finditer(text, at, max(at, start)):
+            if " " in m[0]:
+                yield m.span()
+        at = max(at, end)
+
+
 def occurrences(text: str, spans: list[tuple[int, int, int]], reach: int) -> list[tuple]:
     """(start, end, kind or None, instance, forms, patterns) of base spans and other possible instances."""
     out = [(s, e, k, text[s:e], [k], around(text, s, e, reach)) for s, e, k in spans]
@@ -137,6 +155,10 @@ def occurrences(text: str, spans: list[tuple[int, int, int]], reach: int) -> lis
             end = start + len(token)
             if allowed and not ((taken[:, 0] < end) & (taken[:, 1] > start)).any():
                 out.append((start, end, None, token, allowed, around(text, start, end, reach)))
+        for start, end in runs(text, spans):
+            allowed = forms(text[start:end])
+            if allowed:
+                out.append((start, end, None, text[start:end], allowed, around(text, start, end, reach)))
     return out
 
 
