@@ -81,3 +81,22 @@ def with_decision(docs: DataFrame, decided: DataFrame, how: str = "left_anti") -
     marks = F.broadcast(marks) if marks.count() <= ID_BROADCAST_ROWS else marks
     same = [IDENTITY[c](docs).eqNullSafe(marks[f"_decided_{c}"]) for c in names]
     return docs.join(marks, reduce(Column.__and__, same), how)
+
+
+#: At most so many keys of :func:`spread_join` are told to every task.
+HOT_KEYS = 100_000
+
+
+def spread_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str, rows: int) -> DataFrame:
+    """``left`` left-joined to ``right``, which has one row for each key and, in ``weight``, how
+    many of the ``rows`` rows of ``left`` have it.  Keys of more than rows / HOT_KEYS
+    rows (at least 1,000) number fewer than HOT_KEYS, so they are broadcast; only
+    the others are shuffled, and no task gets more than such a share of one key."""
+    hot = F.col(weight) > max(1_000, rows // HOT_KEYS)
+    values = [c for c in right.columns if c not in keys]
+    told = right.where(hot).select(*keys, *[F.col(c).alias(f"_hot_{c}") for c in values])
+    near = left.join(F.broadcast(told), keys, "left")
+    known = F.col(f"_hot_{weight}").isNotNull()
+    done = near.where(known).select(*left.columns, *[F.col(f"_hot_{c}").alias(c) for c in values])
+    rest = near.where(~known).select(*left.columns).join(right.where(~hot), keys, "left").select(*left.columns, *values)
+    return done.unionByName(rest)
