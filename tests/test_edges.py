@@ -252,21 +252,110 @@ def test_company_falls_back_to_sales_org_without_bukrs_vf(spark):
     assert [(r["company"], r["order_missing"]) for r in rec.matched.collect()] == [("1000", False)]
 
 
-def test_rerun_reports_its_own_companies(spark, tmp_path):
-    rows = merge_sets(doc_set(170, vkorg="1000"), doc_set(171, vkorg="2000"), doc_set(172, vkorg="3000"))
+@pytest.fixture()
+def guessing(spark):
+    """A session that guesses the types of folder names, as plain sessions do."""
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    yield spark
+    spark.conf.set(key, before)
+
+
+def _companies(run, name):
+    return {r["company"] for r in run.get(name).select("company").collect()}
+
+
+def test_reruns_keep_to_their_batch(guessing, tmp_path):
+    """Batch 9 of three companies, then batch 10 of one: 10 is the newest though it sorts first as
+    text, every stage holds its own companies, and 0100 stays text."""
+    spark = guessing
+    rows = merge_sets(doc_set(170, vkorg="0100"), doc_set(171, vkorg="2000", inv_amt="90.00"), doc_set(172, vkorg="3000", inv_qty="9"))
     t, p = make_tables(spark, **rows), edge_params()
     out = str(tmp_path / "run")
-    paths = PL.run_all(spark, t, p, out_dir=out, batch_id="a")
-    paths = PL.run_all(spark, t, p, out_dir=out, batch_id="b", start="2000", limit=1)
-    newest = lambda n: PL.read_stage(spark, paths[n], newest_batch=True)
-    for name in ("matched", "stats", "classified", "report_rates"):
-        assert {r["company"] for r in newest(name).collect()} == {"2000"}, name
-    plain = str(tmp_path / "plain")
-    PL.run_all(spark, t, p, out_dir=plain)
-    paths = PL.run_all(spark, t, p, out_dir=plain, companies=["1000", "3000"], skip=["3000"])
-    assert {r["company"] for r in PL.read_stage(spark, paths["stats"]).collect()} == {"1000"}
-    control = PL.read_stage(spark, paths["control"]).first()
+    PL.run_all(spark, t, p, out_dir=out, batch_id="9")
+    ten = PL.run_all(spark, t, p, out_dir=out, batch_id="10", start="0100", limit=1)
+    assert PL.open_run(spark, out, p).batch_id == "10"
+    for run in (ten, PL.open_run(spark, out, p)):
+        for name in ("matched", "stats", "classified"):
+            assert _companies(run, name) == {"0100"}, name
+        # nothing differs and nothing is untested: stages without a row
+        assert run.get("report_rates").isEmpty() and run.get("detail").isEmpty() and run.get("untested").isEmpty() and run.get("verify").isEmpty()
+        control = run.get("control").first()
+        assert (control["rows_out"], control["invoice_keys"], control["fan_out"], control["invoice_total"]) == (1, 1, 0, 100.0)
+    nine = PL.open_run(spark, out, p, "9")
+    assert _companies(nine, "report_rates") == {"2000", "3000"}
+    assert _companies(nine, "stats") == {"0100", "2000", "3000"} and nine.get("control").first()["rows_out"] == 3
+    again = PL.run_all(spark, t, p, out_dir=out, batch_id="9", mode="diff-only")
+    assert _companies(again, "stats") == {"0100", "2000", "3000"} and again.get("detail").count() == 2
+
+
+def test_choice_of_companies(spark, tmp_path):
+    rows = merge_sets(doc_set(173, vkorg="1000"), doc_set(174, vkorg="2000", vbak_KUNNR="4390"), doc_set(175, vkorg="3000"))
+    t, p = make_tables(spark, **rows), edge_params()
+    run = PL.run_all(spark, t, p, out_dir=str(tmp_path), companies=["1000", "3000"], skip=["3000"])
+    assert _companies(run, "stats") == {"1000"}
+    control = run.get("control").first()
     assert control["duplicate_delivery_headers"] == 0 and control["order_headers_excluded"] == 0
+    run = PL.run_all(spark, t, p, out_dir=str(tmp_path), companies=["2000"])
+    assert run.get("control").first()["order_headers_excluded"] == 1
+
+
+def test_a_stopped_run_leaves_the_last_one(spark, tmp_path, monkeypatch):
+    rows = merge_sets(doc_set(176, vkorg="1000"), doc_set(177, vkorg="2000"))
+    t, p = make_tables(spark, **rows), edge_params()
+    first = PL.run_all(spark, t, p, out_dir=str(tmp_path), batch_id="1")
+
+    def stop(*_):
+        raise RuntimeError("lost")
+    monkeypatch.setattr(PL.S, "detail", stop)
+    with pytest.raises(RuntimeError, match="lost"):
+        PL.run_all(spark, t, p, out_dir=str(tmp_path), batch_id="2", limit=1)
+    last = PL.open_run(spark, str(tmp_path), p)
+    assert last.run_id == first.run_id and _companies(last, "classified") == {"1000", "2000"}
+    with pytest.raises(FileNotFoundError):
+        PL.open_run(spark, str(tmp_path), p, "2")
+    from triad.plans import stages as ST
+    gone = ST.clean(spark, str(tmp_path), keep=1)
+    assert gone and all(first.run_id not in g or g.startswith("pivots/") for g in gone)
+    assert _companies(last, "classified") == {"1000", "2000"}
+
+
+def test_split_written_by_company(spark, tmp_path):
+    """Six tables by company code, blank codes counted; without BUKRS_VF orders go by sales organisation,
+    in the split as in the match."""
+    from triad.plans import stages as ST
+    rows = merge_sets(doc_set(178, vbak_BUKRS_VF="5001", vkorg="1000"), doc_set(179, vbak_BUKRS_VF=" ", vkorg="9000", vbrk_BUKRS=""))
+    p = edge_params(company_by="bukrs")
+    run = ST.StageRun(spark, str(tmp_path / "a"), p)
+    counts = {(r["table"], r["status"]): r["rows"] for r in PL.write_split(run, make_tables(spark, **rows), p).collect()}
+    for n in PL.TABLES:
+        assert counts[n, "kept"] == 1 and sum(v for (t, _), v in counts.items() if t == n) == 2, counts
+    assert {n: [r["VBELN"][-3:] for r in run.get(f"split_{n}").collect()] for n in PL.TABLES} == {n: ["178"] for n in PL.TABLES}
+    bare = merge_sets(doc_set(180, vbak_BUKRS_VF=None, vbrk_BUKRS="1000"))
+    run = ST.StageRun(spark, str(tmp_path / "b"), p)
+    t = make_tables(spark, **bare)
+    PL.write_split(run, t, p)
+    assert _companies(run, "split_VBAK") == _companies(run, "split_VBAP") == {"1000"}
+    from triad.operators.company import split_tables
+    for df in split_tables(t, "bukrs").values():
+        assert "hashpartitioning(VKORG" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_empty_company_comes_back(spark, tmp_path):
+    df = spark.createDataFrame([("", 1), ("1000", 2)], "company string, v int")
+    PL.write_stage(df, str(tmp_path / "s"), edge_params())
+    assert sorted(tuple(r) for r in PL.read_stage(spark, str(tmp_path / "s")).collect()) == [("", 1), ("1000", 2)]
+
+
+def test_headers_of_one_number_and_two_companies(spark):
+    """The last header row decides, for blank numbers too."""
+    from triad.operators.company import tag_headers
+    vbak = [{"MANDT": "100", "VBELN": v, "VKORG": "1000", "BUKRS_VF": c} for v, c in (
+        ("1", "5001"), ("1", "5002"), ("2", "5001"), ("", "5003"), ("", "5004"), (" ", "5004"), ("3", " "))]
+    t = make_tables(spark, vbak=vbak)
+    got = sorted((r["VBELN"], r["company"]) for r in tag_headers(t, edge_params(company_by="bukrs"))["VBAK"].collect())
+    assert got == [("", "5004"), ("", "5004"), ("1", "5002"), ("2", "5001")]
 
 
 def test_units_line_numbers_and_materials(spark):

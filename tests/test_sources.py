@@ -93,6 +93,7 @@ def test_stage_write_append_batches(spark):
     assert len(files) >= 4
     allrows = PL.read_stage(spark, d)
     assert allrows.count() == 8
+    assert [r["batch_id"] for r in PL.read_stage(spark, d, batch_id="b2").collect()] == ["b2", "b2"]
     newest = PL.read_stage(spark, d, newest_batch=True)
     assert sorted(r["v"] for r in newest.collect()) == [0, 1]
     # company codes stay text (leading zeros would survive)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from triad.streaming.ingest import ingest_stream, read_ingested
+from triad.streaming.ingest import ingest_stream, read_ingested, read_settled, settle
 
 HDR = "MANDT#|#VBELN#|#VKORG#|#NETWR#|#AUDAT"
 
@@ -104,9 +104,23 @@ def test_late_header_and_delivery_company(spark):
     run("VBRK", company_col="BUKRS")
     run("LIKP")
     lines = lambda: sorted((r["VBELN"], r["company"]) for r in read_ingested(spark, f"{base}/VBAP", headers=f"{base}/VBAK").collect())
-    assert lines() == [("1", "5001"), ("2", "UNMAPPED")]
+    settled = lambda t: sorted((r["VBELN"], r["company"]) for r in read_settled(spark, f"{base}/{t}").collect())
+    assert lines() == [("1", "5001"), ("2", "UNMAPPED")] == settled("VBAP")
+    assert settle(spark, f"{base}/VBAP", headers=f"{base}/VBAK") == 1
+    assert settled("VBAP") == [("1", "5001"), ("2", "UNMAPPED")]
     write("VBAK_2.TXT", ["MANDT", "VBELN", "VKORG", "BUKRS_VF"], ["100", "2", "2000", "5002"])
     run("VBAK", company_col="BUKRS_VF")
     assert lines() == [("1", "5001"), ("2", "5002")]
     likp = read_ingested(spark, f"{base}/LIKP", vbak=f"{base}/VBAK", vbrk=f"{base}/VBRK")
     assert sorted((r["VBELN"], r["company"]) for r in likp.collect()) == [("6", "UNMAPPED"), ("7", "5001"), ("8", "5002")]
+    # only the late line is joined with the headers; a second settling and a later batch change nothing settled
+    for generation in (2, 3):
+        assert settle(spark, f"{base}/VBAP", headers=f"{base}/VBAK") == generation
+        assert settled("VBAP") == [("1", "5001"), ("2", "5002")]
+    write("VBAP_2.TXT", ["MANDT", "VBELN", "POSNR"], ["100", "3", "10"], ["100", "1", "20"])
+    run("VBAP", company_map=f"{base}/VBAK")
+    assert settled("VBAP") == [("1", "5001"), ("1", "5001"), ("2", "5002"), ("3", "UNMAPPED")]
+    settle(spark, f"{base}/LIKP", vbak=f"{base}/VBAK", vbrk=f"{base}/VBRK")
+    assert settled("LIKP") == [("6", "UNMAPPED"), ("7", "5001"), ("8", "5002")]
+    plan = read_settled(spark, f"{base}/VBAP")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan

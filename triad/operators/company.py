@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Params
@@ -66,34 +66,55 @@ def assign_company_header(df: DataFrame, table: str, by: str = "bukrs",
     raise ValueError(table)
 
 
+def company_headers(t: dict[str, DataFrame], by: str) -> dict[str, DataFrame]:
+    """VBAK, LIKP and VBRK with ``company`` (UNKNOWN and UNMAPPED kept): the one place that says
+    which company a header belongs to, for the split and for the match.
+
+    By company code VBAK falls back to its VKORG if the extract has no BUKRS_VF
+    at all.  The map for LIKP is counted and broadcast, so no header is shuffled
+    on VKORG.
+    """
+    bmap, coded = None, True
+    if by != "vkorg":
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(t["VBAK"].sparkSession)
+        bmap = vkorg_company(t["VBAK"], t["VBRK"]).checkpoint()
+        if bmap.count() <= MAP_BROADCAST_ROWS:
+            bmap = F.broadcast(bmap)
+        coded = not t["VBAK"].where(_code("BUKRS_VF").isNotNull()).isEmpty()
+    return {h: assign_company_header(t[h], h, "vkorg" if h == "VBAK" and not coded else by, bmap) for h in ("VBAK", "LIKP", "VBRK")}
+
+
 def tag_headers(t: dict[str, DataFrame], p: Params) -> dict[str, DataFrame]:
     """The six tables with ``company`` on the headers, as the match uses them.
 
-    By sales organisation every header keeps its VKORG.  By company code VBAK
-    has its BUKRS_VF (its VKORG if the extract has no BUKRS_VF at all), VBRK its
-    BUKRS and LIKP the map of its VKORG; headers without a company go, and of a
-    number with several companies the last header row decides (A10, A11).  Lines
-    get the company with their header, never by a join on VKORG.
+    By sales organisation every header keeps its VKORG.  By company code headers
+    without a company go, and of a number with several companies the last header
+    row decides (A10, A11); only such numbers, found by one combined count, are
+    looked up again, so a number that very many headers share is no hot key.
+    Lines get the company with their header, never by a join on VKORG.
     """
     out = dict(t)
     if p.company_by == "vkorg":
         for h in ("VBAK", "LIKP", "VBRK"):
             out[h] = t[h].withColumn("company", F.col("VKORG"))
         return out
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(t["VBAK"].sparkSession)
-    bmap = vkorg_company(t["VBAK"], t["VBRK"]).checkpoint()
-    if bmap.count() <= MAP_BROADCAST_ROWS:
-        bmap = F.broadcast(bmap)
-    coded = not t["VBAK"].where(_code("BUKRS_VF").isNotNull()).isEmpty()
-    for h in ("VBAK", "LIKP", "VBRK"):
-        by = "vkorg" if h == "VBAK" and not coded else "bukrs"
-        d = assign_company_header(t[h], h, by, bmap).where(~F.col("company").isin(UNKNOWN, UNMAPPED))
-        last = F.max_by("company", "_ord").over(Window.partitionBy(F.trim(F.col("VBELN"))))
-        out[h] = d.withColumn("_last", last).where(F.col("company") == F.col("_last")).drop("_last")
+    for h, d in company_headers(t, p.company_by).items():
+        d = d.where(~F.col("company").isin(UNKNOWN, UNMAPPED))
+        several = d.groupBy(F.trim(F.col("VBELN")).alias("_hv")).agg(
+            F.min("company").alias("_min"), F.max("company").alias("_max"), F.max_by("company", "_ord").alias("_last"))
+        several = several.where("_min <> _max").select("_hv", "_last")
+        d = d.join(several, F.trim(F.col("VBELN")) == F.col("_hv"), "left")
+        out[h] = d.where(F.col("_last").isNull() | (F.col("company") == F.col("_last"))).drop("_hv", "_last")
     return out
 
 
+def header_companies(tagged: dict[str, DataFrame]) -> DataFrame:
+    """The companies of the document headers, one column."""
+    parts = [tagged[h].select("company") for h in ("VBAK", "LIKP", "VBRK")]
+    return reduce(DataFrame.unionByName, parts).where("company <> ''").distinct()
+
+
 def dropped_rows(t: dict[str, DataFrame], by: str = "bukrs") -> DataFrame:
     """Rows of each table that the split keeps, and that have no company
     (UNKNOWN) or none in the map or the headers (UNMAPPED)."""
@@ -135,12 +156,11 @@ def assign_company_line(lines: DataFrame, headers: DataFrame) -> DataFrame:
 def split_tables(t: dict[str, DataFrame], by: str = "bukrs") -> dict[str, DataFrame]:
     """A10–A12 over all six tables: every row tagged with ``company``;
     UNKNOWN / UNMAPPED rows are kept here so they can be counted."""
-    bmap = vkorg_company(t["VBAK"], t["VBRK"]) if by == "bukrs" else None
+    headers = company_headers(t, by)
     out = {}
     for hdr, line in (("VBAK", "VBAP"), ("LIKP", "LIPS"), ("VBRK", "VBRP")):
-        h = assign_company_header(t[hdr], hdr, by, bmap)
-        out[hdr] = h
-        out[line] = assign_company_line(t[line], h)
+        out[hdr] = headers[hdr]
+        out[line] = assign_company_line(t[line], headers[hdr])
     return out
 
 

@@ -3,12 +3,12 @@ delivery pivot (D3, D5) and the delivery lists (B23, B24)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Params
 from ..functions import exprs as X
-from ..session import ensure_checkpoint_dir
+from ..session import written
 from .common import CKEY, JKEY, company_column, doc_list, header_join, keep_first, non_null_keys
 
 
@@ -30,37 +30,34 @@ def known_orders(vbak: DataFrame) -> DataFrame:
     return vbak.select(F.col("VBELN").alias("_k"), *of).where(F.col("_k").isNotNull() & (F.col("_k") != "")).distinct()
 
 
-def _salted(ref: str) -> Column:
-    """Join key of a reference column: a missing or empty reference (the
-    usual hot value, often half of all lines) becomes the line's own
-    identity behind a \\x01 prefix, which no order number has — it still
-    matches nothing, but no longer lands in one shuffle partition."""
-    salt = F.concat(F.lit("\u0001"), F.col("VBELN"), F.lit("#"), F.col("POSNR"))
-    return F.when(F.col(ref).isNull() | (F.col(ref) == ""), salt).otherwise(F.col(ref))
-
-
 def order_set_filter(d: DataFrame, known: DataFrame, cols: tuple[str, str] = ("VBELV", "VGBEL")) -> DataFrame:
     """C4 (and C6 with ``cols=("VBELV", "AUBEL")``): keep lines whose first
     *or* second reference column is a known order number.
 
-    Two equi left joins against the same distinct order-number relation
-    with hit flags, instead of one OR-join, which would plan as a nested
-    loop.  Empty references are salted (:func:`_salted`); any other hot
-    value is a hot key on the preserved side of a left join, which AQE's
-    skew-join handling splits.  Nothing is dropped or sampled.
+    A line nearly always has one reference: both columns agree, or one is missing
+    or empty.  Such lines go through one semi join on it.  Only lines with two
+    different references are looked up twice, by two left joins with hit flags.
+    Lines without a reference, often half of all, match nothing and go before
+    any shuffle.  A hot order number is a hot key on the preserved side of the
+    join, which AQE's skew-join handling splits.  Nothing is dropped or sampled.
     """
-    c1, c2 = cols
     own = "_kc" in known.columns and "company" in d.columns
-    for i, c in enumerate((c1, c2)):
-        of = [F.col("_kc").alias(f"_c{i}")] if own else []
-        k = known.select(F.col("_k").alias(f"_k{i}"), *of, F.lit(True).alias(f"_hit{i}"))
-        d = d.withColumn(f"_j{i}", _salted(c))
-        on = d[f"_j{i}"] == k[f"_k{i}"]
-        if own:
-            on = on & (d["company"] == k[f"_c{i}"])
-        d = d.join(k, on, "left").drop(f"_k{i}", f"_c{i}", f"_j{i}")
-    hit = F.coalesce(F.col("_hit0"), F.lit(False)) | F.coalesce(F.col("_hit1"), F.lit(False))
-    return d.where(hit).drop("_hit0", "_hit1")
+    a, b = (F.nullif(F.col(c), F.lit("")) for c in cols)
+    d = d.withColumn("_ref", F.coalesce(a, b)).withColumn("_also", F.when(a != b, b)).where(F.col("_ref").isNotNull())
+
+    def on(left: DataFrame, ref: str, k: DataFrame):
+        same = left[ref] == k["_k"]
+        return same & (left["company"] == k["_kc"]) if own else same
+
+    one = d.where(F.col("_also").isNull())
+    one = one.join(known, on(one, "_ref", known), "left_semi")
+    two = d.where(F.col("_also").isNotNull())
+    names = two.columns
+    for i, ref in enumerate(("_ref", "_also")):
+        k = known.withColumn(f"_hit{i}", F.lit(True))
+        two = two.join(k, on(two, ref, k), "left").select(*names, *[f"_hit{j}" for j in range(i + 1)])
+    two = two.where("_hit0 OR _hit1").select(*names)
+    return one.unionByName(two).drop("_ref", "_also")
 
 
 def batch_child_dedup(d: DataFrame) -> DataFrame:
@@ -69,27 +66,32 @@ def batch_child_dedup(d: DataFrame) -> DataFrame:
     a zero-quantity parent does not remove its children.
 
     Parents pass through untouched.  Only the child rows, which are few, are
-    looked up: two left-anti joins against the (delivery, position) pairs of
-    the parents, so the delivery lines themselves are not shuffled again.  The
-    lines are written once to the shared checkpoint folder, because parents,
-    children and pairs all come from them.
+    looked up against the (delivery, position) pairs of the parents: one
+    left-anti join on the pointer, and a second one only for children with two
+    different pointers.  The delivery lines themselves are not shuffled again.
+    The lines are written once to the shared folder, because parents, children
+    and pairs all come from them; callers pass only the columns they need.
     """
-    ensure_checkpoint_dir(d.sparkSession)
-    d = d.checkpoint()
+    d = written(d, "delivery-lines")
     is_parent = X.blank_parent_ref("UEPOS") & X.blank_parent_ref("UECHA")
     parents, children = d.where(is_parent), d.where(~is_parent)
     place = parents.select(F.col("VBELN").alias("_pv"), F.col("POSNR").alias("_pp"))
-    for ref in ("UEPOS", "UECHA"):
-        # a blank pointer looks nothing up
-        children = children.withColumn("_ref", F.when(~X.blank_parent_ref(ref), F.col(ref)))
-        found = (children["VBELN"] == place["_pv"]) & (children["_ref"] == place["_pp"])
-        children = children.join(place, found, "left_anti").drop("_ref")
-    return parents.unionByName(children)
+    # a blank pointer looks nothing up
+    a, b = (F.when(~X.blank_parent_ref(c), F.col(c)) for c in ("UEPOS", "UECHA"))
+    children = children.withColumn("_at", F.coalesce(a, b)).withColumn("_also", F.when(a != b, b))
+
+    def orphans(c: DataFrame, ref: str) -> DataFrame:
+        return c.join(place, (c["VBELN"] == place["_pv"]) & (c[ref] == place["_pp"]), "left_anti")
+
+    one, two = children.where(F.col("_also").isNull()), children.where(F.col("_also").isNotNull())
+    kept = orphans(one, "_at").unionByName(orphans(orphans(two, "_at"), "_also")).drop("_at", "_also")
+    return parents.unionByName(kept)
 
 
 def delivery_lines(likp: DataFrame, lips: DataFrame, known: DataFrame | None, p: Params,
                    batch_dedup: bool = True) -> DataFrame:
-    """Delivery lines of the match stage, keyed to the order line.
+    """Delivery lines of the match stage, keyed to the order line; with
+    ``batch_dedup`` only the columns of the match.
 
     F1/F2 keep-first, C2 header join, C4 order filter, B3 order reference
     (VBELV <- VGBEL, POSNV <- VGPOS, each where blank), B8 sign, B10 base
@@ -103,7 +105,8 @@ def delivery_lines(likp: DataFrame, lips: DataFrame, known: DataFrame | None, p:
           .withColumn("dlv_qty", X.base_qty("LGMNG", "LFIMG", p) * X.sign("SHKZG"))
           .where(X.nonzero("LFIMG", p)))
     if batch_dedup:
-        d = batch_child_dedup(d)
+        slim = ["VKORG", "VBELN", "POSNR", "UEPOS", "UECHA", "ORD_VBELN", "ORD_POSNR", "dlv_qty"]
+        d = batch_child_dedup(d.select(*[c for c in ("company",) if c in d.columns], *slim))
     return d
 
 

@@ -12,15 +12,38 @@ from .deliveries import order_set_filter
 from .common import CKEY, JKEY, company_column, doc_list, drop_excluded, first_non_null, header_join, non_null_keys
 
 
+#: Folder column of invoice lines staged by billing month.
+MONTH = "bill_month"
+
+
 def _period_lines(vbrk: DataFrame, vbrp: DataFrame, p: Params) -> DataFrame:
     """C3 + B16.  The period predicate is applied to the line scan first
     (pushed into Parquet as a range on FKDAT; lines without a date keep
     their chance through the header date), then exactly after the join."""
     pushed = X.in_period("FKDAT", p.invoice_period) | F.col("FKDAT").isNull()
+    if MONTH in vbrp.columns:
+        if p.invoice_period is not None:
+            first, last = (d.year * 100 + d.month for d in (p.invoice_period.first_day, p.invoice_period.last_day))
+            vbrp = vbrp.where(F.col(MONTH).between(first, last) | (F.col(MONTH) == 0))
+        vbrp = vbrp.drop(MONTH)
     d = header_join(vbrp.where(pushed), vbrk)
     return d.where(X.in_period("FKDAT", p.invoice_period))
 
 
+def by_billing_month(vbrk: DataFrame, vbrp: DataFrame) -> DataFrame:
+    """VBRP with its billing month (yyyymm) from the line or, where the line has no date,
+    from its header; 0 where neither says, or where headers of one number differ.
+    Written in folders by it, a run of one period reads the folders of its months and
+    the folder 0 only, so lines dated by their header are pruned too."""
+    date = F.coalesce("FKDAT", F.when(F.col("_first") == F.col("_last"), F.col("_first")))
+    month = F.coalesce(F.year(date) * 100 + F.month(date), F.lit(0)).alias(MONTH)
+    dates = vbrk.groupBy("MANDT", "VBELN").agg(F.min("FKDAT").alias("_first"), F.max("FKDAT").alias("_last"))
+    bare = vbrp.where(F.col("FKDAT").isNull()).join(dates, ["MANDT", "VBELN"], "left")
+    dated = vbrp.where(F.col("FKDAT").isNotNull())
+    nothing = F.lit(None).cast("date")
+    return dated.select("*", nothing.alias("_first"), nothing.alias("_last")).unionByName(bare).select(*vbrp.columns, month)
+
+
 def invoice_lines(vbrk: DataFrame, vbrp: DataFrame, excl: DataFrame, p: Params,
                   known: DataFrame | None = None) -> DataFrame:
     """Invoice lines of the match stage, keyed to the order line.

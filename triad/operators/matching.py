@@ -3,9 +3,10 @@ totals (D24)."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import Params
@@ -19,51 +20,99 @@ from .orders import material_grain, order_key_pivot, order_lines, order_pivot
 MATCH_MEASURES = ["inv_qty", "inv_amt", "dlv_qty", "ord_qty", "ord_amt_lc", "ord_amt_fc"]
 
 
+def match_figures() -> dict[str, Column]:
+    """What the write of the matched rows counts by itself."""
+    return {"rows_out": F.count(F.lit(1)), "negative_rows": F.count(F.when(F.col("is_negative"), 1))}
+
+
 @dataclass
 class Pivots:
     """The document pivots of one run (keyed on company, VKORG, VBELN, POSNR)."""
 
-    order: DataFrame       # material grain (D1)
-    order_key: DataFrame   # order-line grain (D2 + C10 + C11)
+    grain: DataFrame       # order lines by material; order and order_key derive from it
     delivery: DataFrame    # D3 + D5
     invoice: DataFrame     # D4 + D5 + D6
+    figures: dict = field(default_factory=dict)   # D24, counted while they were written
+    tables: tuple = ()
 
     NAMES = ("order", "order_key", "delivery", "invoice")
 
+    @property
+    def order(self) -> DataFrame:
+        """Material grain."""
+        return order_pivot(self.grain)
+
+    @property
+    def order_key(self) -> DataFrame:
+        """Order-line grain (D2 + C10 + C11)."""
+        return order_key_pivot(self.grain)
+
+    def only(self, companies: DataFrame | None) -> "Pivots":
+        """The pivots of some companies."""
+        if companies is None:
+            return self
+        return Pivots(*(d.join(companies, "company", "left_semi") for d in (self.grain, self.delivery, self.invoice)))
+
     def write(self, folder: str) -> "Pivots":
-        """Each pivot written once as Parquet under ``folder`` and read again:
-        match, untested and control then share the work, and a lost executor
-        repeats none of it."""
-        spark = self.order.sparkSession
-        for name in self.NAMES:
-            getattr(self, name).write.mode("overwrite").parquet(f"{folder}/{name}")
-        return Pivots(*(spark.read.parquet(f"{folder}/{name}") for name in self.NAMES))
+        """Each pivot written once under ``folder``, bucketed and sorted on the match key into as
+        many buckets as the session has shuffle partitions, and read again: the match and
+        the untested classes then join bucket by bucket, without an exchange, and a
+        lost executor repeats none of the work.  The order lines are written at
+        material grain only; the order-line pivot folds up inside its bucket.  The
+        writes count the control figures (invoice keys and total, order lines of
+        several materials)."""
+        spark = self.grain.sparkSession
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        line = Window.partitionBy(*JKEY)
+        # the pre-aggregated rows of an order line meet once, for the count and the bucket
+        grain = self.grain.repartition(buckets, *JKEY).withColumn("_materials", F.count(F.lit(1)).over(line))
+        grain = grain.withColumn("_first", F.coalesce(F.col("MATNR"), F.lit("")) == F.min(F.coalesce(F.col("MATNR"), F.lit(""))).over(line))
+        several = F.count(F.when((F.col("_materials") > 1) & F.col("_first"), 1))
+        total = F.sum(F.col("inv_amt").cast("decimal(38,2)"))
+        parts = {"grain": (grain, {"multi_material_keys": several}), "delivery": (self.delivery, {}),
+                 "invoice": (self.invoice, {"invoice_keys": F.count(F.lit(1)), "invoice_total": total})}
+        figures, read, tables = {}, {}, []
+        for name, (df, wanted) in parts.items():
+            seen = Observation()
+            if wanted:
+                df = df.observe(seen, *[c.alias(n) for n, c in wanted.items()])
+            table = f"pivot_{uuid.uuid4().hex}"
+            (df.drop("_materials", "_first").write.bucketBy(buckets, *JKEY).sortBy(*JKEY).format("parquet")
+             .option("path", f"{folder}/{name}").mode("overwrite").saveAsTable(table))
+            figures |= seen.get if wanted else {}
+            read[name] = spark.table(table)
+            tables.append(table)
+        return Pivots(**read, figures=figures, tables=tuple(tables))
+
+    def release(self) -> None:
+        """Forget the tables' names; the files stay in the run's folder."""
+        for table in self.tables:
+            self.grain.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
 
     def persist(self) -> "Pivots":
-        """Keep the four pivots (each read by the match *and* the untested
-        classes) for the duration of one stage.  MEMORY_AND_DISK: a lost
-        executor's blocks are recomputed from lineage; nothing is held on
-        the driver."""
+        """Keep the pivots (each read by the match *and* the untested classes)
+        for the duration of one stage.  MEMORY_AND_DISK: a lost executor's blocks
+        are recomputed from lineage; nothing is held on the driver."""
         from pyspark import StorageLevel
-        for df in (self.order, self.order_key, self.delivery, self.invoice):
+        for df in (self.grain, self.delivery, self.invoice):
             df.persist(StorageLevel.MEMORY_AND_DISK)
         return self
 
-    def release(self) -> None:
-        for df in (self.order, self.order_key, self.delivery, self.invoice):
+    def unpersist(self) -> None:
+        for df in (self.grain, self.delivery, self.invoice):
             df.unpersist()
 
 
-def build_pivots(spark: SparkSession, t: dict[str, DataFrame], p: Params) -> Pivots:
-    """Orders, deliveries and invoices of ``t`` (the six conformed tables)."""
+def build_pivots(spark: SparkSession, t: dict[str, DataFrame], p: Params, tagged: dict[str, DataFrame] | None = None) -> Pivots:
+    """Orders, deliveries and invoices of ``t`` (the six conformed tables); ``tagged``: the
+    same with the headers' company, where the caller has it."""
     excl = exclusion_set(spark, p, t["VBAK"], t["VBRK"])
-    t = tag_headers(t, p)
+    t = tagged or tag_headers(t, p)
     lines = order_lines(t["VBAK"], t["VBAP"], excl, p)
     known = known_orders(t["VBAK"])
     dl = delivery_lines(t["LIKP"], t["LIPS"], known, p, batch_dedup=True)
     il = invoice_lines(t["VBRK"], t["VBRP"], excl, p, known)
-    grain = material_grain(lines)
-    return Pivots(order_pivot(grain), order_key_pivot(grain), delivery_pivot(dl), invoice_pivot(il))
+    return Pivots(material_grain(lines), delivery_pivot(dl), invoice_pivot(il))
 
 
 def three_way_match(pv: Pivots, p: Params) -> DataFrame:
@@ -122,11 +171,13 @@ def main_rows(matched: DataFrame) -> DataFrame:
     return matched.where(~F.col("is_negative"))
 
 
-def source_totals(t: dict[str, DataFrame], p: Params) -> DataFrame:
+def source_totals(t: dict[str, DataFrame], p: Params, all_headers: dict[str, DataFrame] | None = None) -> DataFrame:
     """D24, source side: order and invoice headers left out as intercompany, and
-    delivery headers that repeat a number (all but the first are left out)."""
+    delivery headers that repeat a number (all but the first are left out).
+    ``all_headers`` give the codes where ``t`` holds some companies only."""
     spark = t["VBAK"].sparkSession
-    codes = exclusion_set(spark, p, t["VBAK"], t["VBRK"]).withColumnRenamed("code", "_sold_to")
+    every = all_headers or t
+    codes = exclusion_set(spark, p, every["VBAK"], every["VBRK"]).withColumnRenamed("code", "_sold_to")
 
     def excluded(d: DataFrame, col: str, name: str) -> DataFrame:
         hit = d.select(X.sold_to_norm(col).alias("_sold_to")).join(F.broadcast(codes), "_sold_to", "left_semi")
@@ -165,3 +216,12 @@ def control_totals(pv: Pivots, matched: DataFrame, t: dict[str, DataFrame] | Non
         return out
     more = source_totals(t, p)  # one row; joined on a constant
     return out.withColumn("_one", F.lit(1)).join(F.broadcast(more.withColumn("_one", F.lit(1))), "_one").drop("_one")
+
+
+def observed_control(spark: SparkSession, figures: dict, sources: DataFrame) -> DataFrame:
+    """D24 from the figures that the writes of the pivots and the matched rows counted."""
+    out = spark.createDataFrame(
+        [(figures["rows_out"], figures["invoice_keys"], figures["rows_out"] - figures["invoice_keys"], figures["negative_rows"],
+          None if figures["invoice_total"] is None else float(figures["invoice_total"]), figures["multi_material_keys"], 1)],
+        "rows_out bigint, invoice_keys bigint, fan_out bigint, negative_rows bigint, invoice_total double, multi_material_keys bigint, _one int")
+    return out.join(F.broadcast(sources.withColumn("_one", F.lit(1))), "_one").drop("_one")

@@ -9,12 +9,14 @@ aggregation; windows are partitioned by company.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..config import SCENARIO_CLASSES, Params
 from ..functions import exprs as X
+from ..session import distributed_numbers
 from .common import drop_excluded, keep_first
 from .scenarios import MISSING_INVOICE, NEGATIVE, pct
 
@@ -185,20 +187,10 @@ def overall_match(rates: DataFrame) -> DataFrame:
 
 
 def sensitivity(rates: DataFrame, p: Params) -> DataFrame:
-    """Only companies at or above the high tier (raw %), plus the
-    sorted list of companies left out (one row)."""
-    hi = F.col("_raw_pct_amt") >= p.tier_high
-    kept = rates.where(hi)
-    out = _finish(kept.agg(*_summary(kept)).withColumn("scope", F.lit(f">={p.tier_high:g}%")), "scope")
-    removed = rates.agg(F.array_join(F.array_sort(F.collect_list(F.when(~hi, F.col("company")))), ", ")
-                        .alias("removed_companies"))
-    # both sides are single-row aggregates; a union + max folds them into one row
-    a = out.select(*out.columns, F.lit(None).cast("string").alias("removed_companies"))
-    b = removed.select(*[F.lit(None).cast(out.schema[c].dataType).alias(c) for c in out.columns],
-                       "removed_companies")
-    u = a.unionByName(b)
-    return u.agg(*[F.max(c).alias(c) for c in out.columns],
-                 F.max("removed_companies").alias("removed_companies"))
+    """Only companies at or above the high tier (raw %), one row; the
+    companies left out are the rows of :func:`removed_companies`."""
+    kept = rates.where(F.col("_raw_pct_amt") >= p.tier_high)
+    return _finish(kept.agg(*_summary(kept)).withColumn("scope", F.lit(f">={p.tier_high:g}%")), "scope")
 
 
 def removed_companies(rates: DataFrame, p: Params) -> DataFrame:
@@ -229,21 +221,17 @@ def untested_summary(untested_rows: DataFrame, vbak: DataFrame, excl: DataFrame,
     """Per company rows and order amount of the untested classes
     order-only and order-and-delivery, restricted to valid orders; plus a
     grand-total line (company 'TOTAL')."""
-    u = untested_rows.where(F.col("class").isin("order_only", "order_delivery"))
-    v = valid_orders(vbak, excl, p)
     # An empty valid-order set filters everything (the process would switch
     # the filter off; that needs a driver-side emptiness test and is not offered).
-    u = u.join(v, "VBELN", "left_semi")
-    companies = untested_rows.select("company").distinct()
-    oo = F.col("class") == "order_only"
-    agg = u.groupBy("company").agg(
-        F.sum(F.when(oo, 1).otherwise(0)).alias("order_only_rows"),
-        F.sum(F.when(oo, F.col("ord_amt_lc"))).alias("order_only_amt"),
-        F.sum(F.when(~oo, 1).otherwise(0)).alias("order_delivery_rows"),
-        F.sum(F.when(~oo, F.col("ord_amt_lc"))).alias("order_delivery_amt"))
-    per = companies.join(agg, "company", "left")
-    per = per.select("company", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in
-                                  ("order_only_rows", "order_only_amt", "order_delivery_rows", "order_delivery_amt")])
+    v = valid_orders(vbak, excl, p).withColumn("_valid", F.lit(True))
+    oo, od = F.col("class") == "order_only", F.col("class") == "order_delivery"
+    zero = F.lit(0)
+    # one read of the untested rows: a company without any such row keeps its line of zeros
+    per = untested_rows.join(v, "VBELN", "left").groupBy("company").agg(
+        F.sum(F.when(oo & F.col("_valid"), 1).otherwise(0)).alias("order_only_rows"),
+        F.coalesce(F.sum(F.when(oo & F.col("_valid"), F.col("ord_amt_lc"))), zero).alias("order_only_amt"),
+        F.sum(F.when(od & F.col("_valid"), 1).otherwise(0)).alias("order_delivery_rows"),
+        F.coalesce(F.sum(F.when(od & F.col("_valid"), F.col("ord_amt_lc"))), zero).alias("order_delivery_amt"))
     cube = per.rollup("company").agg(*[F.sum(c).alias(c) for c in
                                        ("order_only_rows", "order_only_amt", "order_delivery_rows",
                                         "order_delivery_amt")])
@@ -266,6 +254,11 @@ def missing_invoice_amount(untested_rows: DataFrame) -> DataFrame:
                   F.sum("ord_amt_lc").cast("decimal(38,2)").cast("double").alias("order_amt")))
 
 
+def malformed_rows(dropped: dict[str, DataFrame]) -> DataFrame:
+    """A5: rows with too many fields that the extract reader dropped, by table."""
+    return reduce(DataFrame.unionByName, [d.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table"), "rows") for n, d in dropped.items()])
+
+
 # ---------------------------------------------------------------------------
 # Report numbers as text, and back
 # ---------------------------------------------------------------------------
@@ -312,7 +305,6 @@ def display_table(table: DataFrame) -> DataFrame:
 
 def ordered_report(table: DataFrame) -> DataFrame:
     """a report table in display order (companies ascending, lines in
-    their fixed order) with its 1-based ``position``.  For report-sized
-    results only (one row per company and line): the numbering is global."""
-    w = Window.orderBy("company", "line_order")
-    return table.withColumn("position", F.row_number().over(w)).orderBy("position")
+    their fixed order) with its 1-based ``position``, numbered where the rows
+    are (no window over all rows)."""
+    return distributed_numbers(table, ["company", "line_order"]).orderBy("position")

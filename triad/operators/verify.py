@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..config import Params
 from ..functions import exprs as X
-from .common import keep_first
+from ..session import written
 
 VERDICTS = ("order_qty_nonzero", "order_qty_zero", "delivery_no_order_qty_nonzero", "not_found_or_zero")
 
@@ -50,34 +50,36 @@ def sample_keys(keys: DataFrame, n: int = 500, seed: int = 42) -> DataFrame:
 
 def verify_lookup(detail_rows: DataFrame, t: dict[str, DataFrame], p: Params,
                   keys: DataFrame | None = None) -> DataFrame:
+    """C14: the keys come first.  Every table is cut to the keys by a semi join (which the
+    runtime Bloom filter pushes into the scan where the keys are few) before it is
+    aggregated; VBAP is read once for the keys and for the orders that delivery
+    lines lead to, VBRP once for both of its references."""
     keys = keys if keys is not None else zero_order_keys(detail_rows, p)
-    k = keys.withColumn("_pn", X.posnr_norm("POSNR"))
-    vbap = t["VBAP"].select(F.trim(F.col("VBELN")).alias("_v"), X.posnr_norm("POSNR").alias("_p"), "KLMENG", "_ord")
-    # 1) order line: summed base quantity; first row kept for step 2 lookups
-    vsum = vbap.groupBy("_v", "_p").agg(F.sum(F.coalesce(F.col("KLMENG"), F.lit(0))).alias("klmeng_sum"),
-                                        F.min_by("KLMENG", F.col("_ord")).alias("klmeng_first"))
-    j = k.join(vsum.select(F.col("_v").alias("VBELN"), F.col("_p").alias("_pn"), "klmeng_sum"),
-               ["VBELN", "_pn"], "left")
-    # 2) delivery line -> its order reference (first row per delivery line)
-    lips = t["LIPS"]
+    k = written(keys.select("VKORG", "VBELN", "POSNR", X.posnr_norm("POSNR").alias("_pn")), "verify-keys")
+    lines = k.select(F.col("VBELN").alias("_v"), F.col("_pn").alias("_p")).distinct()
+    # delivery line -> its order reference (first row per delivery line)
     ref_v = F.when(X.blank_ref("VGBEL"), F.col("VBELV")).otherwise(F.col("VGBEL"))
     ref_p = F.when(X.blank_ref("VGPOS"), F.col("POSNV")).otherwise(F.col("VGPOS"))
-    dref = keep_first(lips.select(F.trim(F.col("VBELN")).alias("_dv"), X.posnr_norm("POSNR").alias("_dp"),
-                                  F.trim(ref_v).alias("ord_vbeln"), X.posnr_norm(ref_p).alias("ord_posnr"), "_ord"),
-                      ["_dv", "_dp"])
-    j = j.join(dref.select(F.col("_dv").alias("VBELN"), F.col("_dp").alias("_pn"), "ord_vbeln", "ord_posnr"),
-               ["VBELN", "_pn"], "left")
+    lips = t["LIPS"].select(F.trim(F.col("VBELN")).alias("_v"), X.posnr_norm("POSNR").alias("_p"),
+                            F.trim(ref_v).alias("ord_vbeln"), X.posnr_norm(ref_p).alias("ord_posnr"), "_ord")
+    dref = lips.join(lines, ["_v", "_p"], "left_semi").groupBy("_v", "_p").agg(
+        F.min_by(F.struct("ord_vbeln", "ord_posnr"), "_ord").alias("_o")).select("_v", "_p", "_o.*")
+    dref = written(dref, "verify-references")
+    # order lines of the keys and of the references: summed base quantity; first row's
+    wanted = lines.unionByName(dref.select(F.col("ord_vbeln").alias("_v"), F.col("ord_posnr").alias("_p"))).distinct()
+    vbap = t["VBAP"].select(F.trim(F.col("VBELN")).alias("_v"), X.posnr_norm("POSNR").alias("_p"), "KLMENG", "_ord")
+    vsum = vbap.join(wanted, ["_v", "_p"], "left_semi").groupBy("_v", "_p").agg(
+        F.sum(F.coalesce(F.col("KLMENG"), F.lit(0))).alias("klmeng_sum"), F.min_by("KLMENG", F.col("_ord")).alias("klmeng_first"))
+    j = k.join(vsum.select(F.col("_v").alias("VBELN"), F.col("_p").alias("_pn"), "klmeng_sum"), ["VBELN", "_pn"], "left")
+    j = j.join(dref.withColumnsRenamed({"_v": "VBELN", "_p": "_pn"}), ["VBELN", "_pn"], "left")
     j = j.join(vsum.select(F.col("_v").alias("ord_vbeln"), F.col("_p").alias("ord_posnr"),
                            F.col("klmeng_first").alias("ord_klmeng")), ["ord_vbeln", "ord_posnr"], "left")
-    # 3) invoices pointing at the key by VBELV or AUBEL: all with blank AUBEL?
-    vbrp = t["VBRP"]
+    # invoices pointing at the key by VBELV or AUBEL: all with blank AUBEL?
     aub = F.trim(F.coalesce(F.col("AUBEL"), F.lit("")))
-    refs = (vbrp.select(F.trim(F.col("VBELV")).alias("_k"), aub.alias("_a"))
-            .unionByName(vbrp.select(F.trim(F.col("AUBEL")).alias("_k"), aub.alias("_a"))))
-    refs = refs.join(keys.select(F.col("VBELN").alias("_k")).distinct(), "_k", "left_semi")
-    inv = refs.groupBy("_k").agg((F.bool_and(F.col("_a") == "") | F.bool_and(F.col("_a") == "0"))
-                                 .alias("aubel_blank"))
-    j = j.join(inv.withColumnRenamed("_k", "VBELN"), "VBELN", "left")
+    refs = t["VBRP"].select(F.explode(F.array(F.trim(F.col("VBELV")), F.trim(F.col("AUBEL")))).alias("VBELN"), aub.alias("_a"))
+    inv = refs.join(k.select("VBELN").distinct(), "VBELN", "left_semi").groupBy("VBELN").agg(
+        (F.bool_and(F.col("_a") == "") | F.bool_and(F.col("_a") == "0")).alias("aubel_blank"))
+    j = j.join(inv, "VBELN", "left")
     eps = X.dec(p.zero_eps)
     verdict = (F.when(F.col("klmeng_sum").isNotNull() & (F.abs(F.col("klmeng_sum")) >= eps), F.lit(VERDICTS[0]))
                 .when(F.col("klmeng_sum").isNotNull(), F.lit(VERDICTS[1]))

@@ -4,12 +4,12 @@ and the whole run.
 Each stage returns lazy DataFrames.  :func:`run_all` writes every stage as a
 Parquet dataset partitioned by company (the stage boundary the process kept
 as workbooks), which also cuts lineage: a lost executor recomputes from the
-last written stage, never from the raw extracts.
+last written stage, never from the raw extracts.  How stages are written, read
+and published is in :mod:`.stages`.
 """
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,11 +21,12 @@ from ..operators import report as R
 from ..operators import scenarios as S
 from ..operators import verify as V
 from ..operators.common import exclusion_set
-from ..operators.company import dropped_rows, select_companies
+from ..operators.company import UNKNOWN, UNMAPPED, header_companies, select_companies, split_tables, tag_headers
 from ..operators.deliveries import delivery_list, known_orders
-from ..operators.invoices import invoice_list
+from ..operators.invoices import MONTH, by_billing_month, invoice_list
 from ..operators.orders import order_list
-from ..session import stage_dir
+from ..session import ensure_checkpoint_dir, stage_dir
+from .stages import StageRun, open_run, read_stage, write_stage
 
 
 @dataclass
@@ -43,7 +44,7 @@ class Reconciled:
 
     def release(self) -> None:
         """Drop the persisted pivots once the stage outputs are written."""
-        self.pivots.release()
+        self.pivots.unpersist()
 
 
 @dataclass
@@ -128,37 +129,10 @@ def build_lists(spark: SparkSession, t: dict[str, DataFrame], p: Params, orders:
     return out
 
 
-# ---------------------------------------------------------------------------
-# stage writes
-# ---------------------------------------------------------------------------
-
-def write_stage(df: DataFrame, path: str, p: Params, partition_by=("company",), append: bool = False,
-                batch_id: str | None = None) -> None:
-    """Write a stage dataset: Parquet, partitioned, at most
-    ``rows_per_file`` rows per file (A15).  A write replaces all of the dataset,
-    or of its batch when it has a batch id (a folder of its own, which readers
-    see as column ``batch_id``, A17), so that a rerun leaves nothing of an
-    earlier run behind; ``append`` adds instead (A13).  Rows are rebalanced on
-    the partition column first, which AQE splits for a dominant value, so a
-    company's rows make few files."""
-    if batch_id is not None:
-        path = f"{path}/batch_id={batch_id}"
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    w = (df.write.option("maxRecordsPerFile", p.rows_per_file).option("partitionOverwriteMode", "static")
-         .mode("append" if append else "overwrite"))
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
-def read_stage(spark: SparkSession, path: str, newest_batch: bool = False) -> DataFrame:
-    """Read a stage back; optionally only its newest batch (one value
-    read from the folder names, so the scan is pruned to it)."""
-    df = spark.read.parquet(path)
-    if newest_batch and "batch_id" in df.columns:
-        df = df.where(F.col("batch_id") == df.agg(F.max("batch_id")).first()[0])
-    return df
+def stage_invoice_lines(spark: SparkSession, t: dict[str, DataFrame], path: str, p: Params) -> dict[str, DataFrame]:
+    """The tables with VBRP staged in folders by billing month."""
+    write_stage(by_billing_month(t["VBRK"], t["VBRP"]), path, p, partition_by=(MONTH,))
+    return {**t, "VBRP": read_stage(spark, path)}
 
 
 def scenario_extract(detail_rows: DataFrame, companies: list[str] | None = None) -> DataFrame:
@@ -172,46 +146,72 @@ def scenario_extract(detail_rows: DataFrame, companies: list[str] | None = None)
 
 
 REPORTS = ("scenarios", "table", "classes", "rates", "tiers", "overall", "sensitivity", "internal_only")
-STAGES = ("matched", "untested", "classified", "detail", "stats", "scenario_extract", "untested_summary",
-          "missing_invoice", "control", "split_rows", "verify", "verify_summary")
+TABLES = ("VBAK", "VBAP", "LIKP", "LIPS", "VBRK", "VBRP")
+
+
+def write_split(run: StageRun, t: dict[str, DataFrame], p: Params) -> DataFrame:
+    """The six tables as stages ``split_<table>``, in folders by company.  The rows
+    without a company are counted by the same writes and left out; returns (table, status, rows)."""
+    counts = []
+    code = F.col("company")
+    for name, df in split_tables(t, p.company_by).items():
+        kept = ~code.isin(UNKNOWN, UNMAPPED)
+        seen = run.put(f"split_{name}", df, observe={s: F.count(F.when(code == s if s != "kept" else kept, 1)) for s in ("kept", UNKNOWN, UNMAPPED)}, keep=kept)
+        counts += [(name, s, n) for s, n in seen.items() if n]
+    return run.spark.createDataFrame(counts, "table string, status string, rows bigint")
+
+
+def match_stages(run: StageRun, t: dict[str, DataFrame], companies: list[str] | None = None, start: str | None = None,
+                 skip: list[str] | None = None, limit: int | None = None) -> None:
+    """K2 as stages ``matched``, ``untested`` and ``control``, of all companies or of some of those of the
+    document headers.  A choice is made on the pivots, so everything after it, the control
+    figures too, is of these companies; the figures are counted by the writes themselves."""
+    spark, p = run.spark, run.p
+    tagged, wanted = tag_headers(t, p), None
+    if any(x is not None for x in (companies, start, skip, limit)):
+        ensure_checkpoint_dir(spark)
+        wanted = select_companies(header_companies(tagged), companies, start, skip, limit).checkpoint()
+    pv = M.build_pivots(spark, t, p, tagged).only(wanted).write(run.path("pivots"))
+    matched = run.put("matched", M.three_way_match(pv, p), observe=M.match_figures())
+    run.put("untested", M.untested(pv, p))
+    pv.release()
+    headers = t if wanted is None else {**t, **{h: tagged[h].join(wanted, "company", "left_semi") for h in ("VBAK", "LIKP", "VBRK")}}
+    run.put("control", M.observed_control(spark, {**pv.figures, **matched}, M.source_totals(headers, p, t)), ())
 
 
 def run_all(spark: SparkSession, t: dict[str, DataFrame], p: Params, out_dir: str | None = None,
             mode: str = "all", lists: bool = False, batch_id: str | None = None, companies: list[str] | None = None,
-            start: str | None = None, skip: list[str] | None = None, limit: int | None = None) -> dict[str, str]:
+            start: str | None = None, skip: list[str] | None = None, limit: int | None = None, split: bool = False,
+            malformed: dict[str, DataFrame] | None = None) -> StageRun:
     """K5: lists (optional) -> reconcile -> analyse -> group report.
 
-    mode="all" runs every stage; "diff-only" starts from stored match
-    stages; "match+diff" skips the lists.  ``companies``, ``start``, ``skip`` and
-    ``limit`` select the companies of the run (B39).  Every stage carries the
-    batch id and is read back by it, so a run into a used folder reports its own
-    companies only.  The document pivots are written once and read by the match,
-    the untested classes and the control figures.  Returns the written paths.
+    mode="all" runs every stage; "diff-only" starts from the match stages of the
+    run published last (of this batch); "match+diff" skips the lists.  ``companies``,
+    ``start``, ``skip`` and ``limit`` select companies among those of the document headers
+    (B39); everything, the control figures too, is then of these companies only.
+    ``split`` also writes the tables by company (A10-A12); ``malformed`` are the
+    rows that the extract reader dropped (A5), counted by table.
+
+    The document pivots are written once, bucketed on the match key, and read by
+    the match and the untested classes.  Nothing is visible to readers before the
+    last stage is written (:mod:`.stages`).  Returns the published run.
     """
     out_dir = out_dir or stage_dir(spark, "run")
-    paths = {k: os.path.join(out_dir, k) for k in ("order_list", "delivery_list", "invoice_list", *STAGES)}
-    choice = any(x is not None for x in (companies, start, skip, limit))
-
-    def put(name: str, df: DataFrame, partition_by=("company",)) -> None:
-        write_stage(df, paths[name], p, partition_by, batch_id=batch_id)
-
-    def get(name: str) -> DataFrame:
-        return read_stage(spark, paths[name], newest_batch=batch_id is not None)
+    run = StageRun(spark, out_dir, p, batch_id)
+    put, get = run.put, run.get
 
     if lists and mode == "all":
         for name, df in build_lists(spark, t, p).items():
             put(name, df.withColumnRenamed("sales_org", "company") if p.company_by == "vkorg" else df, ())
+    if malformed is not None:
+        put("malformed_rows", R.malformed_rows(malformed), ())
     if mode in ("all", "match+diff"):
-        pv = M.build_pivots(spark, t, p).write(os.path.join(out_dir, "pivots", batch_id or "current"))
-        matched, open_rows = M.three_way_match(pv, p), M.untested(pv, p)
-        if choice:
-            known = matched.select("company").unionByName(open_rows.select("company"))
-            wanted = select_companies(known, companies, start, skip, limit)
-            matched, open_rows = (d.join(wanted, "company", "left_semi") for d in (matched, open_rows))
-        put("matched", matched)
-        put("untested", open_rows)
-        put("control", M.control_totals(pv, get("matched"), t, p), ())
-        put("split_rows", dropped_rows(t, p.company_by), ())
+        match_stages(run, t, companies, start, skip, limit)
+        if split:
+            put("split_rows", write_split(run, t, p), ())
+    else:
+        before = open_run(spark, out_dir, p, batch_id)
+        run.stages |= {k: v for k, v in before.stages.items() if k in ("matched", "untested", "control")}
     matched, open_rows = get("matched"), get("untested")
     an = analyse(None, p, main=M.main_rows(matched), negative=M.negative_invoices(matched), untested=open_rows)
     put("classified", an.classified)
@@ -226,6 +226,9 @@ def run_all(spark: SparkSession, t: dict[str, DataFrame], p: Params, out_dir: st
     put("verify_summary", V.verify_summary(get("verify")), ())
     rep = group_report(spark, get("stats"), p)
     for name in REPORTS:
-        paths[f"report_{name}"] = os.path.join(out_dir, f"report_{name}")
         put(f"report_{name}", getattr(rep, name), ())
-    return paths
+    return run.publish()
+
+
+__all__ = ["Analysis", "GroupReport", "Reconciled", "StageRun", "analyse", "build_lists", "group_report", "open_run", "read_stage",
+           "match_stages", "reconcile", "run_all", "scenario_extract", "stage_invoice_lines", "write_split", "write_stage"]

@@ -16,15 +16,17 @@ from pyspark.sql import functions as F
 
 from .. import oracle as O
 from ..config import fixture_params
+from ..operators import invoices as IV
 from ..operators import matching as M
 from ..operators import report as R
 from ..operators import scenarios as S
 from ..session import stage_dir
 from ..sources import extract as EX
 from ..sources.fixtures import fixture_tables, two_company_views
-from ..streaming.ingest import ingest_stream, read_ingested
+from ..streaming.ingest import ingest_stream, read_settled, settle
 from . import pipeline as PL
-from .catalog import _MATCH_SQL_COLS, _ST_COLS, MATCH_COLS, REGISTRY, UT_COLS, Ctx, _rates_select, q
+from . import stages as ST
+from .catalog import _HDR_SQL, _MATCH_SQL_COLS, _ST_COLS, MATCH_COLS, REGISTRY, UT_COLS, Ctx, _rates_select, q
 
 
 def scratch(c: Ctx, name: str) -> str:
@@ -138,12 +140,47 @@ def a15(c: Ctx):
     return n.groupBy("company").agg(F.sum("n").alias("rows"), (F.max("n") <= 50).alias("capped"))
 
 
-@q("a17_read_back", "SELECT VKORG company, VBELN FROM vbak WHERE VKORG >= '4100'")
+@q("a17_read_back", """SELECT VKORG company, VBELN, '10' batch FROM vbak WHERE VKORG >= '4100'
+  UNION ALL SELECT VKORG, VBELN, '9' FROM vbak""")
 def a17(c: Ctx):
+    """Batch 9, then batch 10 with fewer rows and an empty stage; a third run that is not published."""
     d, df = scratch(c, "a17"), vbak(c).withColumnRenamed("VKORG", "company")
-    PL.write_stage(df, d, c.p, batch_id="20250101")
-    PL.write_stage(df.where("company >= '4100'"), d, c.p, batch_id="20250102")
-    return PL.read_stage(c.spark, d, newest_batch=True).select("company", "VBELN")
+    nine, ten, stopped = (ST.StageRun(c.spark, d, c.p, b) for b in ("9", "10", "11"))
+    nine.put("orders", df)
+    nine.publish()
+    ten.put("orders", df.where("company >= '4100'"))
+    ten.put("none", df.where("false"))
+    ten.publish()
+    stopped.put("orders", df.where("company < '4100'"))
+    last = ST.open_run(c.spark, d, c.p)
+    if not last.get("none").isEmpty():
+        raise AssertionError("an empty stage has rows")
+    got = [r.get("orders").select("company", "VBELN", F.lit(r.batch_id).alias("batch")) for r in (last, ST.open_run(c.spark, d, c.p, "9"))]
+    return S.union_all(got)
+
+
+_SPLIT_SQL = f"""
+, hc AS ({_HDR_SQL}), hm AS (SELECT DISTINCT "table", VBELN, company FROM hc WHERE company NOT IN ('UNKNOWN', 'UNMAPPED'))
+SELECT "table", company, VBELN, '' POSNR FROM hc WHERE company NOT IN ('UNKNOWN', 'UNMAPPED')
+UNION ALL SELECT l."table", hm.company, l.VBELN, l.POSNR FROM (SELECT 'VBAP' AS "table", 'VBAK' AS ht, VBELN, POSNR FROM vbap
+  UNION ALL SELECT 'LIPS', 'LIKP', VBELN, POSNR FROM lips UNION ALL SELECT 'VBRP', 'VBRK', VBELN, POSNR FROM vbrp) l
+  JOIN hm ON hm."table" = l.ht AND hm.VBELN = l.VBELN"""
+
+
+@q("a10_split_written", _SPLIT_SQL)
+def a10_written(c: Ctx):
+    """The six tables written by company code and read back."""
+    p = c.p.with_(company_by="bukrs")
+    run = ST.StageRun(c.spark, scratch(c, "a10"), p)
+    counts = {(r["table"], r["status"]): r["rows"] for r in PL.write_split(run, c.t, p).collect()}
+    run.publish()
+    got = []
+    for n in PL.TABLES:
+        df = ST.open_run(c.spark, run.folder, p).get(f"split_{n}")
+        if df.count() != counts.get((n, "kept"), 0):
+            raise AssertionError(f"{n}: rows written are not the rows counted")
+        got.append(df.select(F.lit(n).alias("table"), "company", "VBELN", df["POSNR"] if "POSNR" in df.columns else F.lit("").alias("POSNR")))
+    return S.union_all(got)
 
 
 _LISTS_SQL = f"""
@@ -179,20 +216,64 @@ def k1(c: Ctx):
     return lists(c, "k1", orders=False, delivery_full=True)
 
 
-@q("i1_incremental_ingest", "SELECT VBELN, VKORG, NETWR::DOUBLE NETWR, BUKRS_VF company FROM vbak")
+_I1_SQL = f"""SELECT 'VBAK' AS "table", VBELN, '' POSNR, BUKRS_VF company FROM vbak
+UNION ALL SELECT 'VBRK', VBELN, '', BUKRS FROM vbrk
+UNION ALL SELECT 'VBAP', l.VBELN, l.POSNR, h.BUKRS_VF FROM vbap l JOIN vbak h USING (VBELN)
+UNION ALL SELECT 'LIKP', VBELN, '', m.BUKRS FROM likp JOIN (
+  SELECT VKORG, BUKRS FROM (SELECT VKORG, BUKRS, row_number() OVER (PARTITION BY VKORG ORDER BY r DESC, o DESC) rn
+   FROM (SELECT VKORG, BUKRS_VF BUKRS, 0 r, VBELN o FROM vbak UNION ALL SELECT VKORG, BUKRS, 1, VBELN FROM vbrk) u) WHERE rn = 1) m USING (VKORG)"""
+
+
+@q("i1_incremental_ingest", _I1_SQL)
 def i1(c: Ctx):
+    """Headers in two parts of different layouts; all lines and delivery headers arrive before the
+    second part, so half of the lines are late; an idle run; a settling that runs twice."""
     d = scratch(c, "i1")
     odd = F.col("VBELN").cast("bigint") % 2 == 1
+    code = {"VBAK": "BUKRS_VF", "VBRK": "BUKRS"}
 
-    def run():
-        ingest_stream(c.spark, f"{d}/landing", "VBAK", f"{d}/vbak", company_col="BUKRS_VF", checkpoint=f"{d}/checkpoint").awaitTermination()
+    def run(table: str) -> None:
+        how = {"company_col": code[table]} if table in code else {"company_map": f"{d}/VBAK"} if table == "VBAP" else {}
+        ingest_stream(c.spark, f"{d}/landing", table, f"{d}/{table}", checkpoint=f"{d}/checkpoint-{table}", **how).awaitTermination()
 
+    vbrk = c.t["VBRK"].select("MANDT", "VBELN", "VKORG", "BUKRS")
     put_parts(c, vbak(c).where(odd), f"{d}/landing", "VBAK")
-    run()
+    put_parts(c, vbrk.where(odd), f"{d}/landing", "VBRK")
+    put_parts(c, c.t["VBAP"].select("MANDT", "VBELN", "POSNR", "NETWR"), f"{d}/landing", "VBAP")
+    put_parts(c, c.t["LIKP"].select("MANDT", "VBELN", "VKORG"), f"{d}/landing", "LIKP")
+    for table in ("VBAK", "VBRK", "VBAP", "LIKP"):
+        run(table)
+
+    def settled() -> None:
+        settle(c.spark, f"{d}/VBAP", headers=f"{d}/VBAK")
+        settle(c.spark, f"{d}/LIKP", vbak=f"{d}/VBAK", vbrk=f"{d}/VBRK")
+
+    settled()
     put_parts(c, vbak(c).where(~odd).select(*VBAK[::-1]), f"{d}/landing", "VBAK", 1001)
-    run()
-    run()  # nothing new
-    return read_ingested(c.spark, f"{d}/vbak").select("VBELN", "VKORG", "NETWR", "company")
+    put_parts(c, vbrk.where(~odd), f"{d}/landing", "VBRK", 1001)
+    for table in ("VBAK", "VBRK", "VBRK"):  # the last has nothing new
+        run(table)
+    settled()
+    settled()
+    got = []
+    for table in ("VBAK", "VBRK", "VBAP", "LIKP"):
+        df = read_settled(c.spark, f"{d}/{table}")
+        got.append(df.select(F.lit(table).alias("table"), "VBELN", df["POSNR"] if table == "VBAP" else F.lit("").alias("POSNR"), "company"))
+    return S.union_all(got)
+
+
+@q("b16_staged_by_month", f"""
+, hd AS (SELECT MANDT, VBELN, min({O.DT('FKDAT')}) d FROM vbrp GROUP BY MANDT, VBELN)
+SELECT l.VBELN, l.POSNR FROM vbrp l JOIN hd USING (MANDT, VBELN)
+WHERE (CASE WHEN l.POSNR::BIGINT % 20 = 0 THEN hd.d ELSE {O.DT('l.FKDAT')} END) BETWEEN DATE '{O._IF}' AND DATE '{O._IL}'""")
+def b16_staged(c: Ctx):
+    """Every other line has its date on the header only; staged by month, read by period."""
+    dates = c.t["VBRP"].groupBy("MANDT", "VBELN").agg(F.min("FKDAT").alias("FKDAT"))
+    vbrk = c.t["VBRK"].drop("FKDAT").join(dates, ["MANDT", "VBELN"], "left")
+    bare = F.col("POSNR").cast("bigint") % 20 == 0
+    vbrp = c.t["VBRP"].withColumn("FKDAT", F.when(~bare, F.col("FKDAT")))
+    t = PL.stage_invoice_lines(c.spark, {"VBRK": vbrk, "VBRP": vbrp}, scratch(c, "b16"), c.p)
+    return IV._period_lines(t["VBRK"], t["VBRP"], c.p).select("VBELN", "POSNR")
 
 
 # ---------------------------------------------------------------------------
@@ -230,14 +311,33 @@ def k4(c: Ctx):
     return R.company_match_rate(stored_stats(c, "k4"), c.p, "reported").drop("_raw_pct_amt")
 
 
-@q("k5_run_all_rerun", _rates_select("(SELECT * FROM sb WHERE company IN (SELECT company FROM (SELECT company FROM mt UNION SELECT company FROM ut) "
-   "ORDER BY company LIMIT 10))", 80.0, 60.0))
+_FIRST_TEN = "SELECT company FROM (SELECT VKORG company FROM vbak UNION SELECT VKORG FROM likp UNION SELECT VKORG FROM vbrk) ORDER BY company LIMIT 10"
+
+
+@q("k5_run_all_rerun", f"SELECT '9' batch, * FROM ({_rates_select('sb', 80.0, 60.0)}) UNION ALL SELECT '10', * FROM ("
+   + _rates_select(f"(SELECT * FROM sb WHERE company IN ({_FIRST_TEN}))", 80.0, 60.0) + ")")
 def k5(c: Ctx):
-    """A run over all companies, then one of the first ten into the same folder."""
+    """Batch 9 over all companies, then batch 10 of the first ten into the same folder; both batches' rates."""
     d = scratch(c, "k5")
-    PL.run_all(c.spark, c.t, c.p, out_dir=d, batch_id="1")
-    paths = PL.run_all(c.spark, c.t, c.p, out_dir=d, batch_id="2", limit=10)
-    return PL.read_stage(c.spark, paths["report_rates"], newest_batch=True).drop("batch_id")
+    PL.run_all(c.spark, c.t, c.p, out_dir=d, batch_id="9")
+    PL.run_all(c.spark, c.t, c.p, out_dir=d, batch_id="10", limit=10)
+    return S.union_all([PL.open_run(c.spark, d, c.p, b).get("report_rates").select(F.lit(b).alias("batch"), "*") for b in ("9", "10")])
+
+
+@q("d24_control_of_chosen", f"""
+SELECT (SELECT count(*) FROM mt WHERE company IN ({_FIRST_TEN}))::BIGINT rows_out,
+  (SELECT count(*) FROM ip WHERE VKORG IN ({_FIRST_TEN}))::BIGINT invoice_keys, 0::BIGINT fan_out,
+  (SELECT count(*) FROM mt WHERE is_negative AND company IN ({_FIRST_TEN}))::BIGINT negative_rows,
+  (SELECT sum(inv_amt) FROM ip WHERE VKORG IN ({_FIRST_TEN}))::DOUBLE invoice_total,
+  (SELECT count(*) FROM ok WHERE n_materials > 1 AND VKORG IN ({_FIRST_TEN}))::BIGINT multi_material_keys,
+  (SELECT count(*) FROM vbak WHERE {O.ST('KUNNR')} IN (SELECT code FROM excl) AND VKORG IN ({_FIRST_TEN}))::BIGINT order_headers_excluded,
+  (SELECT count(*) FROM vbrk WHERE {O.ST('KUNAG')} IN (SELECT code FROM excl) AND VKORG IN ({_FIRST_TEN}))::BIGINT invoice_headers_excluded,
+  (SELECT count(*) - count(DISTINCT VBELN) FROM likp WHERE VKORG IN ({_FIRST_TEN}))::BIGINT duplicate_delivery_headers""")
+def d24_chosen(c: Ctx):
+    """The control figures of the first ten companies, counted by the stage writes."""
+    run = ST.StageRun(c.spark, scratch(c, "d24"), c.p)
+    PL.match_stages(run, c.t, limit=10)
+    return run.get("control")
 
 
 # ---------------------------------------------------------------------------

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Session settings the pipeline relies on.  ANSI stays on (Spark 4 default):
 # raw text goes through try_cast / try_to_date, so bad cells become null
@@ -66,3 +68,27 @@ def stage_dir(spark: SparkSession, name: str) -> str:
     """A folder for a written stage table under the shared checkpoint dir."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "stages", name)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet under the shared folder and read again: what
+    follows reads columns from there, and a lost executor repeats nothing before it."""
+    path = stage_dir(df.sparkSession, f"scratch/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def distributed_numbers(df: DataFrame, order: list, name: str = "position") -> DataFrame:
+    """``df`` with the 1-based place of each row in ``order`` over all rows, numbered where the
+    rows are: range partitions are sorted and written, their sizes (one row to a partition)
+    summed up, and each row adds its place in its partition.  Ties are numbered in any
+    order.  The result is not itself sorted across files."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    d = df.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint()
+    # checkpointed partitions keep their numbers and order
+    d = d.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_at"))
+    sizes = d.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.alias("a").join(sizes.alias("b"), F.col("b._part") < F.col("a._part"), "left").groupBy(
+        F.col("a._part").alias("_part")).agg(F.coalesce(F.sum("b._n"), F.lit(0)).alias("_before"))
+    return d.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_at") + 1).drop("_part", "_at", "_before")

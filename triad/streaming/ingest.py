@@ -14,21 +14,30 @@ run a batch again whose commit was lost; the second run writes the same rows to
 the same place, so no part is skipped or repeated.  A new checkpoint needs a new
 output folder.
 
-The stored company of a line is what the headers said at ingest.
-:func:`read_ingested` assigns it anew from all headers ingested by now, so a line
-whose header came later is not lost; for delivery headers it maps VKORG through
-the ingested order and invoice headers.
+The stored company of a line is what the headers said at ingest; a line whose header
+is not there yet goes to the folder ``company=UNMAPPED`` of its batch.  These
+folders are the index of late lines: :func:`settle` joins them alone, never the
+lines already settled, with the headers ingested by now.  Lines that find their company
+are added to the settled ones, the others are the next generation's late lines, and
+one small manifest makes the generation visible, so a settling that stops or runs
+again changes nothing.  :func:`read_settled` then reads without any join.
+:func:`read_ingested` assigns every company anew, for headers that have changed.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import EXTRACT_SEP, TABLE_FILE_GLOBS
+from ..plans import stages as ST
 from ..operators.company import UNKNOWN, UNMAPPED, assign_company_header, assign_company_line, vkorg_company
 from ..session import stage_dir
 from ..sources.extract import read_extract
@@ -42,7 +51,8 @@ def ingest_stream(spark: SparkSession, landing: str, table: str, out: str, compa
     * ``company_col``: header tables — the company is this column's value;
     * ``company_map``: line tables — path of an ingested header table whose
       ``(VBELN, company)`` pairs assign the company (lines whose header is not
-      ingested yet are stored as ``UNMAPPED``; see :func:`read_ingested`);
+      ingested yet, or LIKP, which has no company of its own, are stored as
+      ``UNMAPPED``; see :func:`settle`);
     * rows with more fields than the header are dropped (A5), as in batch.
     """
     reader = (spark.readStream.format("binaryFile")
@@ -62,7 +72,7 @@ def ingest_stream(spark: SparkSession, landing: str, table: str, out: str, compa
         elif company_map is not None:
             df = assign_company_line(df, batch.sparkSession.read.parquet(company_map))
         else:
-            df = df.withColumn("company", F.lit("ALL"))
+            df = df.withColumn("company", F.lit(UNMAPPED if table == "LIKP" else "ALL"))
         # _ord (file, position) is stored so "keep first" works on the table
         (df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("company")
            .parquet(f"{out.rstrip('/')}/ingest_batch={batch_id}"))
@@ -90,4 +100,67 @@ def read_ingested(spark: SparkSession, out: str, headers: str | None = None, vba
     return df
 
 
-__all__ = ["UNKNOWN", "UNMAPPED", "ingest_stream", "read_ingested"]
+def _late(spark: SparkSession, out: str) -> tuple[int, list[int], dict | None]:
+    """The last generation, the batches after those it covers, and its manifest."""
+    base = out.rstrip("/")
+    names = [n for n in ST.list_names(spark, f"{base}/{ST.MANIFEST}") if n[0].isdigit()]
+    last = json.loads(ST.read_text(spark, f"{base}/{ST.MANIFEST}/{names[-1]}")) if names else None
+    batches = sorted(int(n.split("=")[1]) for n in ST.list_names(spark, base) if n.startswith("ingest_batch="))
+    return len(names), [b for b in batches if last is None or b > last["batch"]], last
+
+
+def _batches(spark: SparkSession, out: str, batches: list[int], schema: T.StructType) -> DataFrame:
+    folders = [f"{out.rstrip('/')}/ingest_batch={b}" for b in batches]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", out).parquet(*folders).select(schema.names)
+
+
+def _schema(spark: SparkSession, out: str) -> T.StructType:
+    fields = [f for f in spark.read.parquet(out).schema.fields if f.name not in ("company", "ingest_batch")]
+    return T.StructType([*fields, T.StructField("company", T.StringType())])
+
+
+def settle(spark: SparkSession, out: str, headers: str | None = None, vbak: str | None = None, vbrk: str | None = None) -> int:
+    """Give late lines their company: from the ingested header table ``headers`` (line tables), or
+    through the VKORG map of the ingested ``vbak`` and ``vbrk`` (LIKP).  Reads the late
+    lines only.  Returns the number of the generation."""
+    base = out.rstrip("/")
+    done, fresh, last = _late(spark, out)
+    if last is None and not fresh:
+        return 0
+    schema = _schema(spark, out)
+    late = _batches(spark, out, fresh, schema).where(F.col("company") == UNMAPPED)
+    if last is not None:
+        late = late.unionByName(spark.read.schema(schema).parquet(f"{base}/{last['late']}"))
+    late = late.drop("company")
+    if headers is not None:
+        late = assign_company_line(late, spark.read.parquet(headers))
+    else:
+        late = assign_company_header(late, "LIKP", "bukrs", vkorg_company(spark.read.parquet(vbak), spark.read.parquet(vbrk)))
+    made = f"_settled-{uuid.uuid4().hex}"
+    late.select(schema.names).withColumn("late", F.col("company") == UNMAPPED).write.partitionBy("late").parquet(f"{base}/{made}")
+    entry = {"batch": max([*fresh, last["batch"] if last else -1]), "late": f"{made}/late=true",
+             "settled": [*(last["settled"] if last else []), f"{made}/late=false"]}
+    for part in (entry["late"], entry["settled"][-1]):          # a folder that got no row
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{part}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    ST.publish_text(spark, f"{base}/{ST.MANIFEST}", json.dumps(entry), lambda names: f"{done + 1:010d}-settled.json")
+    return done + 1
+
+
+def read_settled(spark: SparkSession, out: str) -> DataFrame:
+    """The ingested table with the companies settled by now; late lines are UNMAPPED.  No join."""
+    base = out.rstrip("/")
+    _, fresh, last = _late(spark, out)
+    schema = _schema(spark, out)
+    every = sorted(int(n.split("=")[1]) for n in ST.list_names(spark, base) if n.startswith("ingest_batch="))
+    if last is None:
+        return _batches(spark, out, every, schema)
+    covered = _batches(spark, out, [b for b in every if b not in fresh], schema).where(F.col("company") != UNMAPPED)
+    parts = [covered, _batches(spark, out, fresh, schema)]
+    parts += [spark.read.schema(schema).parquet(f"{base}/{p}") for p in (*last["settled"], last["late"])]
+    return reduce(DataFrame.unionByName, parts)
+
+
+__all__ = ["UNKNOWN", "UNMAPPED", "ingest_stream", "read_ingested", "read_settled", "settle"]
