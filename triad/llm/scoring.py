@@ -282,9 +282,7 @@ def op1_cross_entropy_difference(spark, sf_dir: str) -> DataFrame:
     return score(rows, train(rows)).select("doc_id", "target", "n_words", *[F.round(c, 6).alias(c) for c in ("ce_target", "ce_background", "score")])
 
 
-#: Equal to op1 on up to 100,000 words; doubles are compared after rounding.  On
-#: more the SQL leaves out words under 1e-5 and bigrams under 2.5e-7 of the corpus,
-#: which op1 counts; with 0 for both shares it is equal at any size.
+#: Equal to op1 at any size; doubles are compared after rounding.
 OP1_SQL = r"""
 WITH good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL),
 src AS (SELECT row_number() OVER () AS r, d.doc_id, g.doc_id IS NOT NULL AS target,
@@ -293,13 +291,12 @@ src AS (SELECT row_number() OVER () AS r, d.doc_id, g.doc_id IS NOT NULL AS targ
 tok AS (SELECT r, target, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM src),
 tot AS (SELECT count(*) FILTER (target) AS nt, count(*) FILTER (NOT target) AS nb, count(*) AS n FROM tok),
 sc AS (SELECT nt, nb, n, least(nt, nb) / greatest(nt, 1)::DOUBLE AS st, least(nt, nb) / greatest(nb, 1)::DOUBLE AS sb FROM tot),
-vocab AS (SELECT w, row_number() OVER (ORDER BY w) AS id FROM tok GROUP BY w HAVING count(*) >= 1e-5::DOUBLE * (SELECT n FROM tot)),
+vocab AS (SELECT w, row_number() OVER (ORDER BY w) AS id FROM tok GROUP BY w),
 ids AS (SELECT r, target, i, coalesce(id, 0) AS id, lag(coalesce(id, 0)) OVER (PARTITION BY r ORDER BY i) AS h
         FROM tok LEFT JOIN vocab USING (w)),
 uni AS (SELECT id, count(*) FILTER (target) AS t, count(*) FILTER (NOT target) AS b FROM ids GROUP BY id),
 size AS (SELECT count(*) + 1 AS v FROM vocab),
-pairs AS (SELECT h, id, count(*) FILTER (target) AS t, count(*) FILTER (NOT target) AS b FROM ids WHERE h IS NOT NULL
-          GROUP BY h, id HAVING count(*) >= 2.5e-7::DOUBLE * (SELECT n FROM tot)),
+pairs AS (SELECT h, id, count(*) FILTER (target) AS t, count(*) FILTER (NOT target) AS b FROM ids WHERE h IS NOT NULL GROUP BY h, id),
 ctx AS (SELECT h, sum(t)::BIGINT AS t, sum(b)::BIGINT AS b FROM pairs GROUP BY h),
 ow AS (SELECT r, id, count(*) AS m FROM ids GROUP BY r, id),
 op AS (SELECT r, h, id, count(*) AS m FROM ids SEMI JOIN pairs USING (h, id) GROUP BY r, h, id),
