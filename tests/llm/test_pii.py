@@ -18,7 +18,7 @@ def slow_spans(text):
         if 14 <= len(d) <= 19 and total % 10 == 0:
             out.append((*m.span(), 2))
     out += [(*m.span(), 3) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
-    return sorted(out)
+    return sorted(out, key=lambda s: (s[0], s[2], s[1]))
 
 
 @settings(max_examples=800, deadline=None)
@@ -96,3 +96,18 @@ def test_identifiers_with_blanks(spark):
 
 def test_long_address_parts():
     assert P.base_spans("1.2.3." + "9" * 5000) == [] and P.base_spans("1.2.3." + "0" * 5000 + "255")[0][2] == 1
+
+
+def test_one_start_is_ordered_by_kind(spark, tmp_path):
+    """Written out by hand: start, then email, ip, card, phone."""
+    rows = [(1, "4111111111111111@mail.example.com", "en", "s"), (2, "to 1.2.3.4@x.com", "en", "s")]
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.spans, r.base_sha256) for r in P.op5_bootstrapped_pii(spark, str(tmp_path)).collect()}
+    want = {1: "email:0:33,card:0:16", 2: "email:3:16,ip:3:10"}
+    assert got == {i: (s, hashlib.sha256(s.encode()).hexdigest()) for i, s in want.items()}
+
+
+def test_context_words_are_whole():
+    long = "w" * 1000
+    assert P.words_before(f"{long} {long} 5", 2002, 120) == [long, long] and P.word_after(f"5 {long} x", 1, 120) == [long]
+    assert P.words_before("a  b", 4, 1) == ["a", "b"] and P.words_before("", 0, 5) == [] and P.word_after("x", 1, 5) == []

@@ -36,7 +36,6 @@ from triad.llm.common import columns, cut, slices
 
 #: The kinds in their order.
 KINDS = ("email", "ip", "card", "phone")
-LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
@@ -46,7 +45,6 @@ DIGIT = re.compile(r"[0-9]")
 POSSIBLE = re.compile(r"[^\s0-9@]*[0-9@]\S*")
 RUN = re.compile(r"(?<!\w)[+(]?(?<!\w)[0-9][\x20().0-9-]*[0-9](?![\w@])")
 EDGE = "!\"#$%&'()*+,-./:;<=>?[\\]^_`{|}~"
-LEFT = re.compile(r"(\S+)\s*\Z")
 
 
 @dataclass(frozen=True)
@@ -55,7 +53,7 @@ class Bootstrap:
     support: int = 5             # different reliable instances of a pattern
     confidence: float = 0.9      # of a pattern
     accept: float = 0.95         # reliability of an instance that gives spans
-    reach: int = 120             # characters looked at for words on either side
+    reach: int = 120             # characters first looked at for words on either side; more if a word is longer
 
 
 def luhn(digits: str) -> bool:
@@ -102,7 +100,12 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
                 out.append((*m.span(), 2))
         if "+" in text:
             out += [(*m.span(), 3) for m in PHONE.finditer(text) if 10 <= len(digits(m[0])) <= 15]
-    return sorted(out)
+    return sorted(out, key=by_start_and_kind)
+
+
+def by_start_and_kind(span: tuple[int, int, int]) -> tuple[int, int, int]:
+    start, end, kind = span
+    return start, kind, end
 
 
 def forms(token: str) -> list[int]:
@@ -120,10 +123,27 @@ def forms(token: str) -> list[int]:
     return out
 
 
+def words_before(text: str, start: int, reach: int) -> list[str]:
+    """The last two words before ``start``, whole however long."""
+    while True:
+        words = text[max(0, start - reach):start].split()
+        if reach >= start or len(words) > 2:
+            return words[-2:]
+        reach *= 2
+
+
+def word_after(text: str, end: int, reach: int) -> list[str]:
+    while True:
+        words = text[end:end + reach].split()
+        if end + reach >= len(text) or len(words) > 1:
+            return words[:1]
+        reach *= 2
+
+
 def around(text: str, start: int, end: int, reach: int) -> list[str]:
     """The lexical patterns of a span: words in lower case without outer marks."""
-    left = [w.strip(EDGE).lower() or w for w in text[max(0, start - reach):start].split()[-2:]]
-    right = [w.strip(EDGE).lower() or w for w in text[end:end + reach].split()[:1]]
+    left = [w.strip(EDGE).lower() or w for w in words_before(text, start, reach)]
+    right = [w.strip(EDGE).lower() or w for w in word_after(text, end, reach)]
     left = ["#" if DIGIT.search(w) else w for w in left]
     right = ["#" if DIGIT.search(w) else w for w in right]
     out = [f"L {left[-1]}"] if left else ["L ^"]
@@ -234,9 +254,10 @@ def personal_data(docs: DataFrame, p: Bootstrap = Bootstrap()) -> DataFrame:
     rows = cut(scan(docs, p))
     new = added_spans(rows, p)
     base = rows.select("doc_id", "text_hash", "spans")
+    every = F.concat("spans", F.coalesce("added", F.array().cast(SPAN)))
+    by_kind = F.array_sort(F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))))
     return base.join(new, same_row(base, new), "left").select(
-        base["doc_id"], F.col("spans").alias("base"),
-        F.array_sort(F.concat("spans", F.coalesce("added", F.array().cast(SPAN)))).alias("_spans")).select(
+        base["doc_id"], F.col("spans").alias("base"), by_kind.alias("_spans")).select(
         "doc_id", "base", F.transform("_spans", lambda s: F.struct(s["start"], s["end"], s["kind"])).alias("spans"))
 
 
@@ -280,7 +301,7 @@ def redact(docs: DataFrame, p: Bootstrap = Bootstrap()) -> DataFrame:
             out = []
             for text, more in zip(b.column("text").to_pylist(), b.column("_added").to_pylist(), strict=True):
                 spans = base_spans(text) if text else []
-                spans = sorted(spans + [(s["start"], s["end"], s["kind"]) for s in more or []])
+                spans = sorted(spans + [(s["start"], s["end"], s["kind"]) for s in more or []], key=by_start_and_kind)
                 out.append(mask(text, spans) if spans else text)
             cols = {c: b.column(c) for c in names} | {"text": pa.array(out, pa.string())}
             if "n_chars" in cols:
