@@ -1,4 +1,5 @@
 import re
+import time
 from html import unescape
 
 from triad.llm import html as H
@@ -53,6 +54,37 @@ def test_density_finds_the_text_without_names():
     assert out.startswith("Head\n\nParagraph 0") and "Section" not in out and "Contact" not in out and out.count("Paragraph") == 6
 
 
+TEXT = "".join(f"<p>Paragraph {i} says a good deal about its matter, in plain words and at some length.</p>" for i in range(6))
+
+
+def test_names_are_weak_evidence():
+    """A form around the body, and names that only contain a word of menus."""
+    form = f'<body><form id="aspnetForm" action="./"><div><h1>Head</h1>{TEXT}</div><input name="x"><button>Send</button></form></body>'
+    assert H.main_text(form).startswith("Head\n\nParagraph 0") and H.main_text(form).endswith("length.")
+    bare = f"<body><form>{TEXT}<button>Send</button></form></body>"
+    assert H.main_text(bare).count("Paragraph") == 6 and "Send" not in H.main_text(bare)
+    for name in ("related-work", "market-share", "skip-lists", "header-files", "searchable"):
+        page = f'<body><ul class="menu"><li><a href=a>Home</a></ul><div class="{name}">{TEXT}</div><div><p>Another part, shorter.</p></div></body>'
+        assert H.main_text(page).count("Paragraph") == 6, name
+        assert "Home" not in H.main_text(page)
+    for name in ("ad-slot", "related-posts", "share-buttons", "cookieNotice", "newsletter_signup", "sidebar left", "reader-comments"):
+        page = f'<body><div><h1>Head</h1>{TEXT}<div class="{name}"><p>Not a part of it.</p></div></div></body>'
+        assert "Not a part" not in H.main_text(page) and H.main_text(page).count("Paragraph") == 6, name
+    assert "Your mail" not in H.main_text(f"<body><div>{TEXT}</div><form><p>Your mail address please</p></form></body>")
+
+
+def test_deep_and_broken_pages_take_linear_time():
+    deep = 20_000
+    pages = {"div": "<div>" * deep + "<p>end", "li": "<ul><li>" * deep + "end", "span": "<p><span>" * deep + "end", "button": "<p><button>" + "<div>" * deep + "end",
+             "ends": "<div>" * deep + "</b></i></p>" * deep + "end", "half": "<a " * 350_000, "quotes": "<a title=\"" * 100_000, "ticks": "<b '>" * 100_000 + "end",
+             "comments": "<!-" * 300_000, "bang": "<!x" * 300_000, "script": "<script>" + "</script " * 100_000, "article": "<article><div>" * deep + "end"}
+    for name, page in pages.items():
+        t = time.process_time()
+        out = H.main_text(page)
+        assert time.process_time() - t < 3, name
+        assert out.endswith("end") or name not in ("div", "li", "span", "ends", "ticks", "article"), name
+
+
 def test_edges(spark):
     rows = [(1, "u", None), (2, "u", ""), (3, None, "plain text"), (4, "u", "<p>open <b>bold <p>next"), (5, "u", "<div><!-- never closed"),
             (6, "u", "<p title=\"a>b\">x</p>" * 3), (7, "u", "<" * 50 + "a"), (None, None, "<p>" + "word " * 50_000), (8, "u", "<nav>only menu</nav>"),
