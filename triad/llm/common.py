@@ -7,6 +7,7 @@ such projections and cannot clash with the caller's.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -16,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triad.session import ensure_checkpoint_dir
+from triad.session import ensure_checkpoint_dir, stage_dir
 
 WHITE = b" \t\n\r\x0b\x0c"
 #: Ids and decisions are broadcast up to so many rows (16 MB); counted first.
@@ -34,6 +35,26 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+class Tables:
+    """Intermediate tables of one run of an operator, as Parquet in a folder of its own under the
+    shared one.  A table that nothing reads any more can go, so that rounds do not pile up."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder, self.paths = spark, stage_dir(spark, f"scratch/{name}-{uuid.uuid4().hex}"), {}
+
+    def put(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{len(self.paths)}"
+        df.write.option("compression", "zstd").parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = path, out
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for t in tables:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths[id(t)][0])
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def columns(df: DataFrame, **types: str) -> DataFrame:
     """Only the named columns of ``df``, cast."""
     return df.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in types.items()])

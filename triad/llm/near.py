@@ -14,9 +14,13 @@ components are found among their members by prefixes: with every set in one
 order, rare shingles first, two similar sets share one near their beginnings, and
 its places bound the overlap.  Strongly changed copies begin with shingles of
 their own, so they meet nobody, however large the group; only pairs at the
-threshold meet, and pass the same two tests.  No pair in a bucket is given up and
-none within a component is made.  Components come from alternating star
-contractions; no group, component or list of links reaches the driver or a task.
+threshold meet, and pass the same two tests: first each set with the partner of
+best estimate, then, where that did not join their components, with all
+others.  No pair in a bucket is given up and none within a component is made.
+Components come from alternating star contractions; no group, component or list of
+links reaches the driver or a task.  Centers of large stars and large buckets are hot
+keys; they are joined by ``spread_join``.  Classes are numbered, links are pairs of
+numbers, and every intermediate table goes when the next one stands.
 
 Defined results.  Words are runs of anything but ASCII white space, A-Z in lower
 case.  A text with fewer words than a shingle is one shingle; null, empty or
@@ -37,7 +41,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from triad.llm.common import ID_BROADCAST_ROWS, IDENTITY, columns, cut, mix, raw, slices, with_decision
+from triad.llm.common import ID_BROADCAST_ROWS, IDENTITY, Tables, columns, cut, mix, raw, slices, spread_join, with_decision
 from triad.llm.words import Hashes, shingle_set
 
 
@@ -122,7 +126,7 @@ def signatures(docs: DataFrame, p: Near) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, p: Near) -> DataFrame:
-    """node and the full sorted set of every row's text."""
+    """print (fingerprint) and the full sorted set of every row's text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Hashes()
@@ -131,9 +135,9 @@ def shingle_sets(docs: DataFrame, p: Near) -> DataFrame:
             sets = [s for s in sets if len(s)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "shingles"])
+                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["print", "shingles"])
 
-    return docs.mapInArrow(run, "node binary, shingles array<long>")
+    return docs.mapInArrow(run, "print binary, shingles array<long>")
 
 
 def odd_estimate(p: Near) -> Column:
@@ -147,20 +151,24 @@ def odd_estimate(p: Near) -> Column:
 def linked(pairs: DataFrame, sets: DataFrame, p: Near) -> DataFrame:
     """The (a, b) pairs whose odd sketches and then full sets are similar enough.
 
-    Next to the sketches a pair first carries half of each hash, whose overlap may
-    fall short by the few hashes that share a half; what passes gets the full sets."""
+    A pair that passes the sketches first carries half of each hash: the sets share at
+    most what the halves share and what halves are repeated within either set.  What
+    passes gets the full sets."""
 
     def common(x: str, y: str) -> Column:
         return F.size(F.array_intersect(x, y))
 
-    half = sets.select("node", "n", "odd", F.transform("shingles", lambda h: h.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("half"))
-    both = pairs
+    about = pairs
     for k in "ab":
-        both = both.join(half.select(F.col("node").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in ("n", "odd", "half")]), k)
-    low, high = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    fits = (low * 100 >= high * p.percent) & (odd_estimate(p) >= p.percent / 100 - p.margin)
-    about = common("half_a", "half_b") + 1 + F.floor(low / 1000)
-    near = both.where(F.when(fits, about * 100 >= (F.col("n_a") + F.col("n_b") - about) * p.percent)).select("a", "b")
+        about = about.join(sets.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("odd").alias(f"odd_{k}")), k)
+    about = about.where((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * p.percent) & (odd_estimate(p) >= p.percent / 100 - p.margin))
+    about = about.select("a", "b", "n_a", "n_b")
+    half = F.array_distinct(F.transform("shingles", lambda h: h.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")))
+    half = sets.select("node", half.alias("half"), (F.col("n") - F.size(half)).alias("twice"))
+    for k in "ab":
+        about = about.join(half.select(F.col("node").alias(k), F.col("half").alias(f"half_{k}"), F.col("twice").alias(f"twice_{k}")), k)
+    most = common("half_a", "half_b") + F.least("twice_a", "twice_b")
+    near = about.where(most * 100 >= (F.col("n_a") + F.col("n_b") - most) * p.percent).select("a", "b")
     for k in "ab":
         near = near.join(sets.select(F.col("node").alias(k), F.col("shingles").alias(f"s_{k}")), k)
     same = common("s_a", "s_b")
@@ -171,7 +179,7 @@ def ordered(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def across(rows: DataFrame, p: Near) -> DataFrame:
+def across(rows: DataFrame, p: Near, tables: Tables) -> DataFrame:
     """(a, b) pairs of different roots that prefixes leave possible, from (node, root, shingles)."""
 
     def least_of(n: str) -> Column:
@@ -187,7 +195,7 @@ def across(rows: DataFrame, p: Near) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("node").orderBy("f", "token")) - 1
     begin = token.join(often, "token").select("node", "token", place.alias("place"))
     begin = begin.join(rows.select("node", "root", F.size("shingles").alias("n")), "node")
-    begin = cut(begin.where(F.col("place") <= F.col("n") - least_of("n")))
+    begin = tables.put(begin.where(F.col("place") <= F.col("n") - least_of("n")))
     # of each token: its most frequent root, and the least set that has it
     by = begin.groupBy("token", "root").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("n"))
     by = by.groupBy("token").agg(F.max(F.struct("k", "root")).alias("most"), F.min("n").alias("least"), F.count(F.lit(1)).alias("roots"))
@@ -202,14 +210,14 @@ def across(rows: DataFrame, p: Near) -> DataFrame:
     return pairs.select(*ordered("x", "node")).distinct()
 
 
-def stars(edges: DataFrame) -> DataFrame:
+def stars(edges: DataFrame, tables: Tables) -> DataFrame:
     """(node, root) of every node in a component except its smallest, by
     alternating large-star and small-star steps."""
 
     def least(e: DataFrame) -> DataFrame:
-        return e.groupBy("a").agg(F.min("b").alias("m"))
+        return e.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("k"))
 
-    e = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    e = tables.put(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     mark = None
     while True:
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -217,39 +225,65 @@ def stars(edges: DataFrame) -> DataFrame:
             return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
         mark = now
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = least(both).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        small = large.join(least(large), "a").select(
+        low = least(both).select("a", F.least("a", "m").alias("m"), "k")
+        large = spread_join(both, low, ["a"], "k", 2 * now[0]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        small = large.join(least(large).drop("k"), "a").select(
             F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        e = cut(small.select("e.*").where("a != b").distinct())
+        nxt = tables.put(small.select("e.*").where("a != b").distinct())
+        tables.drop(e)
+        e = nxt
 
 
-def components(classes: DataFrame, docs: DataFrame, p: Near) -> DataFrame:
+def components(classes: DataFrame, docs: DataFrame, p: Near, tables: Tables) -> DataFrame:
     """(node, root) of every class that is linked with a smaller one."""
-    keys = classes.select(F.explode("bands").alias("bucket"), "node")
-    center = keys.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("other")).where("center != other")
-    live = cut(keys.join(center.select("bucket", "center"), "bucket"))
-    nodes = cut(live.select("node").distinct())
-    sets = cut(shingle_sets(texts_of(nodes.join(classes, "node").select("doc_id").distinct(), docs), p)
-               .dropDuplicates(["node"]).join(nodes.join(classes.select("node", "n", "odd"), "node"), "node"))
+    keys = tables.put(classes.select(F.explode("bands").alias("bucket"), "node"))
+    center = keys.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("other"), F.count(F.lit(1)).alias("k"))
+    center = tables.put(center.where("center != other").select("bucket", "center", "k"))
+    live = tables.put(spread_join(keys, center, ["bucket"], "k", keys.count()).where("center IS NOT NULL"))
+    tables.drop(keys, center)
+    nodes = tables.put(live.select("node").distinct())
+    wanted = nodes.join(classes.select("node", "print", "doc_id", "n", "odd"), "node")
+    sets = shingle_sets(texts_of(wanted.select("doc_id").distinct(), docs), p).dropDuplicates(["print"])
+    sets = tables.put(sets.join(wanted.drop("doc_id"), "print").drop("print"))
+    tables.drop(nodes)
     spokes = live.where("node != center").select(*ordered("node", "center")).distinct()
-    edges = cut(linked(spokes, sets, p))
-    left = torn(live, edges)
+    edges = tables.put(linked(spokes, sets, p))
+    left = torn(live, edges, tables)
     degree = edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("k"))
     hub = left.join(degree, "node").groupBy("bucket").agg(F.max(F.struct("k", "node", "root")).alias("hub"))
-    spokes = left.join(hub, "bucket").where(F.col("root") != F.col("hub.root")).select("node", F.col("hub.node").alias("center"))
-    edges = cut(edges.unionByName(linked(spokes.select(*ordered("node", "center")).distinct(), sets, p)))
-    left = torn(live, edges).select("node", "root").distinct()
-    more = linked(across(left.join(sets.select("node", "shingles"), "node"), p), sets, p)
-    return stars(edges.unionByName(more))
+    size = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("w"))
+    hub = tables.put(hub.join(size, "bucket"))
+    spokes = spread_join(left, hub, ["bucket"], "w", left.count()).where(F.col("root") != F.col("hub.root"))
+    spokes = spokes.select("node", F.col("hub.node").alias("center"))
+    edges = tables.put(edges.unionByName(linked(spokes.select(*ordered("node", "center")).distinct(), sets, p)))
+    tables.drop(left, hub)
+    left = torn(live, edges, tables)
+    tables.drop(live)
+    open_ = tables.put(left.select("node", "root").distinct())
+    tables.drop(left)
+    pairs = tables.put(across(open_.join(sets.select("node", "shingles"), "node"), p, tables))
+    # each set with the partner that its sketch likes best, then what is still apart
+    odd = pairs
+    for k in "ab":
+        odd = odd.join(sets.select(F.col("node").alias(k), F.col("odd").alias(f"odd_{k}")), k)
+    odd = odd.select("a", "b", odd_estimate(p).alias("est")).select("a", "b", F.explode(F.array("a", "b")).alias("node"), "est")
+    best = odd.groupBy("node").agg(F.max(F.struct("est", "a", "b")).alias("e")).select("e.a", "e.b").distinct()
+    edges = tables.put(edges.unionByName(linked(best, sets, p)))
+    root = stars(edges, tables)
+    for k in "ab":
+        pairs = pairs.join(root.select(F.col("node").alias(k), F.col("root").alias(f"root_{k}")), k, "left")
+    pairs = pairs.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    return stars(edges.unionByName(linked(pairs, sets, p)), tables)
 
 
-def torn(live: DataFrame, edges: DataFrame) -> DataFrame:
+def torn(live: DataFrame, edges: DataFrame, tables: Tables) -> DataFrame:
     """(bucket, node, root) of the buckets that hold more than one component."""
-    now = live.select("bucket", "node").join(stars(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    now = cut(now)
-    parts = now.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-    return now.join(parts, "bucket", "left_semi")
+    now = live.select("bucket", "node").join(stars(edges, tables), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    now = tables.put(now)
+    parts = now.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("k"))
+    out = tables.put(spread_join(now, parts, ["bucket"], "k", now.count()).where("lo != hi").select("bucket", "node", "root"))
+    tables.drop(now)
+    return out
 
 
 def texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
@@ -262,17 +296,23 @@ def texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
 
 def placed(docs: DataFrame, p: Near) -> DataFrame:
     """doc_id, text_hash, n, root (null without shingles), component_id, kept of every row."""
-    sig = cut(signatures(docs, p))
+    tables = Tables(docs.sparkSession, "near")
+    sig = tables.put(signatures(docs, p))
     classes = sig.where(F.col("node").isNotNull()).groupBy("node").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("d"), F.max("n").alias("n"),
-        F.first("bands").alias("bands"), F.first("odd").alias("odd"))
-    classes = cut(classes.select("node", F.col("d.doc_id").alias("doc_id"), "n", "bands", "odd"))
-    root = components(classes, docs, p)
-    part = classes.select("node", "doc_id")
+        F.first("bands").alias("bands"), F.first("odd").alias("odd"), F.count(F.lit(1)).alias("rows"))
+    classes = tables.put(classes.select(
+        F.monotonically_increasing_id().alias("node"), F.col("node").alias("print"), F.col("d.doc_id").alias("doc_id"), "n", "bands", "odd", "rows"))
+    slim = tables.put(sig.select("doc_id", "text_hash", "n", "node"))
+    tables.drop(sig)
+    root = components(classes, docs, p, tables)
+    part = classes.select("node", "print", "doc_id", "rows")
     part = part.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = part.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    part = part.join(smallest, "root").select("node", "root", "component_id")
-    out = sig.select("doc_id", "text_hash", "n", "node").join(part, "node", "left")
+    smallest = part.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("k"))
+    part = spread_join(part, smallest, ["root"], "k", classes.count()).select(F.col("print").alias("node"), "root", "component_id", "rows")
+    some = F.col("node").isNotNull()
+    none = slim.where(~some).withColumns({"root": F.lit(None).cast("long"), "component_id": F.lit(None).cast("long")})
+    out = spread_join(slim.where(some), tables.put(part), ["node"], "rows", slim.count()).drop("rows").unionByName(none)
     cid = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "text_hash", "n", "root", cid.alias("component_id"), F.col("doc_id").eqNullSafe(cid).alias("kept"))
 
