@@ -34,7 +34,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +45,7 @@ from triad.llm.common import columns, mix, slices
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 BASE = np.uint64(0x100000001B3)
+PART = 200_000                   # chunks whose paths advance together
 U = np.uint64
 
 
@@ -77,6 +77,7 @@ class Pieces:
                 self.texts.append(b"" if sp.is_control(i) or sp.is_unknown(i) else piece.replace(BLANK, " ").encode())
                 if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                     normal.append((i, piece, sp.get_score(i)))
+        self.by_id = np.array(self.texts, dtype=object)
         if (self.byte_ids < 0).any():
             raise ValueError("the model has no byte pieces")
         if any(BLANK in x.lstrip(BLANK) or ("\n" in x and len(x) > 1) for _, x, _ in normal):
@@ -100,6 +101,7 @@ class Pieces:
         self.keys, self.values = keys[order], np.array(list(found.values()), dtype=np.int32)[order]
         self.first = np.searchsorted(spot[order], np.arange((1 << self.bits) + 1)).astype(np.int32)
         self.fullest = int(np.diff(self.first).max())
+        self.single = self.lookup(np.arange(1 << 14, dtype=np.uint64) + U(1))
 
     def lookup(self, h: np.ndarray) -> np.ndarray:
         """Piece id, -1 for what only begins a piece, -2 for anything else."""
@@ -118,8 +120,19 @@ class Pieces:
             at[left] += 1
         return out
 
-    def decode(self, ids: list[int]) -> str:
-        text = b"".join(map(self.texts.__getitem__, ids)).decode("utf-8", "replace")
+    def first_of(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and :meth:`lookup` of single characters, by a table of the common ones."""
+        h = code + U(1)
+        low = code < len(self.single)
+        if low.all():
+            return h, self.single[code.astype(np.int64)]
+        found = np.empty(len(code), dtype=np.int32)
+        found[low], found[~low] = self.single[code[low].astype(np.int64)], self.lookup(h[~low])
+        return h, found
+
+    def decode(self, ids) -> str:
+        """The text of a list or array of piece ids."""
+        text = b"".join(self.by_id[ids].tolist()).decode("utf-8", "replace")
         return text[1:] if text[:1] == " " else text
 
 
@@ -143,17 +156,19 @@ class Lattice:
         single = np.zeros(n, dtype=bool)
         starts, ends, ids, nths = [], [], [], []
         for length in range(1, pieces.longest + 1):
-            inside = at + np.int32(length - 1) < stop[at]
-            at, h = at[inside], h[inside]
-            if not len(at):
+            # no piece holds the separator, so a prefix never leaves its chunk
+            if length == 1:
+                h, found = pieces.first_of(self.code[at])
+            else:
+                h *= BASE
+                h += self.code[at + np.int32(length - 1)]
+                h += U(1)
+                found = pieces.lookup(h)
+            keep = np.flatnonzero(found > -2)
+            if not len(keep):
                 break
-            h *= BASE
-            h += self.code[at + np.int32(length - 1)]
-            h += U(1)
-            found = pieces.lookup(h)
-            keep = found > -2
             at, h, found = at[keep], h[keep], found[keep]
-            whole = found >= 0
+            whole = np.flatnonzero(found >= 0)
             start = at[whole]
             starts.append(start)
             ends.append(start + np.int32(length))
@@ -214,10 +229,14 @@ def gumbel(bits: np.ndarray) -> np.ndarray:
     return np.negative(u, out=u)
 
 
-def conditioned(g: np.ndarray, x: np.ndarray, top: np.ndarray) -> np.ndarray:
-    """Values x given that their maximum, which they miss by -top, is g."""
+def shortfall(g: np.ndarray, x: np.ndarray, top: np.ndarray) -> np.ndarray:
+    """What ranks values x, the smallest first, given that their maximum, which they miss by -top, is g."""
     with np.errstate(divide="ignore"):
-        v = g - x + np.log1p(-np.exp(np.minimum(top, -1e-7)))
+        return g - x + np.log1p(-np.exp(np.minimum(top, -1e-7)))
+
+
+def conditioned(g: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """The values themselves."""
     return g - np.maximum(v, 0.0) - np.log1p(np.exp(-np.abs(v)))
 
 
@@ -238,9 +257,9 @@ def unpacked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 class Walk:
     """One path for each text, from the given chunk states to the texts' ends, and
-    the ``k`` best siblings at each of its nodes."""
+    the best sibling at each of its nodes."""
 
-    def __init__(self, lat: Lattice, text: np.ndarray, occ: np.ndarray, node: np.ndarray, key: np.ndarray, root: np.ndarray, phi: np.ndarray, k: int):
+    def __init__(self, lat: Lattice, text: np.ndarray, occ: np.ndarray, node: np.ndarray, key: np.ndarray, root: np.ndarray, phi: np.ndarray):
         """State arrays by text and chunk; by text: key (32 bits), perturbed score and log-probability so far."""
         n = len(text)
         states = np.flatnonzero(~lat.last[node])
@@ -249,28 +268,16 @@ class Walk:
         now = node[states]
         salt = key[text] + occ.astype(np.uint32) * np.uint32(0x9E3779B1)
         while len(states):
-            cnt, first = lat.count[now], lat.first[now]
-            seg = np.cumsum(cnt, dtype=np.int32) - cnt
-            e = np.repeat(first - seg, cnt)
-            e += np.arange(len(e), dtype=np.int32)
-            h = salt[states] ^ (lat.place[now] * np.uint32(0x85EBCA77))
-            h = (h ^ (h >> np.uint32(15))) * np.uint32(0xC2B2AE3D)
-            x = gumbel(np.repeat(h, cnt) + lat.nth[e])
-            x += lat.logp32[e]
-            keys = packed(x, e)
+            keys, seg, shift = self.draws(lat, now, salt[states])
             top, best = unpacked(np.maximum.reduceat(keys, seg))
             paths.append((states, best))
-            spot = best - first + seg
-            for _ in range(k):
-                keys[spot] = WORST
-                high = np.maximum.reduceat(keys, seg)
-                some = np.flatnonzero(high > WORST)
-                value, edge = unpacked(high[some])
-                near.append((states[some], len(paths) - 1, edge, value, top[some]))
-                spot = edge - first[some] + seg[some]
+            keys[best - shift] = WORST
+            high = np.maximum.reduceat(keys, seg)
+            some = np.flatnonzero(high > WORST)
+            near.append((states[some], now[some], high[some], top[some]))
             steps[states] += 1
             now = lat.end[best]
-            go = ~lat.last[now]
+            go = np.flatnonzero(~lat.last[now])
             states, now = states[go], now[go]
         off = np.cumsum(steps) - steps
         total = int(steps.sum())
@@ -287,39 +294,60 @@ class Walk:
             run = np.cumsum(step_p[a:b])
             self.phi[a:b] = phi[t] + run - step_p[a:b]
             self.final[t] = phi[t] + run[-1]
-        sib = ([np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)])
-        for s, i, edge, value, top in near:
-            at = off[s] + i
-            x, t = value.astype(np.float64), top.astype(np.float64)
-            sib[0].append(edge)
-            sib[1].append(at)
-            sib[2].append(conditioned(root[self.text[at]], self.phi[at] + x, x - t))
-        self.sib_e, self.sib_at, self.sib_g = (np.concatenate(c) for c in sib)
+        self.lat, self.root, self.salt = lat, root, salt
+        parts = [(np.full(len(s), i), s, node_, high, top) for i, (s, node_, high, top) in enumerate(near)]
+        self.sib = [np.concatenate(c) if c else np.empty(0, t) for c, t in zip(
+            zip(*parts, strict=True) if parts else [()] * 5, (np.int64, np.int64, np.int32, np.int64, np.float32), strict=True)]
+        level, state = self.sib[0], self.sib[1]
+        self.sib_at = off[state] + level
+
+    @staticmethod
+    def draws(lat: Lattice, now: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Packed perturbed scores of the edges of the nodes ``now``, where each node's begin, and
+        by node the edge number less its place."""
+        cnt, first = lat.count[now], lat.first[now]
+        seg = np.cumsum(cnt, dtype=np.int32) - cnt
+        shift = first - seg
+        e = np.repeat(shift, cnt)
+        e += np.arange(len(e), dtype=np.int32)
+        h = salt ^ (lat.place[now] * np.uint32(0x85EBCA77))
+        h = (h ^ (h >> np.uint32(15))) * np.uint32(0xC2B2AE3D)
+        x = gumbel(np.repeat(h, cnt) + lat.nth[e])
+        x += lat.logp32[e]
+        return packed(x, e), seg, shift
+
+    def shortfalls(self, i) -> np.ndarray:
+        """What ranks the siblings ``i``."""
+        x, top = unpacked(self.sib[3][i])[0].astype(np.float64), self.sib[4][i].astype(np.float64)
+        at = self.sib_at[i]
+        return shortfall(self.root[self.text[at]], self.phi[at] + x, x - top)
 
     def best_siblings(self, n_texts: int, k: int) -> list[list[tuple]]:
-        """By text, the k siblings of highest value as (value, place on the path, edge)."""
+        """By text, the k siblings of highest value as (value, place on the path, edge).  Where a text
+        takes a node's best sibling, the next best one stands in for it."""
         out: list[list[tuple]] = [[] for _ in range(n_texts)]
-        g = self.sib_g.copy()
+        v = self.shortfalls(slice(None))
         owner = self.text[self.sib_at]
-        for _ in range(k):
-            top = np.full(n_texts, -np.inf)
-            np.maximum.at(top, owner, g)
-            hit = np.flatnonzero((g == top[owner]) & (g > -np.inf))
+        for r in range(k):
+            top = np.full(n_texts, np.inf)
+            np.minimum.at(top, owner, v)
+            hit = np.flatnonzero((v == top[owner]) & (v < np.inf))
             _, one = np.unique(owner[hit], return_index=True)
-            for i in hit[one]:
-                out[owner[i]].append((float(g[i]), int(self.sib_at[i] - self.bounds[owner[i]]), int(self.sib_e[i])))
-            g[hit[one]] = -np.inf
+            hit = hit[one]
+            g = conditioned(self.root[owner[hit]], v[hit])
+            for i, x, edge in zip(hit.tolist(), g.tolist(), unpacked(self.sib[3][hit])[1].tolist(), strict=True):
+                out[owner[i]].append((x, int(self.sib_at[i] - self.bounds[owner[i]]), edge))
+            v[hit] = np.inf
+            if r + 1 < k and len(hit):
+                keys, seg, _ = self.draws(self.lat, self.sib[2][hit], self.salt[self.sib[1][hit]])
+                taken = np.repeat(self.sib[3][hit], self.lat.count[self.sib[2][hit]])
+                keys[keys >= taken] = WORST
+                self.sib[3][hit] = nxt = np.maximum.reduceat(keys, seg)
+                some = hit[nxt > WORST]
+                v[some] = self.shortfalls(some)
         return out
 
 
-class Numbers(dict):
-    """Numbers things in the order in which they are first asked for."""
-
-    def __missing__(self, key):
-        self[key] = n = len(self)
-        return n
-
-
 CHUNK = re.compile(r" *[^ \n]+|\n| +")
 
 
@@ -345,16 +373,31 @@ def with_bytes(lat: Lattice, edges: np.ndarray, pieces: Pieces) -> np.ndarray:
     return ids
 
 
-def sample(texts: list[str], keys: np.ndarray, pieces: Pieces, p: Sampling) -> list[list[tuple]]:
-    """For each text its samples (ids, log-probability, perturbed score, log-inclusion)."""
-    n = len(texts)
-    number = Numbers()
-    chunks = [CHUNK.findall(" " + t.replace(BLANK, " ")) if t else [] for t in texts]
+def sample(texts: list[str], keys: np.ndarray, pieces: Pieces, p: Sampling, part: int = PART) -> list[list[tuple]]:
+    """For each text its samples (ids, log-probability, perturbed score, log-inclusion).  All texts
+    share one lattice; the paths of about ``part`` chunks advance together."""
+    cuts = [CHUNK.findall(" " + t.replace(BLANK, " ")) if t else [] for t in texts]
+    different: dict[str, int] = {}
+    for c in cuts:
+        different.update(dict.fromkeys(c))
+    lat = Lattice(list(different), pieces)
+    number = dict(zip(different, range(len(different)), strict=True)).__getitem__
+    chunks = [np.fromiter(map(number, c), dtype=np.int32, count=len(c)) for c in cuts]
+    del cuts, different, number
+    ends = np.cumsum([len(c) for c in chunks], dtype=np.int64) // part
+    starts = np.flatnonzero(np.r_[True, ends[1:] != ends[:-1]]) if len(ends) else []
+    out = []
+    for i, j in zip(starts, [*starts[1:], len(texts)], strict=True):
+        out += paths_of(chunks[i:j], keys[i:j], lat, pieces, p)
+    return out
+
+
+def paths_of(chunks: list[np.ndarray], keys: np.ndarray, lat: Lattice, pieces: Pieces, p: Sampling) -> list[list[tuple]]:
+    """The samples of some texts, given as numbers of chunks of the lattice."""
+    n = len(chunks)
     size = np.array([len(c) for c in chunks], dtype=np.int64)
     begin = np.cumsum(size) - size
-    chunk = np.fromiter(map(number.__getitem__, chain.from_iterable(chunks)), dtype=np.int64, count=int(size.sum()))
-    del chunks
-    lat = Lattice(list(number), pieces)
+    chunk = np.concatenate(chunks)
     root = gumbel((keys >> U(32)).astype(np.uint32)).astype(np.float64)
     prefix = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))] * n
     paths: list[list[tuple]] = [[] for _ in range(n)]   # (edges, occ, phi, final, g)
@@ -363,7 +406,7 @@ def sample(texts: list[str], keys: np.ndarray, pieces: Pieces, p: Sampling) -> l
     phi, alive = np.zeros(n), np.ones(n, dtype=bool)
     for r in range(p.k):
         low = (mix(keys + U(r + 1)) & U(0xFFFFFFFF)).astype(np.uint32)
-        walk = Walk(lat, text, occ, node, low, root, phi, p.k - r)
+        walk = Walk(lat, text, occ, node, low, root, phi)
         near = walk.best_siblings(n, p.k - r)
         for t in np.flatnonzero(alive):
             a, b = walk.bounds[t], walk.bounds[t + 1]
@@ -413,14 +456,14 @@ def encode(docs: DataFrame, p: Sampling = Sampling()) -> DataFrame:
                                ("log_inclusion", pa.float64()), ("round_trip", pa.bool_())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 1 << 20):
+        for b in slices(batches, "text", 4 << 20):
             texts = b.column("text").to_pylist()
             at = [i for i, t in enumerate(texts) if t is not None]
             keys = b.column("row_key").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)[at]
             found: list = [None] * len(texts)
             for i, rows in zip(at, sample([texts[i] for i in at], mix(keys), pieces, p) if at else [], strict=True):
                 plain = texts[i].replace(BLANK, " ")
-                found[i] = [{"ids": ids, "log_prob": lp, "perturbed": g, "log_inclusion": inc, "round_trip": pieces.decode(ids.tolist()) == plain}
+                found[i] = [{"ids": ids, "log_prob": lp, "perturbed": g, "log_inclusion": inc, "round_trip": pieces.decode(ids) == plain}
                             for ids, lp, g, inc in rows]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(found, kind)], names=["doc_id", "samples"])
 
@@ -434,7 +477,7 @@ def decode(rows: DataFrame, ids: str = "ids", p: Sampling = Sampling()) -> DataF
 
     @F.pandas_udf("string")
     def text(x):
-        return x.map(lambda v: None if v is None else pieces.decode(list(v)))
+        return x.map(lambda v: None if v is None else pieces.decode(np.asarray(v, dtype=np.int64)))
 
     return rows.withColumn("text", text(F.col(ids)))
 
