@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 
 from edge import ROWS, documents
@@ -74,6 +75,26 @@ def test_edges(spark):
     assert {r.lang_pred for r in G.predict(docs, nothing).collect()} == {"und"}
 
 
+def test_spark_sets_the_bits_of_every_owned_ngram(spark):
+    """The learned table equals one built from a naive count; nothing is left out as a corpus grows."""
+    rows = [(i, f"alpha beta w{chr(97 + i % 26)}{chr(97 + i // 26)}x", "en" if i % 2 else "de", "s") for i in range(400)]
+    docs = documents(spark, rows)
+    f = G.Filters()
+    count = {}
+    for _, text, lang, _ in rows:
+        for g in G.ngrams([text], f.order)[0].tolist():
+            count[lang, g] = count.get((lang, g), 0) + 1
+    total = {x: sum(v for (a, _), v in count.items() if a == x) for x in ("de", "en")}
+    best = {}
+    for (lang, g), v in count.items():
+        best[g] = max(best.get(g, 0), v / total[lang])
+    owned = {x: np.array([g for (a, g), v in count.items() if a == x and v >= 2 and v / total[x] >= f.stray * best[g]], dtype=np.uint64) for x in ("de", "en")}
+    model, want = G.learn(docs, f), G.Sliced(owned, f.sized(max(map(len, owned.values()))))
+    assert model.langs == want.langs and model.f == want.f and (model.rate == want.rate).all()
+    assert all((a == b).all() for a, b in zip(model.tables, want.tables, strict=True))
+    assert f.sized(10**12).slots == f.most_slots and f.sized(10**6).slots >= 12 * 10**6
+
+
 @pytest.mark.parametrize("doc_id, held", [("0", None), ("17", None)])
 def test_fold_is_crc32_of_text(spark, doc_id, held):
     import zlib

@@ -1,11 +1,15 @@
 """Language identification by bit-sliced Bloom filters of character n-grams.
 
 Training counts every n-gram of every training text by language (summed in the
-tasks, then by Spark).  A language owns the n-grams that make up at least
-``share`` of its own, so it owns at most 1 / share, at any size of corpus, and
-stray words of other languages stay out.  All filters lie in one table: a slot is
-a word with a bit for each language, and the AND of an n-gram's slots is the set
-of languages that contain it.  A text's score for a language is the share of its
+tasks, then by Spark).  A language owns every n-gram that it has ``least`` times or
+more, unless the n-gram's share of the language is under ``stray`` of its share of
+another one: so stray words of other languages stay out, and no n-gram goes because the
+corpus grows.  All filters lie in one table: a slot is a word with a bit for each
+language, and the AND of an n-gram's slots is the set of languages that contain it.
+Spark sets the bits (by slot, combined map-side) and only the finished table is gathered: it
+has as many slots as the language with most n-grams needs for ``wrong`` false positives, up
+to ``most_slots``, which bounds what is broadcast; beyond that no n-gram is left
+out, only the rate of false positives rises.  A text's score for a language is the share of its
 n-grams with that bit, corrected for the filter's false positives
 ((share - rate) / (1 - rate)); the largest wins.
 
@@ -20,9 +24,10 @@ prediction is ``und``.
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
@@ -30,16 +35,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from triad.llm.common import columns, mix, slices
+from triad.llm.common import columns, cut, mix, slices
 from triad.llm.words import PLACES
 
 
 @dataclass(frozen=True)
 class Filters:
     order: int = 4
-    share: float = 1e-5
-    slots: int = 1 << 21         # a power of two
+    least: int = 2               # occurrences of an n-gram in a language that owns it
+    stray: float = 0.02
+    wrong: float = 0.01          # false positives of the fullest filter
     hashes: int = 3
+    slots: int = 1 << 21         # a power of two; learn() sets it
+    most_slots: int = 1 << 25
+
+    def sized(self, grams: int) -> "Filters":
+        need = -self.hashes * grams / math.log1p(-self.wrong ** (1 / self.hashes))
+        return replace(self, slots=min(self.most_slots, 1 << max(12, math.ceil(math.log2(max(need, 1))))))
 
 
 @lru_cache(maxsize=1)
@@ -114,19 +126,35 @@ class Sliced:
     """The filters of all languages in one table; 64 languages to a word."""
 
     def __init__(self, owned: dict[str, np.ndarray], f: Filters):
-        self.f = f
-        self.langs = sorted(owned)
-        kind = next((t for t in (np.uint8, np.uint16, np.uint32) if len(self.langs) <= np.iinfo(t).bits), np.uint64)
-        bits = np.iinfo(kind).bits
-        self.tables = [np.zeros(f.slots, dtype=kind) for _ in range(0, len(self.langs), bits)]
-        self.bit = [(i // bits, kind(i % bits)) for i in range(len(self.langs))]
-        self.rate = np.zeros(len(self.langs))
+        self.shape(sorted(owned), f)
         for i, lang in enumerate(self.langs):
-            mask = kind(1) << self.bit[i][1]
+            mask = self.kind(1) << self.bit[i][1]
             for s in self.spots(owned[lang]):
                 self.tables[self.bit[i][0]][s] |= mask  # equal spots set the same bit
-            self.rate[i] = np.count_nonzero(self.tables[self.bit[i][0]] & mask) / f.slots
-        self.rate = self.rate ** f.hashes
+        self.measure()
+
+    @classmethod
+    def of_slots(cls, langs: list[str], slot: np.ndarray, word: np.ndarray, mask: np.ndarray, f: Filters) -> "Sliced":
+        """From the table's words of 64 languages as Spark has summed them."""
+        self = cls.__new__(cls)
+        self.shape(langs, f)
+        for w, table in enumerate(self.tables):
+            here = word == w
+            table[slot[here]] = mask[here].view(np.uint64).astype(self.kind)
+        self.measure()
+        return self
+
+    def shape(self, langs: list[str], f: Filters) -> None:
+        self.f, self.langs = f, langs
+        self.kind = next((t for t in (np.uint8, np.uint16, np.uint32) if len(langs) <= np.iinfo(t).bits), np.uint64)
+        bits = np.iinfo(self.kind).bits
+        self.tables = [np.zeros(f.slots, dtype=self.kind) for _ in range(0, len(langs), bits)]
+        self.bit = [(i // bits, self.kind(i % bits)) for i in range(len(langs))]
+
+    def measure(self) -> None:
+        """The rate of false positives of each language's filter."""
+        full = [np.count_nonzero(self.tables[t] & (self.kind(1) << b)) for t, b in self.bit]
+        self.rate = (np.array(full, dtype=float) / self.f.slots) ** self.f.hashes
 
     def spots(self, gram: np.ndarray) -> Iterator[np.ndarray]:
         low, step = gram & np.uint64(0xFFFFFFFF), (gram >> np.uint64(32)) | np.uint64(1)
@@ -154,11 +182,21 @@ class Sliced:
 def learn(docs: DataFrame, f: Filters = Filters()) -> Sliced:
     """The filters of the languages of ``docs`` (text, lang)."""
     rows = columns(docs, lang="string", text="string").where("lang is not null and text is not null")
-    n = counts(rows, f)
-    n = n.join(n.groupBy("lang").agg(F.sum("n").alias("all")), "lang").where(F.col("n") >= F.col("all") * f.share)
-    found = n.select("lang", "gram").toArrow()
-    lang, gram = np.array(found["lang"].to_pylist(), dtype=object), found["gram"].to_numpy().astype(np.int64).view(np.uint64)
-    return Sliced({x: np.sort(gram[lang == x]) for x in set(lang)}, f)
+    n = cut(counts(rows, f))
+    part = F.col("n") / F.col("all")
+    n = n.join(n.groupBy("lang").agg(F.sum("n").alias("all")), "lang").select("lang", "gram", "n", part.alias("part"))
+    best = n.groupBy("gram").agg(F.max("part").alias("best"))
+    owned = cut(n.join(best, "gram").where((F.col("n") >= f.least) & (F.col("part") >= F.col("best") * f.stray)).select("lang", "gram"))
+    sizes = {r["lang"]: r["n"] for r in owned.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    langs = sorted(sizes)
+    f = f.sized(max(sizes.values(), default=0))
+    place = docs.sparkSession.createDataFrame([(x, i // 64, i % 64) for i, x in enumerate(langs)], "lang string, word int, bit int")
+    low, step = F.col("gram").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("gram", 32).bitwiseOR(F.lit(1))
+    slot = F.explode(F.array(*[(low + i * step).bitwiseAND(F.lit(f.slots - 1)) for i in range(f.hashes)]))
+    table = owned.join(F.broadcast(place), "lang").select(slot.alias("slot"), "word", F.expr("shiftleft(1L, bit)").alias("mask"))
+    # one row for each used slot and 64 languages
+    table = table.groupBy("slot", "word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    return Sliced.of_slots(langs, *[table[c].to_numpy() for c in ("slot", "word", "mask")], f)
 
 
 def predict(docs: DataFrame, model: Sliced) -> DataFrame:
