@@ -87,3 +87,29 @@ def test_windows_at():
     doc = np.arange(1, 30, dtype=np.uint64)
     at = np.array([0, 7, 24])
     assert (L.windows_at(doc, at, 5) == L.windows(doc, 5)[at]).all()
+
+
+def test_repeated_words():
+    """Words that repeat in item and text: equal to the pair-wise search, and no product of places."""
+    import random
+    import time
+
+    rng = random.Random(5)
+    for _ in range(300):
+        doc = np.array([rng.randint(1, 2) for _ in range(rng.randint(5, 60))], dtype=np.uint64)
+        item = np.array([rng.randint(1, 2) for _ in range(rng.randint(5, 30))], dtype=np.uint64)
+        runs = []
+        for i in range(len(item)):
+            for d in range(len(doc)):
+                if i and d and item[i - 1] == doc[d - 1]:
+                    continue
+                m = 0
+                while i + m < len(item) and d + m < len(doc) and item[i + m] == doc[d + m]:
+                    m += 1
+                if m >= 5:
+                    runs.append((m, i, d))
+        assert sorted(L.all_matches(doc, item, 5)) == sorted(runs)
+    for words, n in (("a ", 20_000), ("a b c ", 7_000)):
+        t = time.process_time()
+        found = L.Index([(1, L.tokens(words * (300 // (len(words) // 2))))], L.Tiling()).leaks(L.tokens(words * n))
+        assert found[0][1:3] == (300, 300) and time.process_time() - t < 5

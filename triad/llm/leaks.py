@@ -122,7 +122,10 @@ def windows_at(doc: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
 
 
 def matches(doc: np.ndarray, item: np.ndarray, seeds: list[int], hits: dict[int, list[int]], n: int) -> list[tuple]:
-    """Maximal equal runs as (length, place in the item, place in the document)."""
+    """Maximal equal runs of n words and more as (length, place in the item, place in the document)."""
+    pairs = sum(len(hits.get(s, ())) for s in seeds)
+    if pairs > len(doc) + len(item):
+        return all_matches(doc, item, n)
     runs, out = {}, []  # by diagonal: [item start, doc start, length]
     for i, s in enumerate(seeds):
         for d in hits.get(s, ()):
@@ -138,25 +141,39 @@ def matches(doc: np.ndarray, item: np.ndarray, seeds: list[int], hits: dict[int,
     return out + [(r[2], r[0], r[1]) for r in runs.values()]
 
 
+def all_matches(doc: np.ndarray, item: np.ndarray, n: int) -> list[tuple]:
+    """The same where words repeat so much that the pairs of places outnumber the words: the
+    lengths of the equal runs that end at a word of the item, for all places of the
+    document at once, follow from those of the word before."""
+    out = []
+    before = np.zeros(len(doc) + 1, dtype=np.int64)          # runs that end at the item's last word, by end in the document
+    for i in range(len(item) + 1):
+        now = np.zeros_like(before)
+        if i < len(item):
+            now[1:] = np.where(doc == item[i], before[:-1] + 1, 0)
+        # runs that no longer word goes on
+        ended = np.flatnonzero((before >= n) & (np.r_[now[1:], 0] == 0))
+        out += [(m, i - m, d - m) for d, m in zip(ended.tolist(), before[ended].tolist(), strict=True)]
+        before = now
+    return out
+
+
 def tile(doc: np.ndarray, item: np.ndarray, seeds: list[int], hits: dict[int, list[int]], n: int) -> list[tuple]:
     """Greedy tiles (document word, item word, words): longest first, then by place."""
     heap = [(-m, i, d) for m, i, d in matches(doc, item, seeds, hits, n)]
     heapq.heapify(heap)
-    in_item, in_doc, out = bytearray(len(item)), set(), []
+    in_item, in_doc, out = np.zeros(len(item), dtype=bool), np.zeros(len(doc), dtype=bool), []
     while heap:
         m, i, d = heapq.heappop(heap)
-        free = [not in_item[i + j] and d + j not in in_doc for j in range(-m)]
-        if all(free):
-            in_item[i:i - m] = b"\1" * -m
-            in_doc.update(range(d, d - m))
+        taken = in_item[i:i - m] | in_doc[d:d - m]
+        if not taken.any():
+            in_item[i:i - m] = in_doc[d:d - m] = True
             out.append((d, i, -m))
             continue
-        start = 0
-        for j, ok in enumerate([*free, False]):
-            if not ok:
-                if j - start >= n:
-                    heapq.heappush(heap, (start - j, i + start, d + start))
-                start = j + 1
+        edge = np.diff(np.concatenate(([1], taken.view(np.int8), [1])))
+        for a, b in zip(np.flatnonzero(edge == -1).tolist(), np.flatnonzero(edge == 1).tolist(), strict=True):
+            if b - a >= n:
+                heapq.heappush(heap, (a - b, i + a, d + a))
     return sorted(out)
 
 
