@@ -113,8 +113,11 @@ def spread_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str,
     many of the ``rows`` rows of ``left`` have it.  Keys of more than rows / HOT_KEYS
     rows (at least 1,000) number fewer than HOT_KEYS, so they are broadcast; only
     the others are shuffled, and no task gets more than such a share of one key."""
-    hot = F.col(weight) > max(1_000, rows // HOT_KEYS)
+    least = max(1_000, rows // HOT_KEYS)
     values = [c for c in right.columns if c not in keys]
+    if rows <= least:            # no key can be hot
+        return left.join(right, keys, "left").select(*left.columns, *values)
+    hot = F.col(weight) > least
     told = right.where(hot).select(*keys, *[F.col(c).alias(f"_hot_{c}") for c in values])
     near = left.join(F.broadcast(told), keys, "left")
     known = F.col(f"_hot_{weight}").isNotNull()
