@@ -180,7 +180,8 @@ def ordered(a: str, b: str) -> list[Column]:
 
 
 def across(rows: DataFrame, p: Near, tables: Tables) -> DataFrame:
-    """(a, b) pairs of different roots that prefixes leave possible, from (node, root, shingles)."""
+    """(a, b, est) pairs of different roots that prefixes and odd sketches leave possible, from
+    (node, root, shingles, odd)."""
 
     def least_of(n: str) -> Column:
         """ceil(n * percent / 100), exactly."""
@@ -194,7 +195,7 @@ def across(rows: DataFrame, p: Near, tables: Tables) -> DataFrame:
     often = token.groupBy("token").agg(F.count(F.lit(1)).alias("f"))
     place = F.row_number().over(Window.partitionBy("node").orderBy("f", "token")) - 1
     begin = token.join(often, "token").select("node", "token", place.alias("place"))
-    begin = begin.join(rows.select("node", "root", F.size("shingles").alias("n")), "node")
+    begin = begin.join(rows.select("node", "root", F.size("shingles").alias("n"), "odd"), "node")
     begin = tables.put(begin.where(F.col("place") <= F.col("n") - least_of("n")))
     # of each token: its most frequent root, and the least set that has it
     by = begin.groupBy("token", "root").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("n"))
@@ -203,11 +204,13 @@ def across(rows: DataFrame, p: Near, tables: Tables) -> DataFrame:
     shared = begin.join(by, "token")
 
     minor = shared.where((F.col("root") != F.col("major")) & (F.col("n") - F.col("place") >= need("n", "least")))
-    x = minor.select("token", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("n").alias("nx"), F.col("place").alias("px"))
+    x = minor.select("token", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("n").alias("nx"), F.col("place").alias("px"),
+                     F.col("odd").alias("odd_a"))
     rest = F.least(F.col("nx") - F.col("px"), F.col("n") - F.col("place"))
     fits = F.least("nx", "n") * 100 >= F.greatest("nx", "n") * p.percent
-    pairs = x.join(shared, "token").where((F.col("rx") != F.col("root")) & fits & (rest >= need("nx", "n")))
-    return pairs.select(*ordered("x", "node")).distinct()
+    pairs = x.join(shared.withColumnRenamed("odd", "odd_b"), "token").where((F.col("rx") != F.col("root")) & fits & (rest >= need("nx", "n")))
+    pairs = pairs.select(*ordered("x", "node"), odd_estimate(p).alias("est")).where(F.col("est") >= p.percent / 100 - p.margin)
+    return pairs.groupBy("a", "b").agg(F.max("est").alias("est"))
 
 
 def stars(edges: DataFrame, tables: Tables) -> DataFrame:
@@ -261,13 +264,10 @@ def components(classes: DataFrame, docs: DataFrame, p: Near, tables: Tables) ->
     tables.drop(live)
     open_ = tables.put(left.select("node", "root").distinct())
     tables.drop(left)
-    pairs = tables.put(across(open_.join(sets.select("node", "shingles"), "node"), p, tables))
+    pairs = tables.put(across(open_.join(sets.select("node", "shingles", "odd"), "node"), p, tables))
     # each set with the partner that its sketch likes best, then what is still apart
-    odd = pairs
-    for k in "ab":
-        odd = odd.join(sets.select(F.col("node").alias(k), F.col("odd").alias(f"odd_{k}")), k)
-    odd = odd.select("a", "b", odd_estimate(p).alias("est")).select("a", "b", F.explode(F.array("a", "b")).alias("node"), "est")
-    best = odd.groupBy("node").agg(F.max(F.struct("est", "a", "b")).alias("e")).select("e.a", "e.b").distinct()
+    best = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node"), "est")
+    best = best.groupBy("node").agg(F.max(F.struct("est", "a", "b")).alias("e")).select("e.a", "e.b").distinct()
     edges = tables.put(edges.unionByName(linked(best, sets, p)))
     root = stars(edges, tables)
     for k in "ab":
