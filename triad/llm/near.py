@@ -9,18 +9,19 @@ one fingerprint form a class; only classes go on, so exact copies cost one row.
 Classes that share a band key are candidates.  First each bucket's members are
 tested against one center, then those of still divided buckets against the member with
 most links; a test is the XOR of two odd sketches, and what passes is confirmed on
-the full sets.  A group of n near copies costs some n tests so far.  What is left are buckets with members in more than one component.  Links across
-components are found among their members by prefixes: with every set in one
-order, rare shingles first, two similar sets share one near their beginnings, and
-its places bound the overlap.  Strongly changed copies begin with shingles of
-their own, so they meet nobody, however large the group; only pairs at the
-threshold meet, and pass the same two tests: first each set with the partner of
-best estimate, then, where that did not join their components, with all
-others.  No pair in a bucket is given up and none within a component is made.
-Components come from alternating star contractions; no group, component or list of
-links reaches the driver or a task.  Centers of large stars and large buckets are hot
-keys; they are joined by ``spread_join``.  Classes are numbered, links are pairs of
-numbers, and every intermediate table goes when the next one stands.
+the full sets.  A group of n near copies costs some n tests so far.  What is left
+are buckets with members in more than one component.  Links across components are
+found among their members by prefixes: with every set in one order, rare shingles
+first, two similar sets share one near their beginnings, and its places bound the
+overlap.  Strongly changed copies begin with shingles of their own, so they meet
+nobody, however large the group; only pairs at the threshold meet, and pass the
+same two tests: first each set with the partner of best estimate, then, where
+that did not join their components, with all others.  No pair in a bucket is given
+up and none within a component is made.  Components come from alternating star
+contractions; no group, component or list of links reaches the driver or a task.
+Centers of large stars and large buckets are hot keys; they are joined by
+``spread_join``.  Classes are numbered, links are pairs of numbers, and a table
+goes when the next one stands.
 
 Defined results.  Words are runs of anything but ASCII white space, A-Z in lower
 case.  A text with fewer words than a shingle is one shingle; null, empty or
