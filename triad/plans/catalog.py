@@ -1001,7 +1001,7 @@ def a1(c: Ctx):
 
 
 def _load() -> None:
-    from . import roundtrips  # noqa: F401  registers its queries
+    from . import roundtrips, variants  # noqa: F401  register their queries
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

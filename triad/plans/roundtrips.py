@@ -415,11 +415,16 @@ class AllDatesCtx(Ctx):
         self.p = fixture_params().with_(invoice_period=None)
 
 
+def over_all_dates(sql: str) -> str:
+    """An oracle statement without its limit to the invoice year."""
+    limit = f"WHERE {O.DT('FKDAT')} BETWEEN DATE '{O._IF}' AND DATE '{O._IL}'"
+    assert limit in sql
+    return sql.replace(limit, "WHERE true")
+
+
 def all_dates(name: str, select: str):
     def deco(fn):
-        limit = f"WHERE {O.DT('FKDAT')} BETWEEN DATE '{O._IF}' AND DATE '{O._IL}'"
-        assert limit in O.CHAIN
-        REGISTRY[name] = (lambda c: fn(AllDatesCtx(c)), O.fixture_cte_sql() + "," + O.CHAIN.replace(limit, "WHERE true") + select)
+        REGISTRY[name] = (lambda c: fn(AllDatesCtx(c))), over_all_dates(O.with_chain(select))
         return fn
     return deco
 
