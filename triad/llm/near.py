@@ -209,7 +209,10 @@ def across(rows: DataFrame, p: Near, tables: Tables) -> DataFrame:
                      F.col("odd").alias("odd_a"))
     rest = F.least(F.col("nx") - F.col("px"), F.col("n") - F.col("place"))
     fits = F.least("nx", "n") * 100 >= F.greatest("nx", "n") * p.percent
-    pairs = x.join(shared.withColumnRenamed("odd", "odd_b"), "token").where((F.col("rx") != F.col("root")) & fits & (rest >= need("nx", "n")))
+    # two sets of minor roots would meet twice: what fits is minor's on either side
+    once = (F.col("root") == F.col("major")) | (F.col("x") < F.col("node"))
+    pairs = x.join(shared.withColumnRenamed("odd", "odd_b"), "token")
+    pairs = pairs.where((F.col("rx") != F.col("root")) & once & fits & (rest >= need("nx", "n")))
     pairs = pairs.select(*ordered("x", "node"), odd_estimate(p).alias("est")).where(F.col("est") >= p.percent / 100 - p.margin)
     return pairs.groupBy("a", "b").agg(F.max("est").alias("est"))
 
