@@ -124,3 +124,27 @@ def test_late_header_and_delivery_company(spark):
     assert settled("LIKP") == [("6", "UNMAPPED"), ("7", "5001"), ("8", "5002")]
     plan = read_settled(spark, f"{base}/VBAP")._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
+
+
+def test_company_codes_are_text_in_any_session(spark):
+    """A session that makes numbers of folder names: codes with a leading zero, and lines that are UNMAPPED."""
+    import os
+    base = tempfile.mkdtemp(prefix="triad-stream5-")
+    os.makedirs(f"{base}/landing")
+    for name, lines in (("VBAK", "MANDT#|#VBELN#|#VKORG#|#BUKRS_VF\n100#|#1#|#1000#|#0501\n"),
+                        ("VBAP", "MANDT#|#VBELN#|#POSNR\n100#|#1#|#10\n100#|#2#|#10\n")):
+        with open(f"{base}/landing/{name}_1.TXT", "w", encoding="utf-8") as f:
+            f.write(lines)
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        for table, how in (("VBAK", {"company_col": "BUKRS_VF"}), ("VBAP", {"company_map": f"{base}/VBAK"})):
+            ingest_stream(spark, f"{base}/landing", table, f"{base}/{table}", checkpoint=f"{base}/c-{table}", **how).awaitTermination(120)
+        assert settle(spark, f"{base}/VBAP", headers=f"{base}/VBAK") == 1
+        want = [("1", "0501"), ("2", "UNMAPPED")]
+        for df in (read_settled(spark, f"{base}/VBAP"), read_ingested(spark, f"{base}/VBAP", headers=f"{base}/VBAK")):
+            assert sorted((r["VBELN"], r["company"]) for r in df.collect()) == want
+        assert [r["company"] for r in read_ingested(spark, f"{base}/VBAK").collect()] == ["0501"]
+    finally:
+        spark.conf.set(key, before)
