@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from triad.functions import exprs as X
 from triad.operators import deliveries as DV
 from triad.operators import matching as M
+from triad.operators import report as R
 from triad.plans import pipeline as PL
 
 
@@ -391,3 +392,13 @@ def test_share_too_large_for_its_decimal(spark):
     from triad.operators.scenarios import pct
     df = spark.createDataFrame([(1e12, 0.01), (1.0, 3.0), (1.0, 0.0)], "a double, b double")
     assert [r[0] for r in df.select(pct("a", "b")).collect()] == [pytest.approx(1e16), 33.3333, None]
+
+
+def test_sensitivity_names_the_companies_left_out(spark):
+    rates = spark.createDataFrame(
+        [("C", 1, 4, 10.0, 40.0, 25.0), ("B", 0, 2, 0.0, 7.0, 0.0), ("A", 1, 9, 1.0, 100.0, 1.0)],
+        "company string, match_rows bigint, total_rows bigint, match_amt double, total_amt double, _raw_pct_amt double")
+    row = R.sensitivity(rates, edge_params(tier_high=20.0)).collect()[0]
+    assert (row["companies"], row["match_rows"], row["total_rows"], row["pct_amt"], row["removed_companies"]) == (1, 1, 4, 25.0, "A, B")
+    none = R.sensitivity(rates.where("company = 'C'"), edge_params(tier_high=20.0)).collect()[0]
+    assert none["removed_companies"] == ""

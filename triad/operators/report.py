@@ -165,11 +165,11 @@ def _summary(df: DataFrame) -> list[Column]:
             F.coalesce(F.sum(F.col("total_amt").cast("decimal(38,2)")), F.lit(0)).alias("_ta")]
 
 
-def _finish(df: DataFrame, *keys: str) -> DataFrame:
+def _finish(df: DataFrame, *keys: str, more: tuple[str, ...] = ()) -> DataFrame:
     return df.select(*keys, "companies", "match_rows", "total_rows",
                      F.when(F.col("total_rows") > 0, pct("match_rows", "total_rows")).alias("pct_rows"),
                      F.col("_ma").cast("double").alias("match_amt"), F.col("_ta").cast("double").alias("total_amt"),
-                     F.when(F.col("_ta") > 0, pct("_ma", "_ta")).alias("pct_amt"))
+                     F.when(F.col("_ta") > 0, pct("_ma", "_ta")).alias("pct_amt"), *more)
 
 
 def tier_summary(spark: SparkSession, rates: DataFrame) -> DataFrame:
@@ -187,10 +187,15 @@ def overall_match(rates: DataFrame) -> DataFrame:
 
 
 def sensitivity(rates: DataFrame, p: Params) -> DataFrame:
-    """Only companies at or above the high tier (raw %), one row; the
-    companies left out are the rows of :func:`removed_companies`."""
-    kept = rates.where(F.col("_raw_pct_amt") >= p.tier_high)
-    return _finish(kept.agg(*_summary(kept)).withColumn("scope", F.lit(f">={p.tier_high:g}%")), "scope")
+    """Only companies at or above the high tier (raw %), plus the sorted
+    list of companies left out (one row, from one pass over the rates; the list
+    as rows, for any number of companies, is :func:`removed_companies`)."""
+    hi = F.col("_raw_pct_amt") >= p.tier_high
+    kept = rates.select(*[F.when(hi, F.col(c)).alias(c) for c in ("match_rows", "total_rows", "match_amt", "total_amt")],
+                        F.when(hi, 1).alias("_hi"), F.when(~hi, F.col("company")).alias("_out"))
+    one = kept.agg(F.count("_hi").alias("companies"), *_summary(kept)[1:],
+                   F.array_join(F.array_sort(F.collect_list("_out")), ", ").alias("removed_companies"))
+    return _finish(one.withColumn("scope", F.lit(f">={p.tier_high:g}%")), "scope", more=("removed_companies",))
 
 
 def removed_companies(rates: DataFrame, p: Params) -> DataFrame:
