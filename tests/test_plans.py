@@ -9,6 +9,7 @@ from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 from triad.config import fixture_params
+from triad.operators import matching as M
 from triad.plans import pipeline as PL
 from triad.sources.fixtures import fixture_tables
 
@@ -127,3 +128,15 @@ def test_exchange_counts(run, spark, tmp_path):
     for n in ("grain", "delivery", "invoice"):
         assert len([f for f in os.listdir(tmp_path / "pivots" / n) if f.endswith(".parquet")]) <= buckets
     pv.release()
+
+
+def test_statistics_read_the_match_once(spark):
+    t = fixture_tables(spark, SF_SMALL)
+    rec = PL.reconcile(spark, t, fixture_params())
+    rec.matched = rec.matched.checkpoint()
+    open_rows = rec.untested.checkpoint()
+    whole = PL.analyse(None, fixture_params(), matched=rec.matched, untested=open_rows).stats
+    parts = PL.analyse(None, fixture_params(), main=M.main_rows(rec.matched), negative=M.negative_invoices(rec.matched), untested=open_rows).stats
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, parts.collect()))
+    plan = whole._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 2          # the match and the untested rows
