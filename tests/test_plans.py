@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 import pytest
 from conftest import SF_SMALL
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from triad.config import fixture_params
 from triad.operators import matching as M
 from triad.plans import pipeline as PL
-from triad.sources.fixtures import fixture_tables
+from triad.sources.fixtures import FIXTURE_VIEWS, fixture_tables
 
 FORBIDDEN = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas")
@@ -140,3 +141,24 @@ def test_statistics_read_the_match_once(spark):
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, parts.collect()))
     plan = whole._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LogicalRDD") == 2          # the match and the untested rows
+
+
+def test_statistics_read_the_documents_once(spark, run):
+    """The match and the untested rows behind the statistics share written pivots."""
+    p, t, _, an, _ = run
+    rec = PL.reconcile_figures(spark, t, p)
+    stats = PL.analyse(rec, p).stats
+    assert sorted(map(tuple, stats.collect())) == sorted(map(tuple, an.stats.collect()))
+    assert "lineitem" not in stats._jdf.queryExecution().optimizedPlan().toString()
+    folded = [ln for ln in stats._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [company" in ln]
+    assert any("scenario" in ln.split("]")[0] for ln in folded)   # few sums a row, by company and scenario
+    rec.pivots.release()
+
+
+def test_header_views_join_one_row_an_order(spark, run):
+    _, t, _, _, _ = run
+    for h in ("LIKP", "VBRK"):
+        as_written = spark.sql(dict(FIXTURE_VIEWS)[h.lower()])
+        rows = t[h].select("VBELN", "VKORG")
+        assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, as_written.select("VBELN", "VKORG").collect()))
+        assert re.search(r"Aggregate \[(lk|l_orderkey)#\d+L\]", t[h]._jdf.queryExecution().optimizedPlan().toString())
