@@ -94,3 +94,31 @@ def test_library_decodes_the_same(pieces):
     text = "Any text, with Größe and 数字 — in it.\nTwo lines"
     for ids, *_ in S.sample([text], np.array([1], dtype=np.uint64), pieces, S.Sampling(k=5))[0]:
         assert sp.decode(ids.tolist()) == text
+
+
+def test_a_chunk_is_looked_up_once(monkeypatch):
+    """Numbering the chunks hashes each occurrence once, and each distinct chunk once more."""
+    seen = []
+
+    class Word(str):
+        __slots__ = ()
+        __eq__ = str.__eq__
+
+        def __hash__(self):
+            seen.append(self)
+            return str.__hash__(self)
+
+    class Cut:
+        @staticmethod
+        def findall(text):
+            return [Word(x) for x in S.re.findall(r" *[^ \n]+|\n| +", text)]
+
+    texts, p = ["one two one two " * 50, "two one", ""], S.Sampling()
+    pieces = S.Pieces(p)
+    keys = np.arange(3, dtype=np.uint64)
+    plain = S.sample(texts, keys, pieces, p)
+    monkeypatch.setattr(S, "CHUNK", Cut)
+    counted = S.sample(texts, keys, pieces, p)
+    for a, b in zip(plain, counted, strict=True):
+        assert [(x[0].tolist(), *x[1:]) for x in a] == [(x[0].tolist(), *x[1:]) for x in b]
+    assert 203 <= len(seen) <= 203 + 6

@@ -32,8 +32,10 @@ have equal samples.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -376,14 +378,11 @@ def with_bytes(lat: Lattice, edges: np.ndarray, pieces: Pieces) -> np.ndarray:
 def sample(texts: list[str], keys: np.ndarray, pieces: Pieces, p: Sampling, part: int = PART) -> list[list[tuple]]:
     """For each text its samples (ids, log-probability, perturbed score, log-inclusion).  All texts
     share one lattice; the paths of about ``part`` chunks advance together."""
-    cuts = [CHUNK.findall(" " + t.replace(BLANK, " ")) if t else [] for t in texts]
-    different: dict[str, int] = {}
-    for c in cuts:
-        different.update(dict.fromkeys(c))
-    lat = Lattice(list(different), pieces)
-    number = dict(zip(different, range(len(different)), strict=True)).__getitem__
-    chunks = [np.fromiter(map(number, c), dtype=np.int32, count=len(c)) for c in cuts]
-    del cuts, different, number
+    number: defaultdict[str, int] = defaultdict(count().__next__)   # chunks by first place, one look-up each
+    cuts = (CHUNK.findall(" " + t.replace(BLANK, " ")) if t else [] for t in texts)
+    chunks = [np.fromiter(map(number.__getitem__, c), dtype=np.int32, count=len(c)) for c in cuts]
+    lat = Lattice(list(number), pieces)
+    del cuts, number
     ends = np.cumsum([len(c) for c in chunks], dtype=np.int64) // part
     starts = np.flatnonzero(np.r_[True, ends[1:] != ends[:-1]]) if len(ends) else []
     out = []
