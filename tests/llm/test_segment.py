@@ -1,7 +1,9 @@
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from edge import ROWS, documents
@@ -122,3 +124,22 @@ def test_a_chunk_is_looked_up_once(monkeypatch):
     for a, b in zip(plain, counted, strict=True):
         assert [(x[0].tolist(), *x[1:]) for x in a] == [(x[0].tolist(), *x[1:]) for x in b]
     assert 203 <= len(seen) <= 203 + 6
+
+
+def test_memory_of_a_large_batch(pieces):
+    """The arrays are bounded by a slice, not by the batch; the samples do not depend on the slices."""
+    rng = np.random.default_rng(3)
+    words = ["".join(chr(97 + c) for c in rng.integers(0, 26, n)) for n in rng.integers(2, 12, 40_000)]
+    texts = [" ".join(words[i] for i in rng.integers(0, len(words), 400)) for _ in range(1_000)]
+    n = len(texts)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(n)), "text": texts, "row_key": list(range(n))})
+    assert batch.column("text").nbytes > 2.5e6
+    tracemalloc.start()
+    sizes = [b.num_rows for b in S.sampled(iter([batch]), pieces, P)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(sizes) == n
+    assert peak < 120e6
+    last = list(S.sampled(iter([batch.slice(n - sizes[-1])]), pieces, P))
+    alone = list(S.sampled(iter([batch.slice(n - 1)]), pieces, P))
+    assert last[0].column("samples")[-1] == alone[0].column("samples")[0]

@@ -47,7 +47,8 @@ from triad.llm.common import columns, mix, slices
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 BASE = np.uint64(0x100000001B3)
-PART = 200_000                   # chunks whose paths advance together
+PART = 50_000                    # chunks whose paths advance together
+SLICE = 1 << 19                  # bytes of text that share a lattice: some 100 MB of arrays
 U = np.uint64
 
 
@@ -448,23 +449,29 @@ def paths_of(chunks: list[np.ndarray], keys: np.ndarray, lat: Lattice, pieces: P
 SAMPLE = "array<struct<ids: array<int>, log_prob: double, perturbed: double, log_inclusion: double, round_trip: boolean>>"
 
 
+def sampled(batches: Iterator[pa.RecordBatch], pieces: Pieces, p: Sampling) -> Iterator[pa.RecordBatch]:
+    """doc_id and ``samples`` of batches of doc_id, text and row_key.  Memory is that of one
+    slice's arrays, whatever the batch; a row longer than a slice is a slice of its own."""
+    kind = pa.list_(pa.struct([("ids", pa.list_(pa.int32())), ("log_prob", pa.float64()), ("perturbed", pa.float64()),
+                               ("log_inclusion", pa.float64()), ("round_trip", pa.bool_())]))
+    for b in slices(batches, "text", SLICE):
+        texts = b.column("text").to_pylist()
+        at = [i for i, t in enumerate(texts) if t is not None]
+        keys = b.column("row_key").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)[at]
+        found: list = [None] * len(texts)
+        for i, rows in zip(at, sample([texts[i] for i in at], mix(keys), pieces, p) if at else [], strict=True):
+            plain = texts[i].replace(BLANK, " ")
+            found[i] = [{"ids": ids, "log_prob": lp, "perturbed": g, "log_inclusion": inc, "round_trip": pieces.decode(ids) == plain}
+                        for ids, lp, g, inc in rows]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(found, kind)], names=["doc_id", "samples"])
+
+
 def encode(docs: DataFrame, p: Sampling = Sampling()) -> DataFrame:
     """doc_id and ``samples`` of every row, best perturbed score first."""
     pieces = Pieces(p)
-    kind = pa.list_(pa.struct([("ids", pa.list_(pa.int32())), ("log_prob", pa.float64()), ("perturbed", pa.float64()),
-                               ("log_inclusion", pa.float64()), ("round_trip", pa.bool_())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 4 << 20):
-            texts = b.column("text").to_pylist()
-            at = [i for i, t in enumerate(texts) if t is not None]
-            keys = b.column("row_key").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)[at]
-            found: list = [None] * len(texts)
-            for i, rows in zip(at, sample([texts[i] for i in at], mix(keys), pieces, p) if at else [], strict=True):
-                plain = texts[i].replace(BLANK, " ")
-                found[i] = [{"ids": ids, "log_prob": lp, "perturbed": g, "log_inclusion": inc, "round_trip": pieces.decode(ids) == plain}
-                            for ids, lp, g, inc in rows]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(found, kind)], names=["doc_id", "samples"])
+        return sampled(batches, pieces, p)
 
     src = columns(docs, doc_id="long", text="string").withColumn("row_key", F.xxhash64(F.lit(p.seed), "doc_id", F.xxhash64("text")))
     return src.mapInArrow(run, f"doc_id long, samples {SAMPLE}")
